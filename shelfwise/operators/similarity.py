@@ -36,6 +36,7 @@ BLOCK_ROWS = 8_192
 MATRIX_CELLS = 4 << 20
 
 _SCHEMA = "query_id bigint, candidate_id bigint, score double"
+_RANKED_SCHEMA = "query_id bigint, rank int, candidate_id bigint, score double"
 
 
 def _matrix(batch, column: str) -> np.ndarray:
@@ -44,7 +45,7 @@ def _matrix(batch, column: str) -> np.ndarray:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
     n = len(values)
-    flat = np.asarray(values.flatten(), dtype=np.float64)
+    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     if n and (len(flat) % n or set(np.diff(values.offsets.to_numpy())) != {len(flat) // n}):
         raise ValueError("vectors differ in width")
     return flat.reshape(n, -1)
@@ -80,9 +81,15 @@ _METRICS = {"cosine": (_unit_rows, _cosine), "euclidean": (lambda m: m, _negated
 
 
 class _Block:
-    """Vectors of one side, sorted by key and prepared for the metric."""
+    """Vectors of one side, sorted by key and prepared for the metric.
+
+    A vector with an element that is not finite has no similarity to anything
+    and takes no part.
+    """
 
     def __init__(self, ids, vectors, prepare):
+        usable = np.isfinite(vectors).all(axis=1)
+        ids, vectors = ids[usable], vectors[usable]
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], prepare(vectors[order])
 
@@ -136,35 +143,33 @@ def _to_batches(found) -> Iterator[pa.RecordBatch]:
             names=["query_id", "candidate_id", "score"])
 
 
-def _running_best(parts, k):
-    """Merge (query, candidate, score) parts down to the k best of every query."""
+def _merge(parts, k):
+    """(query, rank, candidate, score) of the k best of every query over all parts."""
     query_ids, candidate_ids, scores = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((candidate_ids, -scores, query_ids))
-    query_ids = query_ids[order]
-    first = np.r_[True, query_ids[1:] != query_ids[:-1]]
-    starts = np.nonzero(first)[0]
-    rank = np.arange(len(query_ids)) - np.repeat(starts, np.diff(np.r_[starts, len(query_ids)]))
-    kept = order[rank < k]
-    return (np.concatenate([p[0] for p in parts])[kept], candidate_ids[kept], scores[kept])
+    query_ids, candidate_ids, scores = query_ids[order], candidate_ids[order], scores[order]
+    starts = np.flatnonzero(np.r_[True, query_ids[1:] != query_ids[:-1]])
+    lengths = np.diff(np.r_[starts, len(query_ids)])
+    rank = np.arange(len(query_ids)) - np.repeat(starts, lengths) + 1
+    kept = rank <= k
+    return query_ids[kept], rank[kept], candidate_ids[kept], scores[kept]
 
 
 def _vectors(df: DataFrame, key: str, vector: str, out: str) -> DataFrame:
-    """Two columns: the key as a number, the vector as doubles.
-
-    A vector with an element that is not finite has no similarity to anything
-    and takes no part.
-    """
-    return df.where(F.col(vector).isNotNull() & is_finite(F.col(vector))).select(
-        F.col(key).cast("bigint").alias(out), F.col(vector).cast("array<double>").alias("v"))
+    """Two columns: the key as a number, and the vector."""
+    return df.where(F.col(vector).isNotNull()).select(
+        F.col(key).cast("bigint").alias(out), F.col(vector).alias("v"))
 
 
 def _small(df: DataFrame, rows: int) -> pa.Table | None:
     """The rows of `df` if they pass the size check, else None.
 
-    Fetches one row more than allowed at most, so the check itself is bounded.
+    The check takes vector widths only, and stops at one row more than allowed.
     """
-    table = df.limit(rows + 1).toArrow()
-    return table if table.num_rows <= rows and table.nbytes <= BROADCAST_BYTES else None
+    widths = [row[0] for row in df.select(F.size("v")).take(rows + 1)]
+    if len(widths) > rows or 8 * sum(widths) > BROADCAST_BYTES:
+        return None
+    return df.toArrow()
 
 
 def _scores(queries: DataFrame, catalogue: DataFrame, k, metric, digits, exclude_self,
@@ -180,9 +185,18 @@ def _scores(queries: DataFrame, catalogue: DataFrame, k, metric, digits, exclude
             candidates = _Block(*shared.value, prepare)
             for batch in batches:
                 block = _Block(_ids(batch, "query_id"), _matrix(batch, "v"), prepare)
-                yield from _to_batches(_best(block, candidates, score, k, digits, exclude_self))
+                found = _best(block, candidates, score, k, digits, exclude_self)
+                if k is None:
+                    yield from _to_batches(found)
+                elif found:
+                    # Every candidate was seen, so these ranks are final.
+                    query_ids, rank, candidate_ids, scores = _merge(found, k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(query_ids), pa.array(rank, pa.int32()),
+                         pa.array(candidate_ids), pa.array(scores)],
+                        names=["query_id", "rank", "candidate_id", "score"])
 
-        return queries.mapInArrow(stream_queries, _SCHEMA)
+        return queries.mapInArrow(stream_queries, _SCHEMA if k is None else _RANKED_SCHEMA)
 
     fixed = _small(queries, broadcast_rows)
     if fixed is not None:
@@ -197,15 +211,16 @@ def _scores(queries: DataFrame, catalogue: DataFrame, k, metric, digits, exclude
                 if k is None:
                     yield from _to_batches(found)
                 elif found:
-                    best = _running_best(found if best is None else [best, *found], k)
+                    query_ids, _, ids, scores = _merge(found if best is None else [best, *found], k)
+                    best = query_ids, ids, scores
             if best is not None:
                 yield from _to_batches([best])
 
         return catalogue.mapInArrow(stream_catalogue, _SCHEMA)
 
     # Both sides are large: a grid of blocks, each row copied along its strip.
-    query_blocks = math.ceil(queries.count() / block_rows)
-    catalogue_blocks = math.ceil(catalogue.count() / block_rows)
+    query_blocks = max(1, math.ceil(queries.count() / block_rows))
+    catalogue_blocks = max(1, math.ceil(catalogue.count() / block_rows))
 
     def block_of(key, n):
         return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
@@ -240,6 +255,8 @@ def topk(queries: DataFrame, catalogue: DataFrame, k: int = 5, metric: str = "co
     scored = _scores(_vectors(queries, query_key, vector, "query_id"),
                      _vectors(catalogue, candidate_key, vector, "candidate_id"),
                      k, metric, digits, exclude_self, broadcast_rows, block_rows)
+    if "rank" in scored.columns:
+        return scored
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "candidate_id"))
     return (scored.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "candidate_id", "score"))

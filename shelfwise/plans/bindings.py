@@ -121,9 +121,9 @@ PAGE_RULES = [
 
 def union_inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Five tables as five harvests, each with the fields its kind shows."""
-    def harvest(name: str, source: str, **fields: str) -> DataFrame:
+    def harvest(of: str, source: str, **fields: str) -> DataFrame:
         shown = [f"{sql} as {field}" for field, sql in fields.items()]
-        return table(spark, sf_dir, name).selectExpr(*shown, f"'{source}' as source")
+        return table(spark, sf_dir, of).selectExpr(*shown, f"'{source}' as source")
 
     return [
         harvest("part", "Amazon", name="p_name",

@@ -17,6 +17,7 @@ def get_session(app: str = "shelfwise", master: str | None = None, **conf) -> Sp
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
