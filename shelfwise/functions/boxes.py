@@ -18,15 +18,21 @@ def is_apparel(class_name: Column, keywords=None, person: str = PERSON_CLASS) ->
     return found
 
 
-def padded_box(bbox: Column, width: Column, height: Column, padding: int = BOX_PADDING) -> Column:
-    """Pad, truncate toward zero, and clamp to the image: (x1, y1, x2, y2)."""
-    x1, y1, x2, y2 = (F.get(bbox, F.lit(i)) for i in range(4))
-    return F.struct(
-        F.greatest(F.lit(0), (x1 - padding).try_cast("int")).alias("x1"),
-        F.greatest(F.lit(0), (y1 - padding).try_cast("int")).alias("y1"),
-        F.least(width, (x2 + padding).try_cast("int")).alias("x2"),
-        F.least(height, (y2 + padding).try_cast("int")).alias("y2"),
-    )
+def padded_box(bbox: Column, width: Column | int, height: Column | int,
+               padding: int = BOX_PADDING) -> Column:
+    """Pad, truncate toward zero, and clamp to the image: (x1, y1, x2, y2).
+
+    NULL when a coordinate is missing or not a number.
+    """
+    low = [(F.get(bbox, F.lit(i)) - padding).try_cast("int") for i in (0, 1)]
+    high = [(F.get(bbox, F.lit(i)) + padding).try_cast("int") for i in (2, 3)]
+    complete = low[0].isNotNull() & low[1].isNotNull() & high[0].isNotNull() & high[1].isNotNull()
+    return F.when(complete, F.struct(
+        F.greatest(F.lit(0), low[0]).alias("x1"),
+        F.greatest(F.lit(0), low[1]).alias("y1"),
+        F.least(F.lit(width), high[0]).alias("x2"),
+        F.least(F.lit(height), high[1]).alias("y2"),
+    ))
 
 
 def has_area(box: Column) -> Column:

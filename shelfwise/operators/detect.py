@@ -22,14 +22,14 @@ def filter_detections(detections: DataFrame, min_confidence: float = MIN_CONFIDE
                             & (F.col("confidence") > min_confidence))
 
 
-def crop_boxes(detections: DataFrame, width: Column, height: Column,
+def crop_boxes(detections: DataFrame, width: Column | int, height: Column | int,
                padding: int = BOX_PADDING) -> DataFrame:
     """Clipped pixel boxes; boxes without area inside the image are dropped."""
     boxed = detections.withColumn("box", padded_box(F.col("bbox"), width, height, padding))
     return boxed.where(has_area(F.col("box")))
 
 
-def accepted_crops(detections: DataFrame, width: Column, height: Column,
+def accepted_crops(detections: DataFrame, width: Column | int, height: Column | int,
                    min_confidence: float = MIN_CONFIDENCE, padding: int = BOX_PADDING,
                    keywords=None) -> DataFrame:
     return crop_boxes(filter_detections(detections, min_confidence, keywords),

@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import resolve_url, strip_tags
+from shelfwise.functions.text import or_missing, resolve_url, strip_tags
 from shelfwise.schema import MISSING
 
 
@@ -79,9 +79,6 @@ SITE_RULES = [
          None, _IMG, _LINK),
 ]
 
-_TEXT_FIELDS = ("source", "base_url", "item", "name", "price", "rating", "image_url",
-                "product_url", "price_prefix", "keyword")
-
 
 def rules_table(spark: SparkSession, rules=SITE_RULES) -> DataFrame:
     schema = ", ".join(f"rule_{f} {'int' if f == 'max_items' else 'string'}" for f in Rule._fields)
@@ -124,18 +121,21 @@ def _field(name: str):
 def extract_fields(items: DataFrame) -> DataFrame:
     """Item text to (name, price, rating, image_url, product_url, source)."""
     base = F.coalesce("rule_base_url", "url") if "url" in items.columns else F.col("rule_base_url")
-    price = F.concat("rule_price_prefix", strip_tags(_field("price")))
-    found = items.select(
-        *[c for c in items.columns if not c.startswith("rule_") and c != "item"],
-        strip_tags(_field("name")).alias("name"),
-        F.coalesce(price, F.lit(MISSING)).alias("price"),
-        F.coalesce(strip_tags(_field("rating")), F.lit(MISSING)).alias("rating"),
-        F.coalesce(strip_tags(_field("image_url")), F.lit(MISSING)).alias("image_url"),
-        F.coalesce(resolve_url(base, strip_tags(_field("product_url"))),
-                   F.lit(MISSING)).alias("product_url"),
-        "rule_max_items", "rule_keyword",
+    kept = [c for c in items.columns if not c.startswith("rule_") and c != "item"]
+    limits = ["rule_max_items", "rule_keyword"]
+    # Patterns are matched here once; the next step only combines their texts.
+    raw = items.select(*kept, *limits, base.alias("__base"), "rule_price_prefix", *[
+        strip_tags(_field(f)).alias(f"__{f}")
+        for f in ("name", "price", "rating", "image_url", "product_url")])
+    return raw.select(
+        *kept,
+        or_missing(F.col("__name")).alias("name"),
+        or_missing(F.concat("rule_price_prefix", "__price")).alias("price"),
+        or_missing(F.col("__rating")).alias("rating"),
+        or_missing(F.col("__image_url")).alias("image_url"),
+        or_missing(resolve_url(F.col("__base"), F.col("__product_url"))).alias("product_url"),
+        *limits,
     )
-    return found.withColumn("name", F.coalesce("name", F.lit(MISSING)))
 
 
 def apply_item_limits(records: DataFrame) -> DataFrame:

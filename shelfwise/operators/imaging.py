@@ -86,13 +86,14 @@ def resize(grid: np.ndarray, height: int, width: int) -> np.ndarray:
     def taps(size, target):
         at = np.clip((np.arange(target) + 0.5) * size / target - 0.5, 0, size - 1)
         low = np.floor(at).astype(int)
-        return low, np.minimum(low + 1, size - 1), at - low
+        return low, np.minimum(low + 1, size - 1), (at - low).astype(np.float32)
 
     y0, y1, wy = taps(grid.shape[0], height)
     x0, x1, wx = taps(grid.shape[1], width)
-    scaled = grid.astype(np.float64) / 255.0
-    rows = scaled[y0] * (1 - wy)[:, None, None] + scaled[y1] * wy[:, None, None]
-    return rows[:, x0] * (1 - wx)[None, :, None] + rows[:, x1] * wx[None, :, None]
+    wy, wx = wy[:, None, None], wx[None, :, None]
+    # Only the rows that are needed are widened, before the columns are picked.
+    rows = grid[y0] * (1 - wy) + grid[y1] * wy
+    return (rows[:, x0] * (1 - wx) + rows[:, x1] * wx) / np.float32(255)
 
 
 def grid_encoder(rows: int = 20, cols: int = 12) -> Callable[[np.ndarray], np.ndarray]:
@@ -106,9 +107,20 @@ def grid_encoder(rows: int = 20, cols: int = 12) -> Callable[[np.ndarray], np.nd
         n, height, width, _ = batch.shape
         if height % rows or width % cols:
             raise ValueError("image size is not a multiple of the grid")
-        full = np.concatenate([batch, (batch @ LUMA / 1000)[..., None]], axis=3)
-        cells = full.reshape(n, rows, height // rows, cols, width // cols, 4)
-        mean, spread = cells.mean(axis=(2, 4)), cells.std(axis=(2, 4))
+        down = np.kron(np.eye(rows, dtype=np.float32),
+                       np.full(height // rows, rows / height, dtype=np.float32))
+        across = np.kron(np.eye(cols, dtype=np.float32),
+                         np.full(width // cols, cols / width, dtype=np.float32))
+
+        def cell_means(values):
+            depth = values.shape[3]
+            banded = (down @ values.reshape(n, height, width * depth)).reshape(
+                n, rows, width, depth)
+            return across @ banded
+
+        full = np.concatenate([batch, (batch @ (LUMA / 1000).astype(batch.dtype))[..., None]], axis=3)
+        mean = cell_means(full)
+        spread = np.sqrt(np.maximum(cell_means(full * full) - mean * mean, 0))
         return np.concatenate([mean, spread], axis=3).reshape(n, -1)
 
     return encode
@@ -120,11 +132,13 @@ def flat_encoder(batch: np.ndarray) -> np.ndarray:
 
 
 def embed_images(images: DataFrame, encoder: Callable[[np.ndarray], np.ndarray] | None = None,
-                 height: int = 320, width: int = 192, batch_size: int = 32) -> DataFrame:
+                 height: int = 320, width: int = 192, batch_size: int = 32,
+                 partitions: int | None = None) -> DataFrame:
     """A vector for every readable image: (image_id, embedding).
 
     `encoder` maps a batch (n, height, width, 3) with values in [0, 1] to
-    (n, d). It is shipped to the tasks with the job.
+    (n, d). It is shipped to the tasks with the job. Set `partitions` to spread
+    pictures that are small in bytes, and so few partitions, over more tasks.
     """
     encode = encoder or grid_encoder()
 
@@ -139,5 +153,7 @@ def embed_images(images: DataFrame, encoder: Callable[[np.ndarray], np.ndarray]
                 yield pd.DataFrame({"image_id": part["image_id"].to_numpy(),
                                     "embedding": list(vectors)})
 
-    return _readable(images).select("image_id", "height", "width", "nChannels", "data") \
-        .mapInPandas(embed, "image_id bigint, embedding array<float>")
+    rows = _readable(images).select("image_id", "height", "width", "nChannels", "data")
+    if partitions:
+        rows = rows.repartition(partitions)
+    return rows.mapInPandas(embed, "image_id bigint, embedding array<float>")

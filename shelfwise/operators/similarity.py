@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,8 +47,10 @@ def _matrix(batch, column: str) -> np.ndarray:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
     n = len(values)
+    if n == 0:
+        return np.empty((0, 0))
     flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if n and (len(flat) % n or set(np.diff(values.offsets.to_numpy())) != {len(flat) // n}):
+    if len(flat) % n or set(np.diff(values.offsets.to_numpy())) != {len(flat) // n}:
         raise ValueError("vectors differ in width")
     return flat.reshape(n, -1)
 
@@ -161,25 +165,37 @@ def _vectors(df: DataFrame, key: str, vector: str, out: str) -> DataFrame:
         F.col(key).cast("bigint").alias(out), F.col(vector).alias("v"))
 
 
-def _small(df: DataFrame, rows: int) -> pa.Table | None:
-    """The rows of `df` if they pass the size check, else None.
+class Side(NamedTuple):
+    """One side of the comparison: its rows, and their broadcast if they are few."""
+
+    rows: DataFrame
+    shared: Broadcast | None
+
+
+def prepare_side(df: DataFrame, key: str, vector: str = "embedding", *, out: str = "candidate_id",
+                 broadcast_rows: int = BROADCAST_ROWS) -> Side:
+    """Check the size of a side, and broadcast it when it is small.
 
     The check takes vector widths only, and stops at one row more than allowed.
+    Prepare a catalogue once to serve many batches of queries from it.
     """
-    widths = [row[0] for row in df.select(F.size("v")).take(rows + 1)]
-    if len(widths) > rows or 8 * sum(widths) > BROADCAST_BYTES:
-        return None
-    return df.toArrow()
+    rows = _vectors(df, key, vector, out)
+    widths = [row[0] for row in rows.select(F.size("v")).take(broadcast_rows + 1)]
+    if len(widths) > broadcast_rows or 8 * sum(widths) > BROADCAST_BYTES:
+        return Side(rows, None)
+    table = rows.toArrow()
+    shared = df.sparkSession.sparkContext.broadcast((_ids(table, out), _matrix(table, "v")))
+    return Side(rows, shared)
 
 
-def _scores(queries: DataFrame, catalogue: DataFrame, k, metric, digits, exclude_self,
-            broadcast_rows, block_rows) -> DataFrame:
-    spark = queries.sparkSession
+def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_key, candidate_key,
+            vector, exclude_self, digits, broadcast_rows, block_rows) -> DataFrame:
     prepare, score = _METRICS[metric]
+    if not isinstance(catalogue, Side):
+        catalogue = prepare_side(catalogue, candidate_key, vector, broadcast_rows=broadcast_rows)
 
-    fixed = _small(catalogue, broadcast_rows)
-    if fixed is not None:
-        shared = spark.sparkContext.broadcast((_ids(fixed, "candidate_id"), _matrix(fixed, "v")))
+    if catalogue.shared is not None:
+        shared = catalogue.shared
 
         def stream_queries(batches):
             candidates = _Block(*shared.value, prepare)
@@ -196,11 +212,12 @@ def _scores(queries: DataFrame, catalogue: DataFrame, k, metric, digits, exclude
                          pa.array(candidate_ids), pa.array(scores)],
                         names=["query_id", "rank", "candidate_id", "score"])
 
-        return queries.mapInArrow(stream_queries, _SCHEMA if k is None else _RANKED_SCHEMA)
+        return _vectors(queries, query_key, vector, "query_id").mapInArrow(
+            stream_queries, _SCHEMA if k is None else _RANKED_SCHEMA)
 
-    fixed = _small(queries, broadcast_rows)
-    if fixed is not None:
-        shared = spark.sparkContext.broadcast((_ids(fixed, "query_id"), _matrix(fixed, "v")))
+    asked = prepare_side(queries, query_key, vector, out="query_id", broadcast_rows=broadcast_rows)
+    if asked.shared is not None:
+        shared = asked.shared
 
         def stream_catalogue(batches):
             block = _Block(*shared.value, prepare)
@@ -216,19 +233,19 @@ def _scores(queries: DataFrame, catalogue: DataFrame, k, metric, digits, exclude
             if best is not None:
                 yield from _to_batches([best])
 
-        return catalogue.mapInArrow(stream_catalogue, _SCHEMA)
+        return catalogue.rows.mapInArrow(stream_catalogue, _SCHEMA)
 
     # Both sides are large: a grid of blocks, each row copied along its strip.
-    query_blocks = max(1, math.ceil(queries.count() / block_rows))
-    catalogue_blocks = max(1, math.ceil(catalogue.count() / block_rows))
+    query_blocks = max(1, math.ceil(asked.rows.count() / block_rows))
+    catalogue_blocks = max(1, math.ceil(catalogue.rows.count() / block_rows))
 
     def block_of(key, n):
         return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
-    left = queries.withColumns({
+    left = asked.rows.withColumns({
         "qb": block_of("query_id", query_blocks),
         "cb": F.explode(F.sequence(F.lit(0), F.lit(catalogue_blocks - 1)))})
-    right = catalogue.withColumns({
+    right = catalogue.rows.withColumns({
         "cb": block_of("candidate_id", catalogue_blocks),
         "qb": F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))})
 
@@ -242,7 +259,7 @@ def _scores(queries: DataFrame, catalogue: DataFrame, k, metric, digits, exclude
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, _SCHEMA)
 
 
-def topk(queries: DataFrame, catalogue: DataFrame, k: int = 5, metric: str = "cosine", *,
+def topk(queries: DataFrame, catalogue: DataFrame | Side, k: int = 5, metric: str = "cosine", *,
          query_key: str = "query_id", candidate_key: str = "candidate_id",
          vector: str = "embedding", exclude_self: bool = False, digits: int = 6,
          broadcast_rows: int = BROADCAST_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -250,11 +267,11 @@ def topk(queries: DataFrame, catalogue: DataFrame, k: int = 5, metric: str = "co
 
     Keys are unique whole numbers. For `euclidean` the score is minus the
     squared distance. A query that is itself in the catalogue finds itself
-    unless `exclude_self` is set.
+    unless `exclude_self` is set. Inputs with a costly history should be
+    written to a table first, as large ones are read more than once.
     """
-    scored = _scores(_vectors(queries, query_key, vector, "query_id"),
-                     _vectors(catalogue, candidate_key, vector, "candidate_id"),
-                     k, metric, digits, exclude_self, broadcast_rows, block_rows)
+    scored = _scores(queries, catalogue, k, metric, query_key, candidate_key, vector,
+                     exclude_self, digits, broadcast_rows, block_rows)
     if "rank" in scored.columns:
         return scored
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "candidate_id"))
@@ -262,7 +279,7 @@ def topk(queries: DataFrame, catalogue: DataFrame, k: int = 5, metric: str = "co
             .select("query_id", "rank", "candidate_id", "score"))
 
 
-def topk_similar(queries: DataFrame, catalogue: DataFrame, k: int = 5, **options) -> DataFrame:
+def topk_similar(queries: DataFrame, catalogue: DataFrame | Side, k: int = 5, **options) -> DataFrame:
     """Cosine top-k: (query_id, rank, candidate_id, similarity)."""
     return topk(queries, catalogue, k, "cosine", **options).withColumnRenamed("score", "similarity")
 
@@ -276,9 +293,8 @@ def similarity_scores(queries: DataFrame, catalogue: DataFrame, *, query_key: st
     The result has |queries| x |catalogue| rows, so this is for a handful of
     queries; `topk_similar` is the form for many.
     """
-    scored = _scores(_vectors(queries, query_key, vector, "query_id"),
-                     _vectors(catalogue, candidate_key, vector, "candidate_id"),
-                     None, "cosine", digits, False, broadcast_rows, block_rows)
+    scored = _scores(queries, catalogue, None, "cosine", query_key, candidate_key, vector,
+                     False, digits, broadcast_rows, block_rows)
     return scored.withColumnRenamed("score", "similarity")
 
 

@@ -21,7 +21,7 @@ from shelfwise.operators import ordinals, recommend, score, similarity, trends
 from shelfwise.plans import bindings as b
 from shelfwise.plans import catalogue
 from shelfwise.schema import IMAGE_METADATA, SEARCH_TERMS, SUMMARY, TRAINING_RATING
-from shelfwise.session import fresh_path, materialize
+from shelfwise.session import fresh_path, materialize, shuffle_partitions
 from shelfwise.sinks import files
 from shelfwise.sources import frontier
 from shelfwise.sources.models import load_model
@@ -482,7 +482,8 @@ def embed_images(spark, sf):
 
 @query
 def embed_images_grid(spark, sf):
-    vectors = imaging.embed_images(b.tiles(spark, sf))
+    # A tile grows a thousandfold when it is resized: spread them before that.
+    vectors = imaging.embed_images(b.tiles(spark, sf), partitions=shuffle_partitions(spark))
     return vectors.select("image_id", big(F.size("embedding")).alias("width"),
                           r6(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)).alias("total"))
 
