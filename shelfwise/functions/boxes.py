@@ -20,19 +20,21 @@ def is_apparel(class_name: Column, keywords=None, person: str = PERSON_CLASS) ->
 
 def padded_box(bbox: Column, width: Column | int, height: Column | int,
                padding: int = BOX_PADDING) -> Column:
-    """Pad, truncate toward zero, and clamp to the image: (x1, y1, x2, y2).
+    """Pad, clamp to the image, and truncate toward zero: (x1, y1, x2, y2).
 
-    NULL when a coordinate is missing or not a number.
+    An edge is NULL when its coordinate is missing or not a number.
     """
-    low = [(F.get(bbox, F.lit(i)) - padding).try_cast("int") for i in (0, 1)]
-    high = [(F.get(bbox, F.lit(i)) + padding).try_cast("int") for i in (2, 3)]
-    complete = low[0].isNotNull() & low[1].isNotNull() & high[0].isNotNull() & high[1].isNotNull()
-    return F.when(complete, F.struct(
-        F.greatest(F.lit(0), low[0]).alias("x1"),
-        F.greatest(F.lit(0), low[1]).alias("y1"),
-        F.least(F.lit(width), high[0]).alias("x2"),
-        F.least(F.lit(height), high[1]).alias("y2"),
-    ))
+    def edge(i, shift, clamp, limit):
+        coordinate = F.get(bbox, F.lit(i))
+        clamped = clamp(coordinate + shift, F.lit(limit).cast("double"))
+        return F.when(coordinate.isNotNull(), clamped.try_cast("int"))
+
+    return F.struct(
+        edge(0, -padding, F.greatest, 0).alias("x1"),
+        edge(1, -padding, F.greatest, 0).alias("y1"),
+        edge(2, padding, F.least, width).alias("x2"),
+        edge(3, padding, F.least, height).alias("y2"),
+    )
 
 
 def has_area(box: Column) -> Column:

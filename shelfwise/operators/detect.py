@@ -26,7 +26,8 @@ def crop_boxes(detections: DataFrame, width: Column | int, height: Column | int,
                padding: int = BOX_PADDING) -> DataFrame:
     """Clipped pixel boxes; boxes without area inside the image are dropped."""
     boxed = detections.withColumn("box", padded_box(F.col("bbox"), width, height, padding))
-    return boxed.where(has_area(F.col("box")))
+    whole = F.forall("bbox", lambda x: x.isNotNull() & ~F.isnan(x))
+    return boxed.where(whole & has_area(F.col("box")))
 
 
 def accepted_crops(detections: DataFrame, width: Column | int, height: Column | int,
@@ -85,12 +86,12 @@ def detections_per_image(images: DataFrame, numbered: DataFrame,
             d["bbox"].alias("bbox"))).alias("detections"))
     )
     counts = numbered.groupBy("image_id").agg(F.count(F.lit(1)).alias("cropped_count"))
-    every = images.select("image_id").join(counts, "image_id", "left")
-    return every.join(chunks, "image_id", "left").select(
-        "image_id",
-        F.coalesce("chunk", F.lit(0)).cast("bigint").alias("chunk"),
-        F.coalesce("detections", F.array().cast(
-            "array<struct<class_name:string,confidence:double,bbox:array<double>>>")
-        ).alias("detections"),
-        F.coalesce("cropped_count", F.lit(0)).cast("bigint").alias("cropped_count"),
-    )
+    # The lists join a row per image from their own side, so that a skewed
+    # image can be split; images without crops are added apart.
+    filled = chunks.join(counts, "image_id").select(
+        "image_id", "chunk", "detections", "cropped_count")
+    bare = images.select("image_id").join(counts, "image_id", "left_anti").select(
+        "image_id", F.lit(0).cast("bigint").alias("chunk"),
+        F.array().cast("array<struct<class_name:string,confidence:double,bbox:array<double>>>")
+        .alias("detections"), F.lit(0).cast("bigint").alias("cropped_count"))
+    return filled.unionByName(bare)

@@ -1,72 +1,139 @@
 """Exact positions and running totals without a single-task window.
 
-Rows are range-partitioned by (group, order) and written to the shared folder
-with their partition number. A group of any size is then spread over as many
-partitions as it fills, each partition is numbered on its own, and the totals
-of the partitions before it are added. A partition can continue at most one
-group from its predecessor, so those totals are never more rows than there are
-partitions: that is what makes broadcasting them safe.
+A window over the whole table, or over a group that holds a large share of it,
+is the work of one task. Here the order is cut into pieces first: every piece
+is numbered on its own, and what lies before it is added from the totals of the
+earlier pieces, which are few enough to broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.session import materialize, shuffle_partitions
 
-_PART, _POS, _BEFORE = "__part", "__pos", "__before"
+_PIECE, _POS, _BEFORE = "__piece", "__pos", "__before"
 
+# A group of up to this many rows is left to one task.
+HEAVY_ROWS = 1_000_000
+_EARLIER = (W.unboundedPreceding, -1)
+_SO_FAR = (W.unboundedPreceding, W.currentRow)
 
-def _staged(df: DataFrame, keys, partitions: int | None) -> DataFrame:
+
+# --- the whole table -------------------------------------------------------
+
+def _ranged(df: DataFrame, order, partitions: int | None) -> DataFrame:
+    """Range-partitioned rows, written once with their partition and place.
+
+    The totals and the rows then see the same partitions, whatever is lost and
+    computed again in between.
+    """
     n = partitions or shuffle_partitions(df.sparkSession)
     in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return materialize(
-        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-        .withColumn(_PART, F.spark_partition_id()).withColumn(_POS, in_partition),
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        .withColumn(_PIECE, F.spark_partition_id()).withColumn(_POS, in_partition),
         "ranged")
 
 
-def _with_before(staged: DataFrame, total, by) -> DataFrame:
-    """Attach the group's total over all earlier partitions."""
-    earlier = W.partitionBy(*by).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
-    carried = (staged.groupBy(_PART, *by).agg(total.alias("__t"))
-               .withColumn(_BEFORE, F.sum("__t").over(earlier))
-               .where(F.col(_BEFORE).isNotNull()))
-    carried = carried.select(F.col(_PART).alias("__p"), _BEFORE,
-                             *[F.col(c).alias(f"__by_{c}") for c in by])
-    match = F.col(_PART) == F.col("__p")
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
-    joined = staged.join(F.broadcast(carried), match, "left")
-    return joined.drop("__p", *[f"__by_{c}" for c in by]).withColumn(
-        _BEFORE, F.coalesce(_BEFORE, F.lit(0)))
+def _add_earlier(ranged: DataFrame, total: Column) -> DataFrame:
+    """The total of all earlier partitions; one row per partition is broadcast."""
+    earlier = F.sum("__t").over(W.orderBy(_PIECE).rowsBetween(*_EARLIER))
+    before = ranged.groupBy(_PIECE).agg(total.alias("__t")).select(
+        _PIECE, F.coalesce(earlier, F.lit(0)).alias(_BEFORE))
+    return ranged.join(F.broadcast(before), _PIECE)
 
 
 def row_ordinal(df: DataFrame, order, name: str = "ordinal",
                 partitions: int | None = None) -> DataFrame:
     """Dense 0..n-1 position in the order of unique key `order`."""
-    staged = _staged(df, order, partitions)
-    numbered = _with_before(staged, F.count(F.lit(1)), [])
-    return (numbered.withColumn(name, F.col(_BEFORE) + F.col(_POS))
-            .drop(_PART, _POS, _BEFORE))
+    placed = _add_earlier(_ranged(df, order, partitions), F.count(F.lit(1)))
+    return placed.withColumn(name, F.col(_BEFORE) + F.col(_POS)).drop(_PIECE, _POS, _BEFORE)
 
 
-def running_total(df: DataFrame, value: str, order, by=(), name: str = "running_total",
+def running_total(df: DataFrame, value: str, order, name: str = "running_total",
                   partitions: int | None = None) -> DataFrame:
-    """Sum of `value` over this row and all rows before it in its group."""
-    staged = _staged(df, [*by, *order], partitions)
-    local = F.sum(value).over(W.partitionBy(_PART, *by).orderBy(*order)
-                              .rowsBetween(W.unboundedPreceding, W.currentRow))
-    summed = _with_before(staged, F.sum(value), by)
-    return (summed.withColumn(name, F.col(_BEFORE) + local)
-            .drop(_PART, _POS, _BEFORE))
+    """Sum of `value` over this row and all rows before it."""
+    placed = _add_earlier(_ranged(df, order, partitions), F.sum(value))
+    local = F.sum(value).over(W.partitionBy(_PIECE).orderBy(_POS).rowsBetween(*_SO_FAR))
+    return placed.withColumn(name, F.col(_BEFORE) + local).drop(_PIECE, _POS, _BEFORE)
 
 
-def group_ordinal(df: DataFrame, by, order, name: str = "ordinal",
-                  partitions: int | None = None) -> DataFrame:
-    """0-based position of each row inside its group."""
-    one = df.withColumn("__one", F.lit(1).cast("bigint"))
-    ranked = running_total(one, "__one", order, by, "__n", partitions)
-    return ranked.withColumn(name, F.col("__n") - 1).drop("__n", "__one")
+# --- groups ----------------------------------------------------------------
+
+def _match(df: DataFrame, few: DataFrame, keys, how: str) -> DataFrame:
+    """Join a broadcast table on keys that may be NULL."""
+    renamed = few.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys]
+    return df.join(F.broadcast(renamed), same, how).drop(*[f"__of_{k}" for k in keys])
+
+
+def _heavy_groups(df: DataFrame, order: str, by, pieces: int, heavy_rows: int) -> DataFrame | None:
+    """Number of cuts and outer quantiles of the order of each heavy group.
+
+    A group is heavy if it has more rows than `heavy_rows` and than the average
+    of `pieces` equal parts of the table, so there are fewer of them than
+    `pieces`. None if no group has that many rows, which is the usual case.
+    """
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    if counts.where(F.col("__n") > heavy_rows).isEmpty():
+        return None
+    total = counts.agg(F.sum("__n")).scalar()
+    heavy = counts.withColumn("__share", F.col("__n") * pieces / total).where(
+        (F.col("__n") > heavy_rows) & (F.col("__share") > 1))
+    ends = F.percentile_approx(F.col(order).cast("double"), [0.001, 0.999], 10000)
+    return materialize(
+        _match(df, heavy.drop("__n"), by, "inner").groupBy(*by, "__share").agg(ends.alias("__e"))
+        .select(*by, F.ceil("__share").alias("__cuts"), F.get("__e", F.lit(0)).alias("__low"),
+                F.get("__e", F.lit(1)).alias("__high")), "heavy-groups")
+
+
+def _cut(df: DataFrame, heavy: DataFrame, order: str, by, how: str) -> DataFrame:
+    """Number the pieces of heavy groups, equal steps apart; other rows have none."""
+    value = F.col(order).cast("double")
+    step = F.try_divide((value - F.col("__low")) * F.col("__cuts"), F.col("__high") - F.col("__low"))
+    inside = F.least(F.col("__cuts").cast("double"), F.greatest(F.lit(-1.0), F.floor(step)))
+    piece = F.when(F.col("__cuts").isNotNull(), F.when(F.col(order).isNull(), -2).otherwise(
+        F.coalesce(inside.cast("int"), F.lit(0))))
+    return _match(df, heavy, by, how).withColumn(_PIECE, piece).drop("__cuts", "__low", "__high")
+
+
+def _over_groups(df: DataFrame, order, by, total: Column, local, pieces: int | None,
+                 heavy_rows: int) -> DataFrame:
+    """Attach `__local`, the window inside the piece, and the total before it."""
+    pieces = pieces or shuffle_partitions(df.sparkSession)
+    heavy = _heavy_groups(df, order[0], by, pieces, heavy_rows)
+    if heavy is None:
+        whole = W.partitionBy(*by).orderBy(*order)
+        return df.withColumn("__local", local(whole)).withColumns(
+            {_PIECE: F.lit(None), _BEFORE: F.lit(0)})
+    earlier = F.sum("__t").over(W.partitionBy(*by).orderBy(_PIECE).rowsBetween(*_EARLIER))
+    before = (_cut(df, heavy, order[0], by, "inner").groupBy(*by, _PIECE).agg(total.alias("__t"))
+              .select(*by, _PIECE, earlier.alias(_BEFORE)).where(F.col(_BEFORE).isNotNull()))
+    placed = _cut(df, heavy, order[0], by, "left")
+    window = W.partitionBy(*by, _PIECE).orderBy(*order)
+    return _match(placed.withColumn("__local", local(window)), before, [*by, _PIECE], "left")
+
+
+def group_running_total(df: DataFrame, value: str, order, by, name: str = "running_total",
+                        pieces: int | None = None, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Sum of `value` over this row and all rows before it in its group.
+
+    `order` starts with a numeric column. Heavy groups are spread over as many
+    tasks as they fill; the rows are shuffled once.
+    """
+    summed = _over_groups(df, order, by, F.sum(value),
+                          lambda w: F.sum(value).over(w.rowsBetween(*_SO_FAR)), pieces, heavy_rows)
+    return summed.withColumn(name, F.col("__local") + F.coalesce(_BEFORE, F.lit(0))) \
+        .drop("__local", _PIECE, _BEFORE)
+
+
+def group_ordinal(df: DataFrame, by, order, name: str = "ordinal", pieces: int | None = None,
+                  heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """0-based position of each row inside its group, ordered as in `group_running_total`."""
+    ranked = _over_groups(df, order, by, F.count(F.lit(1)),
+                          lambda w: F.row_number().over(w), pieces, heavy_rows)
+    position = F.col("__local").cast("bigint") - 1 + F.coalesce(_BEFORE, F.lit(0))
+    return ranked.withColumn(name, position).drop("__local", _PIECE, _BEFORE)

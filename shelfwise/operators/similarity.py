@@ -32,8 +32,9 @@ from shelfwise.functions.vectors import is_finite
 # A side is broadcast only if it has at most this many rows and vector bytes.
 BROADCAST_ROWS = 16_384
 BROADCAST_BYTES = 256 << 20
-# Rows per block when both sides are large.
-BLOCK_ROWS = 8_192
+# Rows and vector bytes per block when both sides are large.
+BLOCK_ROWS = 32_768
+BLOCK_BYTES = 64 << 20
 # Cells of one similarity matrix held in memory at a time.
 MATRIX_CELLS = 4 << 20
 
@@ -170,6 +171,7 @@ class Side(NamedTuple):
 
     rows: DataFrame
     shared: Broadcast | None
+    width: int
 
 
 def prepare_side(df: DataFrame, key: str, vector: str = "embedding", *, out: str = "candidate_id",
@@ -182,10 +184,10 @@ def prepare_side(df: DataFrame, key: str, vector: str = "embedding", *, out: str
     rows = _vectors(df, key, vector, out)
     widths = [row[0] for row in rows.select(F.size("v")).take(broadcast_rows + 1)]
     if len(widths) > broadcast_rows or 8 * sum(widths) > BROADCAST_BYTES:
-        return Side(rows, None)
+        return Side(rows, None, max(widths))
     table = rows.toArrow()
     shared = df.sparkSession.sparkContext.broadcast((_ids(table, out), _matrix(table, "v")))
-    return Side(rows, shared)
+    return Side(rows, shared, max(widths, default=0))
 
 
 def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_key, candidate_key,
@@ -236,6 +238,7 @@ def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_ke
         return catalogue.rows.mapInArrow(stream_catalogue, _SCHEMA)
 
     # Both sides are large: a grid of blocks, each row copied along its strip.
+    block_rows = min(block_rows, max(1, BLOCK_BYTES // (8 * max(1, asked.width))))
     query_blocks = max(1, math.ceil(asked.rows.count() / block_rows))
     catalogue_blocks = max(1, math.ceil(catalogue.rows.count() / block_rows))
 

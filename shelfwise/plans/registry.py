@@ -354,7 +354,7 @@ def running_totals(spark, sf):
 def running_totals_by_source(spark, sf):
     found = F.regexp_count("html", F.lit("<a href="))
     counted = b.page_sources(spark, sf).select("page_id", "source", big(found).alias("n"))
-    return ordinals.running_total(counted, "n", ["page_id"], by=["source"], name="source_total")
+    return ordinals.group_running_total(counted, "n", ["page_id"], ["source"], "source_total")
 
 
 @query

@@ -9,17 +9,21 @@ from shelfwise.functions.text import file_name
 from shelfwise.schema import IMAGE_EXTENSIONS
 
 
-def _by_extension(df: DataFrame, path: str, extensions) -> DataFrame:
-    return df.where(F.lower(F.col(path)).rlike(f"[.]({'|'.join(extensions)})$"))
+def _files(spark: SparkSession, kind: str, path: str, recursive: bool, extensions) -> DataFrame:
+    """Files with the given endings in any case; others are not even opened."""
+    def any_case(word):
+        return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+    endings = ",".join(any_case(e) for e in extensions or IMAGE_EXTENSIONS)
+    return (spark.read.format(kind).option("recursiveFileLookup", recursive)
+            .option("pathGlobFilter", f"*.{{{endings}}}").load(path))
 
 
 def scan_images(spark: SparkSession, path: str, recursive: bool = True,
                 extensions=None) -> DataFrame:
     """Image files under a folder, endings compared without case."""
-    files = (spark.read.format("binaryFile")
-             .option("recursiveFileLookup", recursive).load(path))
-    kept = _by_extension(files, "path", extensions or IMAGE_EXTENSIONS)
-    return kept.withColumn("file_name", file_name(F.col("path")))
+    files = _files(spark, "binaryFile", path, recursive, extensions)
+    return files.withColumn("file_name", file_name(F.col("path")))
 
 
 def decode_images(spark: SparkSession, path: str, recursive: bool = True,
@@ -29,10 +33,9 @@ def decode_images(spark: SparkSession, path: str, recursive: bool = True,
     A file that cannot be decoded stays as a row with status `failed` and no
     pixels, so a bad file never fails the job and never vanishes.
     """
-    raw = (spark.read.format("image").option("recursiveFileLookup", recursive)
-           .load(path).select("image.*"))
+    raw = _files(spark, "image", path, recursive, extensions).select("image.*")
     ok = F.col("height") > 0
-    return _by_extension(raw, "origin", extensions or IMAGE_EXTENSIONS).select(
+    return raw.select(
         file_name(F.col("origin")).alias("file_name"), "origin",
         F.when(ok, F.col("height")).alias("height"),
         F.when(ok, F.col("width")).alias("width"),

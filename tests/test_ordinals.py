@@ -36,26 +36,47 @@ def test_row_ordinal_descending(spark, skewed):
     assert [r["ordinal"] for r in got] == list(range(skewed.count()))
 
 
-@pytest.mark.parametrize("partitions", [1, 5])
-def test_group_ordinal_spans_partitions(spark, skewed, partitions):
-    got = ordinals.group_ordinal(skewed, ["g"], ["k"], partitions=partitions).collect()
+@pytest.mark.parametrize("pieces, heavy_rows", [(4, 10**6), (2, 10), (40, 10)])
+def test_group_ordinal_spans_pieces(spark, skewed, pieces, heavy_rows):
+    got = ordinals.group_ordinal(skewed, ["g"], ["k"], pieces=pieces, heavy_rows=heavy_rows).collect()
     want = expected(skewed, lambda r: 1, True)
     assert {(r["g"], r["k"]): r["ordinal"] + 1 for r in got} == want
 
 
 def test_running_total_in_groups_and_overall(spark, skewed):
-    grouped = ordinals.running_total(skewed, "v", ["k"], by=["g"], partitions=5).collect()
-    assert {(r["g"], r["k"]): r["running_total"] for r in grouped} == expected(
-        skewed, lambda r: r["v"], True)
+    for heavy_rows in (10, 10**6):
+        grouped = ordinals.group_running_total(skewed, "v", ["k"], ["g"], pieces=7,
+                                               heavy_rows=heavy_rows).collect()
+        assert {(r["g"], r["k"]): r["running_total"] for r in grouped} == expected(
+            skewed, lambda r: r["v"], True)
     overall = ordinals.running_total(skewed, "v", ["k"], partitions=5).collect()
     assert {(r["g"], r["k"]): r["running_total"] for r in overall} == expected(
         skewed, lambda r: r["v"], False)
 
 
-def test_hot_group_is_spread(spark, skewed):
-    staged = ordinals._staged(skewed, ["g", "k"], 6)
-    sizes = [r["n"] for r in staged.groupBy("__part").agg(F.count("*").alias("n")).collect()]
-    assert len(sizes) == 6 and max(sizes) < 0.4 * skewed.count()
+def test_only_heavy_groups_are_cut(spark, skewed):
+    """Also when one far value stretches the range of the keys."""
+    far = skewed.union(spark.createDataFrame([("hot", 2**60, 1)], skewed.schema))
+    heavy = ordinals._heavy_groups(far, "k", ["g"], 16, 100)
+    placed = ordinals._cut(far, heavy, "k", ["g"], "left")
+    assert placed.where("g <> 'hot' and __piece is not null").count() == 0
+    sizes = [r["n"] for r in placed.where("g = 'hot'").groupBy("__piece").agg(
+        F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 11 and max(sizes) < 0.2 * 2000
+
+
+def test_rows_of_equal_or_missing_order(spark):
+    same = spark.createDataFrame([("a", 5), ("a", 5), ("a", None), ("b", 5)], "g string, k long")
+    for heavy_rows in (1, 100):
+        got = ordinals.group_ordinal(same, ["g"], ["k"], pieces=4, heavy_rows=heavy_rows).collect()
+        assert sorted((r["g"], r["ordinal"]) for r in got) == [("a", 0), ("a", 1), ("a", 2), ("b", 0)]
+        assert [r["ordinal"] for r in got if r["g"] == "a" and r["k"] is None] == [0]
+
+
+def test_large_sides_are_never_joined_by_shuffle(spark, skewed):
+    assert ordinals._heavy_groups(skewed, "k", ["g"], 16, 10**6) is None
+    plan = ordinals.group_ordinal(skewed, ["g"], ["k"], heavy_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "NestedLoop" not in plan
 
 
 def test_empty(spark, skewed):
