@@ -28,15 +28,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.vectors import is_finite
+from shelfwise.session import shuffle_partitions
 
 # A side is broadcast only if it has at most this many rows and vector bytes.
 BROADCAST_ROWS = 16_384
 BROADCAST_BYTES = 256 << 20
 # Rows and vector bytes per block when both sides are large.
-BLOCK_ROWS = 32_768
+BLOCK_ROWS, MIN_BLOCK_ROWS = 32_768, 4_096
 BLOCK_BYTES = 64 << 20
-# Cells of one similarity matrix held in memory at a time.
-MATRIX_CELLS = 4 << 20
+# Queries and candidates of one similarity matrix; the first matrix is narrow.
+MATRIX_ROWS, MATRIX_COLUMNS, FIRST_COLUMNS = 1024, 4096, 512
 
 _SCHEMA = "query_id bigint, candidate_id bigint, score double"
 _RANKED_SCHEMA = "query_id bigint, rank int, candidate_id bigint, score double"
@@ -114,30 +115,72 @@ def _pick(scores: np.ndarray, k: int) -> np.ndarray:
     return np.nonzero(chosen)[1].reshape(len(scores), k)
 
 
+def _merge(parts, k):
+    """(query, rank, candidate, score) of the k best of every query over all parts."""
+    query_ids, candidate_ids, scores = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((candidate_ids, -scores, query_ids))
+    query_ids, candidate_ids, scores = query_ids[order], candidate_ids[order], scores[order]
+    starts = np.flatnonzero(np.r_[True, query_ids[1:] != query_ids[:-1]][:len(query_ids)])
+    lengths = np.diff(np.r_[starts, len(query_ids)])
+    rank = np.arange(len(query_ids)) - np.repeat(starts, lengths) + 1
+    kept = rank <= k
+    return query_ids[kept], rank[kept], candidate_ids[kept], scores[kept]
+
+
+def _matrices(queries: _Block, candidates: _Block, score, exclude_self, first):
+    """Score matrices of a block pair: (query ids, candidate ids, scores), by query rows."""
+    cuts = [0, *range(min(first, len(candidates)), len(candidates), MATRIX_COLUMNS), len(candidates)]
+    for top in range(0, len(queries), MATRIX_ROWS):
+        ids = queries.ids[top:top + MATRIX_ROWS]
+        for left, right in zip(cuts, cuts[1:]):
+            if left == right:
+                continue
+            names = candidates.ids[left:right]
+            scores = score(queries.vectors[top:top + MATRIX_ROWS], candidates.vectors[left:right])
+            if exclude_self:
+                at = np.minimum(np.searchsorted(names, ids), len(names) - 1)
+                same = names[at] == ids
+                scores[np.flatnonzero(same), at[same]] = -np.inf
+            yield left == 0, ids, names, scores
+
+
+def _all_pairs(queries: _Block, candidates: _Block, score, digits):
+    """Every (query ids, candidate ids, scores) of a block pair."""
+    for _, ids, names, scores in _matrices(queries, candidates, score, False, MATRIX_COLUMNS):
+        yield (np.repeat(ids, len(names)), np.tile(names, len(ids)),
+               np.round(scores, digits).ravel() + 0.0)
+
+
 def _best(queries: _Block, candidates: _Block, score, k, digits, exclude_self):
-    """(query ids, candidate ids, scores) of the k best per query; all if k is None."""
-    found = []
-    if len(queries) == 0 or len(candidates) == 0:
-        return found
-    step = max(1, MATRIX_CELLS // len(candidates))
-    for start in range(0, len(queries), step):
-        ids = queries.ids[start:start + step]
-        scores = np.round(score(queries.vectors[start:start + step], candidates.vectors), digits)
-        scores += 0.0  # no negative zero
-        if exclude_self:
-            at = np.searchsorted(candidates.ids, ids)
-            at_clipped = np.minimum(at, len(candidates) - 1)
-            same = candidates.ids[at_clipped] == ids
-            scores[np.nonzero(same)[0], at_clipped[same]] = -np.inf
-        if k is None:
-            columns = np.broadcast_to(np.arange(len(candidates)), scores.shape)
+    """(query ids, candidate ids, scores) of the k best of every query.
+
+    Candidates come in the order of their keys, so after the first matrix only
+    a score that rounds to more than the query's k-th best can still enter.
+    """
+    found, best, ids = [], None, None
+    for opens, ids, names, scores in _matrices(queries, candidates, score, exclude_self,
+                                               max(FIRST_COLUMNS, 2 * k)):
+        if opens:
+            if best is not None:
+                found.append(best)
+            rounded = np.round(scores, digits) + 0.0
+            columns = _pick(rounded, k)
+            values = np.take_along_axis(rounded, columns, axis=1).ravel()
+            keep = values > -np.inf
+            best = (np.repeat(ids, columns.shape[1])[keep], names[columns].ravel()[keep], values[keep])
         else:
-            columns = _pick(scores, k)
-        width = columns.shape[1]
-        values = np.take_along_axis(scores, columns, axis=1).ravel()
-        keep = values > -np.inf
-        found.append((np.repeat(ids, width)[keep],
-                      candidates.ids[columns].ravel()[keep], values[keep]))
+            rows, columns = np.nonzero(scores > limit[:, None])
+            if len(rows):
+                values = np.round(scores[rows, columns], digits) + 0.0
+                query_ids, _, candidate_ids, values = _merge(
+                    [best, (ids[rows], names[columns], values)], k)
+                best = query_ids, candidate_ids, values
+        limit = np.full(len(ids), -np.inf)
+        query_ids, rank, _, values = _merge([best], k)
+        full = rank == k
+        limit[np.searchsorted(ids, query_ids[full])] = values[full] + 0.4 * 10.0 ** -digits
+    if best is not None:
+        found.append(best)
     return found
 
 
@@ -148,18 +191,6 @@ def _to_batches(found) -> Iterator[pa.RecordBatch]:
             names=["query_id", "candidate_id", "score"])
 
 
-def _merge(parts, k):
-    """(query, rank, candidate, score) of the k best of every query over all parts."""
-    query_ids, candidate_ids, scores = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((candidate_ids, -scores, query_ids))
-    query_ids, candidate_ids, scores = query_ids[order], candidate_ids[order], scores[order]
-    starts = np.flatnonzero(np.r_[True, query_ids[1:] != query_ids[:-1]])
-    lengths = np.diff(np.r_[starts, len(query_ids)])
-    rank = np.arange(len(query_ids)) - np.repeat(starts, lengths) + 1
-    kept = rank <= k
-    return query_ids[kept], rank[kept], candidate_ids[kept], scores[kept]
-
-
 def _vectors(df: DataFrame, key: str, vector: str, out: str) -> DataFrame:
     """Two columns: the key as a number, and the vector."""
     return df.where(F.col(vector).isNotNull()).select(
@@ -203,10 +234,11 @@ def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_ke
             candidates = _Block(*shared.value, prepare)
             for batch in batches:
                 block = _Block(_ids(batch, "query_id"), _matrix(batch, "v"), prepare)
-                found = _best(block, candidates, score, k, digits, exclude_self)
                 if k is None:
-                    yield from _to_batches(found)
-                elif found:
+                    yield from _to_batches(_all_pairs(block, candidates, score, digits))
+                    continue
+                found = _best(block, candidates, score, k, digits, exclude_self)
+                if found:
                     # Every candidate was seen, so these ranks are final.
                     query_ids, rank, candidate_ids, scores = _merge(found, k)
                     yield pa.RecordBatch.from_arrays(
@@ -226,10 +258,11 @@ def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_ke
             best = None
             for batch in batches:
                 candidates = _Block(_ids(batch, "candidate_id"), _matrix(batch, "v"), prepare)
-                found = _best(block, candidates, score, k, digits, exclude_self)
                 if k is None:
-                    yield from _to_batches(found)
-                elif found:
+                    yield from _to_batches(_all_pairs(block, candidates, score, digits))
+                    continue
+                found = _best(block, candidates, score, k, digits, exclude_self)
+                if found:
                     query_ids, _, ids, scores = _merge(found if best is None else [best, *found], k)
                     best = query_ids, ids, scores
             if best is not None:
@@ -239,8 +272,14 @@ def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_ke
 
     # Both sides are large: a grid of blocks, each row copied along its strip.
     block_rows = min(block_rows, max(1, BLOCK_BYTES // (8 * max(1, asked.width))))
-    query_blocks = max(1, math.ceil(asked.rows.count() / block_rows))
-    catalogue_blocks = max(1, math.ceil(catalogue.rows.count() / block_rows))
+    side = math.ceil(math.sqrt(shuffle_partitions(queries.sparkSession)))
+
+    def blocks(rows: DataFrame) -> int:
+        """Enough blocks for their size, and for all tasks unless they get tiny."""
+        n = rows.count()
+        return max(1, math.ceil(n / block_rows), min(side, n // MIN_BLOCK_ROWS))
+
+    query_blocks, catalogue_blocks = blocks(asked.rows), blocks(catalogue.rows)
 
     def block_of(key, n):
         return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
@@ -255,8 +294,11 @@ def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_ke
     def cell(left_table: pa.Table, right_table: pa.Table) -> pa.Table:
         block = _Block(_ids(left_table, "query_id"), _matrix(left_table, "v"), prepare)
         candidates = _Block(_ids(right_table, "candidate_id"), _matrix(right_table, "v"), prepare)
-        batches = list(_to_batches(_best(block, candidates, score, k, digits, exclude_self)))
-        return pa.Table.from_batches(batches, schema=pa.schema(
+        if k is None:
+            found = _all_pairs(block, candidates, score, digits)
+        else:
+            found = _best(block, candidates, score, k, digits, exclude_self)
+        return pa.Table.from_batches(_to_batches(found), schema=pa.schema(
             [("query_id", pa.int64()), ("candidate_id", pa.int64()), ("score", pa.float64())]))
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(cell, _SCHEMA)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import file_name
-from shelfwise.schema import IMAGE_EXTENSIONS
+from shelfwise.schema import FLAT_IMAGE_EXTENSIONS, IMAGE_EXTENSIONS
 
 
 def _files(spark: SparkSession, kind: str, path: str, recursive: bool, extensions) -> DataFrame:
@@ -14,7 +14,8 @@ def _files(spark: SparkSession, kind: str, path: str, recursive: bool, extension
     def any_case(word):
         return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
 
-    endings = ",".join(any_case(e) for e in extensions or IMAGE_EXTENSIONS)
+    known = IMAGE_EXTENSIONS if recursive else FLAT_IMAGE_EXTENSIONS
+    endings = ",".join(any_case(e) for e in extensions or known)
     return (spark.read.format(kind).option("recursiveFileLookup", recursive)
             .option("pathGlobFilter", f"*.{{{endings}}}").load(path))
 
