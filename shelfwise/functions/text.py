@@ -1,4 +1,4 @@
-"""Text cleaning, number coercion and URL resolution."""
+"""Text cleaning and number coercion."""
 
 from __future__ import annotations
 
@@ -66,50 +66,6 @@ def strip_tags(html: Column) -> Column:
     return F.trim(text)
 
 
-def _merge_dots(path: Column) -> Column:
-    """Resolve `.` and `..` in an absolute path."""
-    parts = F.split(path, "/")
-    last = F.element_at(parts, -1)
-    kept = F.aggregate(
-        parts,
-        F.array().cast("array<string>"),
-        lambda acc, part: F.when(part == ".", acc)
-        .when((part == "..") & (F.size(acc) > 1), F.slice(acc, 1, F.size(acc) - 1))
-        .when(part == "..", acc)
-        .otherwise(F.concat(acc, F.array(part))),
-    )
-    # A path that ends in a dot segment names a folder.
-    kept = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-    return F.array_join(kept, "/")
-
-
-def resolve_url(base: Column, href: Column) -> Column:
-    """The absolute form of a link found on page `base` (RFC 3986, section 5)."""
-    scheme = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    origin = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    bare = F.regexp_extract(base, "^([^?#]*)", 1)
-    base_path = F.substr(bare, F.length(origin) + 1)
-    folder = F.regexp_replace(base_path, "[^/]*$", "")
-    folder = F.when(folder == "", "/").otherwise(folder)
-    link_path = F.regexp_extract(href, "^([^?#]*)", 1)
-    link_tail = F.substr(href, F.length(link_path) + 1)
-    plain = ~link_path.rlike("(^|/)[.]{1,2}(/|$)")
-
-    def joined(path: Column, has_dots: Column) -> Column:
-        return F.concat(origin, F.when(has_dots, _merge_dots(path)).otherwise(path), link_tail)
-
-    return (
-        F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-        .when(href == "", base)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), joined(link_path, ~plain))
-        .when(href.startswith("?"), F.concat(bare, href))
-        .when(href.startswith("#"), F.concat(F.regexp_extract(base, "^([^#]*)", 1), href))
-        .otherwise(joined(F.concat(folder, link_path),
-                          ~plain | folder.rlike("(^|/)[.]{1,2}(/|$)")))
-    )
-
-
 def optional_link(url: Column, label: str = "View product") -> Column:
     """Markdown link, NULL without a URL."""
     return F.when(normalize_missing(url).isNotNull(), F.concat(F.lit(f"[{label}]("), url, F.lit(")")))

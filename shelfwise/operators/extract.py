@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import or_missing, resolve_url, strip_tags
+from shelfwise.functions.text import or_missing, strip_tags
 from shelfwise.schema import MISSING
 
 
@@ -81,8 +82,11 @@ SITE_RULES = [
 
 
 def rules_table(spark: SparkSession, rules=SITE_RULES) -> DataFrame:
-    schema = ", ".join(f"rule_{f} {'int' if f == 'max_items' else 'string'}" for f in Rule._fields)
-    return spark.createDataFrame([tuple(r) for r in rules], schema)
+    """The rules as a literal table, with `rule_` before the field names."""
+    columns = {f"rule_{f}": pa.array([getattr(r, f) for r in rules],
+                                     pa.int32() if f == "max_items" else pa.string())
+               for f in Rule._fields}
+    return spark.createDataFrame(pa.table(columns))
 
 
 def with_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -100,9 +104,10 @@ def explode_items(pages: DataFrame, rules: DataFrame) -> DataFrame:
     items give no rows; `skipped_pages` lists them.
     """
     marked = with_rules(pages, rules)
-    pieces = F.expr("split(html, concat('(?=', rule_item, ')'))")
-    # What precedes the first mark is no item; a page may also start with one.
-    items = F.filter(pieces, lambda p: F.call_function("rlike", p, F.concat(F.lit("^(?:"), "rule_item", F.lit(")"))))
+    # A control character no page may hold goes before each mark; what precedes
+    # the first one is no item.
+    pieces = F.expr(r"split(regexp_replace(html, rule_item, '\u0001$0'), '\u0001')")
+    items = F.slice(pieces, 2, 2**31 - 1)
     keep = [c for c in marked.columns if c != "html"]
     return marked.select(*keep, F.posexplode(items).alias("pos", "item"))
 
@@ -110,7 +115,43 @@ def explode_items(pages: DataFrame, rules: DataFrame) -> DataFrame:
 def skipped_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Pages on which the rule of their source finds no item."""
     marked = with_rules(pages, rules)
-    return marked.where(~F.expr("html rlike rule_item")).select(*pages.columns)
+    found = F.coalesce(F.expr("html rlike rule_item"), F.lit(False))
+    return marked.where(~found).select(*pages.columns)
+
+
+def resolve_links(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
+    """Add the absolute form of link `href` found on page `base` (RFC 3986, section 5).
+
+    Both are columns, and `base` holds absolute URLs. Each part of the URLs is
+    a step of its own, so none is worked out twice.
+    """
+    steps = {
+        "__bare": f"substring_index(substring_index({base}, '#', 1), '?', 1)",
+        "__scheme": "substring_index(__bare, '://', 1)",
+        "__rest": "substr(__bare, length(__scheme) + 4)",
+        "__host": "substring_index(__rest, '/', 1)",
+        "__dir": "regexp_replace(substr(__rest, length(__host) + 1), '[^/]*$', '')",
+        "__link": f"substring_index(substring_index({href}, '#', 1), '?', 1)",
+        "__path": """case when startswith(__link, '/') then __link
+            when __dir = '' then concat('/', __link) else concat(__dir, __link) end""",
+        # A path that ends in a dot segment names a folder.
+        "__segments": """case when contains(__path, '/.')
+            then split(regexp_replace(__path, '/([.]{1,2})$', '/$1/'), '/') end""",
+        "__merged": """case when __segments is null then __path else array_join(aggregate(
+            __segments, cast(array() as array<string>), (kept, part) -> case
+              when part = '.' then kept
+              when part = '..' then if(size(kept) > 1, slice(kept, 1, size(kept) - 1), kept)
+              else array_append(kept, part) end), '/') end""",
+        "__resolved": f"""case
+            when {href} = '' then {base}
+            when startswith({href}, '//') then concat(__scheme, ':', {href})
+            when startswith({href}, '?') then concat(__bare, {href})
+            when startswith({href}, '#') then concat(substring_index({base}, '#', 1), {href})
+            when not startswith({href}, '/') and {href} rlike '^[A-Za-z][A-Za-z0-9+.-]*:' then {href}
+            else concat(__scheme, '://', __host, __merged, substr({href}, length(__link) + 1)) end""",
+    }
+    staged = df.selectExpr("*", *[f"{sql} as {name}" for name, sql in steps.items()])
+    return staged.select(*df.columns, F.col("__resolved").alias(out))
 
 
 def _field(name: str):
@@ -127,13 +168,13 @@ def extract_fields(items: DataFrame) -> DataFrame:
     raw = items.select(*kept, *limits, base.alias("__base"), "rule_price_prefix", *[
         strip_tags(_field(f)).alias(f"__{f}")
         for f in ("name", "price", "rating", "image_url", "product_url")])
-    return raw.select(
+    return resolve_links(raw, "__base", "__product_url", "__link").select(
         *kept,
         or_missing(F.col("__name")).alias("name"),
         or_missing(F.concat("rule_price_prefix", "__price")).alias("price"),
         or_missing(F.col("__rating")).alias("rating"),
         or_missing(F.col("__image_url")).alias("image_url"),
-        or_missing(resolve_url(F.col("__base"), F.col("__product_url"))).alias("product_url"),
+        or_missing(F.col("__link")).alias("product_url"),
         *limits,
     )
 
@@ -155,4 +196,4 @@ def page_links(pages: DataFrame) -> DataFrame:
     """Every link of every page, in order, resolved against the page's URL."""
     found = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
     links = pages.select("page_id", "url", F.posexplode(found).alias("pos", "href"))
-    return links.withColumn("link", resolve_url(F.col("url"), F.col("href")))
+    return resolve_links(links, "url", "href", "link")

@@ -27,10 +27,15 @@ def with_features(df: DataFrame, vector: str = "embedding") -> DataFrame:
 
 def positional_split(df: DataFrame, order, share: float = TRAIN_SHARE,
                      out: str = "is_train") -> DataFrame:
-    """Mark the first int(share * n) rows in the stated order."""
-    numbered = row_ordinal(df, order)
-    size = numbered.agg(F.floor(F.lit(share) * F.count(F.lit(1)))).scalar()
-    return numbered.withColumn(out, F.col("ordinal") < size)
+    """Mark the first int(share * n) rows in the order of unique key `order`.
+
+    Only the keys are numbered, to find the first one past the cut; the rows
+    themselves are compared with it where they are.
+    """
+    keys = row_ordinal(df.select(*order), order)
+    cut = keys.agg(F.floor(F.lit(share) * F.count(F.lit(1)))).scalar()
+    past = keys.where(F.col("ordinal") == cut).agg(F.min(F.struct(*order))).scalar()
+    return df.withColumn(out, F.coalesce(F.struct(*order) < past, F.lit(True)))
 
 
 def fit_embedding(df: DataFrame, width: int, vector: str = "embedding") -> PCAModel:

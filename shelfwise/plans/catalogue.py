@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from shelfwise.operators.clean import clean_products, filter_named
+from shelfwise.operators.clean import clean_products
 from shelfwise.operators.matching import join_products_images
-from shelfwise.operators.models import fit_popularity, positional_split, with_features
+from shelfwise.operators.models import (
+    VALIDATION_SHARE,
+    fit_popularity,
+    positional_split,
+    with_features,
+)
 from shelfwise.operators.score import rank_by_popularity, score_popularity
 from shelfwise.operators.similarity import finite_vectors
 from shelfwise.schema import TRAINING_RATING
@@ -30,15 +35,15 @@ def ranked_products(raw: DataFrame, default_rating: float = TRAINING_RATING) ->
 
 def training_rows(products: DataFrame, vectors: DataFrame,
                   default_rating: float = TRAINING_RATING) -> DataFrame:
-    """Products with a usable vector and their popularity, split by position."""
+    """Products with a usable vector and their popularity, split by position.
+
+    Written once, as fitting and scoring read them many times.
+    """
     joined = join_products_images(products, vectors)
     scored = finite_vectors(score_popularity(joined, default_rating), score="popularity")
-    kept = scored.select("product_id", "embedding", "popularity")
-    return with_features(positional_split(kept, ["product_id"], 0.8))
+    kept = materialize(scored.select("product_id", "embedding", "popularity"), "training")
+    return with_features(positional_split(kept, ["product_id"], 1 - VALIDATION_SHARE))
 
 
 def train_popularity(rows: DataFrame, **options) -> PipelineModel:
     return fit_popularity(rows.where("is_train"), **options)
-
-
-__all__ = ["product_table", "ranked_products", "training_rows", "train_popularity", "filter_named"]

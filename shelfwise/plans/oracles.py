@@ -167,10 +167,10 @@ counted as (
 def oracle_sql() -> dict[str, str]:
     missing = "nullif(nullif(nullif({0}, 'N/A'), 'n/a'), '') {0}"
     return {
-        "read_products_csv": f"with {RAW} select product_id, " + ", ".join(
+        "read_products": f"with {RAW} select product_id, " + ", ".join(
             missing.format(c) for c in ("name", "price", "rating", "no_of_reviews", "image_url",
                                         "product_url", "source")) + " from product_raw",
-        "scan_listing_pages": """select page_id, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) host,
+        "scan_pages": """select page_id, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) host,
             length(html) n_chars from pages""",
         "crawl_frontier": """
             select site, term, cast(page as bigint) page,
@@ -188,8 +188,8 @@ def oracle_sql() -> dict[str, str]:
             cross join (select distinct p_name term from part) t""",
         "explode_items": f"""with {ITEMS} select page_id, source, pos, length(item) n_chars from items""",
         "extract_fields": f"with {FIELDS} select * from fields",
-        "limit_then_keyword": f"""with {FIELDS} select page_id, pos, name, product_url from fields
-            where source = 'm' and pos < 4 and contains(lower(name), 'th') and name <> 'N/A'""",
+        "limit_then_keyword": f"""with {FIELDS} select page_id, source, pos, name, product_url from fields
+            where name <> 'N/A' and (source <> 'm' or (pos < 4 and contains(lower(name), 'th')))""",
         "resolve_url": f"""
             select page_id, pos, href, case when regexp_matches(href, '^[a-z]+://') then href
               when href like '/%' then concat({ORIGIN}, href) end link
@@ -217,8 +217,8 @@ def oracle_sql() -> dict[str, str]:
             where vec_id % 7 <> 0 and vec_id % 11 <> 0 and vec_id % 13 <> 0""",
         "valid_only": f"""with {CLEAN} select product_id, name, rating from product_clean
             where product_id in (select vec_id from embeddings)""",
-        "add_default_reviews": "select p_partkey product_id, cast(10 as bigint) no_of_reviews from part",
-        "optional_product_link": f"""with {RAW} select product_id,
+        "add_default_column": "select p_partkey product_id, cast(10 as bigint) no_of_reviews from part",
+        "optional_link": f"""with {RAW} select product_id,
               case when product_url <> 'N/A' then concat('[View product](', product_url, ')') end link
             from product_raw""",
         "join_products_images": """select p_partkey product_id, p_name, label
@@ -302,11 +302,11 @@ def oracle_sql() -> dict[str, str]:
               coalesce(try_cast(rating as double), 3::double) rating,
               cast(trunc(coalesce(try_cast(no_of_reviews as double), 10)) as bigint) no_of_reviews
             from product_raw""",
-        "coerce_event_values": """select event_id,
+        "coerce_numeric": """select event_id,
               coalesce(try_cast(regexp_extract(props, '([0-9]+[.]?[0-9]*)', 1) as double), 3.0::double) r from events""",
         "popularity_metric": """select l_partkey, round(s * (15 + n) / (n + 5 * s + 1e-5::double), 6) popularity
             from (select l_partkey, count(*) n, avg(l_quantity) s from lineitem group by l_partkey) t""",
-        "popularity_score": f"with {SCORED} select product_id, n, s, round(popularity, 6) popularity from scored",
+        "popularity": f"with {SCORED} select product_id, n, s, round(popularity, 6) popularity from scored",
         "pad_and_clip_box": f"with {DET} select image_id, seq, {_box(20)} from det",
         "crop_boxes": f"""with {CROPS} select image_id, seq, class_name, x1, y1, x2, y2, crop_ordinal from crops""",
         "cosine_pairs": """select a.vec_id, round(list_cosine_similarity(a.embedding::double[],
@@ -326,8 +326,8 @@ def oracle_sql() -> dict[str, str]:
             select image_id, pos, round((case pos % 3 when 0 then b[pos // 3 + 1]
                 when 1 then g[pos // 3 + 1] else r[pos // 3 + 1] end / 255::double)::float::double, 6) as value
             from flat""",
-        "positional_split": """select vec_id, ordinal, ordinal < floor(0.85::double * n) is_train
-            from (select vec_id, row_number() over (order by vec_id) - 1 ordinal, count(*) over () n
+        "positional_split": """select vec_id, label, ordinal < floor(0.85::double * n) is_train
+            from (select vec_id, label, row_number() over (order by vec_id) - 1 ordinal, count(*) over () n
                   from embeddings) t""",
         "trend_labels": """with sizes as (select label, count(*) n from embeddings group by label),
             ends as (select max(n) hi, min(n) lo from sizes)
@@ -347,15 +347,15 @@ def oracle_sql() -> dict[str, str]:
                       round(list_cosine_similarity(c.v, embedding::double[]), 6) similarity
                     from centers c cross join serving) s) r
             where rank <= 5""",
-        "recommend_similar": f"""with {SERVING}
+        "recommend": f"""with {SERVING}
             select query_id, rank, product_id, name, rating, similarity from (
               select *, row_number() over (partition by query_id order by similarity desc, product_id) rank
               from (select q.vec_id query_id, product_id, name, rating,
                       round(list_cosine_similarity(q.embedding::double[], p.embedding::double[]), 6) similarity
                     from embeddings q cross join serving p) s) r
             where rank <= 5""",
-        "stream_recommend_similar": _TOPK_HITS,
-        "stream_dedup_events": """select event_id, user_id, event_type from (
+        "stream_recommend": _TOPK_HITS,
+        "stream_dedup": """select event_id, user_id, event_type from (
               select *, row_number() over (partition by user_id, event_type order by event_id) rn from events) e
             where rn = 1""",
         "write_ranked_csv": f"with {SCORED} select product_id, name, round(popularity, 6) popularity from scored",

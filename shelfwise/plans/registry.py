@@ -34,9 +34,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = fn
-    return fn
+def query(key: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        _QUERIES[key] = fn
+        return fn
+    return register
 
 
 def queries() -> dict[str, Query]:
@@ -51,7 +53,7 @@ def big(column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("bigint")
 
 
-def _products(spark, sf):
+def _clean(spark, sf):
     return clean.clean_products(b.product_raw(spark, sf))
 
 
@@ -70,36 +72,35 @@ def _crops(spark, sf):
 
 # --- sources ---------------------------------------------------------------
 
-@query
-def read_products_csv(spark, sf):
+@query("read_products")
+def _read_products_csv(spark, sf):
     path = fresh_path(spark, "products-csv")
     files.write_csv(b.product_raw(spark, sf), path)
     return read_products(spark, path).withColumn("product_id", big("product_id"))
 
 
-@query
-def scan_listing_pages(spark, sf):
+@query("scan_pages")
+def _scan_listing_pages(spark, sf):
     pages = scan_pages(spark, f"{sf}/pages.parquet")
     return pages.select("page_id", host_of(F.col("url")).alias("host"),
                         big(F.length("html")).alias("n_chars"))
 
 
-@query
-def crawl_frontier(spark, sf):
+@query("crawl_frontier")
+def _crawl_frontier(spark, sf):
     plan = frontier.crawl_frontier(b.search_terms(spark, sf))
     return plan.withColumn("page", big("page"))
 
 
-@query
-def cross_frontier(spark, sf):
+@query("cross_frontier")
+def _cross_frontier(spark, sf):
     return frontier.term_sites(b.search_terms(spark, sf)).select("term", "site", "paged")
 
 
-@query
-def load_saved_model(spark, sf):
+@query("load_model")
+def _load_saved_model(spark, sf):
     path = fresh_path(spark, "model")
-    rows = materialize(_training_rows(spark, sf), "training")
-    rows = models.with_features(rows)
+    rows = _training_rows(spark, sf)
     files.save_model(models.fit_popularity(rows, kind="linear"), path)
     scored = models.predict_popularity(rows, load_model(path))
     return scored.select("product_id", r6("predicted").alias("predicted"))
@@ -111,35 +112,35 @@ def _rules(spark):
     return extract.rules_table(spark, b.PAGE_RULES)
 
 
-@query
-def explode_items(spark, sf):
+@query("explode_items")
+def _explode_items(spark, sf):
     items = extract.explode_items(b.page_sources(spark, sf), _rules(spark))
     return items.select("page_id", "source", big("pos").alias("pos"),
                         big(F.length("item")).alias("n_chars"))
 
 
-@query
-def extract_fields(spark, sf):
+@query("extract_fields")
+def _extract_fields(spark, sf):
     items = extract.explode_items(b.page_sources(spark, sf), _rules(spark))
     return extract.extract_fields(items).select(
         "page_id", "source", big("pos").alias("pos"), "name", "price", "rating",
         "image_url", "product_url")
 
 
-@query
-def limit_then_keyword(spark, sf):
-    records = extract.harvest(b.page_sources(spark, sf), _rules(spark)).where("source = 'm'")
-    return records.select("page_id", big("pos").alias("pos"), "name", "product_url")
+@query("limit_then_keyword")
+def _limit_then_keyword(spark, sf):
+    records = extract.harvest(b.page_sources(spark, sf), _rules(spark))
+    return records.select("page_id", "source", big("pos").alias("pos"), "name", "product_url")
 
 
-@query
-def resolve_url(spark, sf):
+@query("resolve_url")
+def _resolve_url(spark, sf):
     links = extract.page_links(scan_pages(spark, f"{sf}/pages.parquet"))
     return links.select("page_id", big("pos").alias("pos"), "href", "link")
 
 
-@query
-def bad_record_isolation(spark, sf):
+@query("bad_record_isolation")
+def _bad_record_isolation(spark, sf):
     raw = b.product_raw(spark, sf)
     tagged = clean.tag_bad_records(raw, {
         "no name": F.col("name") != "N/A",
@@ -150,32 +151,32 @@ def bad_record_isolation(spark, sf):
     return tagged.select("product_id", "reject_reason")
 
 
-@query
-def broadcast_rules(spark, sf):
+@query("broadcast_rules")
+def _broadcast_rules(spark, sf):
     ruled = extract.with_rules(b.page_sources(spark, sf), _rules(spark))
     return ruled.select("page_id", "source", "rule_item", big("rule_max_items").alias("max_items"))
 
 
 # --- projections and filters -----------------------------------------------
 
-@query
-def filter_named(spark, sf):
+@query("filter_named")
+def _filter_named(spark, sf):
     return clean.filter_named(b.product_raw(spark, sf)).select("product_id", "name", "source")
 
 
-@query
-def image_manifest(spark, sf):
+@query("image_manifest")
+def _image_manifest(spark, sf):
     return clean.image_manifest(b.product_raw(spark, sf))
 
 
-@query
-def filter_detections(spark, sf):
+@query("filter_detections")
+def _filter_detections(spark, sf):
     kept = detect.filter_detections(b.detections(spark, sf))
     return kept.select("image_id", "seq", "class_name", "confidence")
 
 
-@query
-def filter_nonempty_crop(spark, sf):
+@query("filter_nonempty_crop")
+def _filter_nonempty_crop(spark, sf):
     boxed = detect.crop_boxes(b.detections(spark, sf), F.lit(b.IMAGE_WIDTH),
                               F.lit(b.IMAGE_HEIGHT), padding=0)
     return boxed.select("image_id", "seq", "box.x1", "box.y1", "box.x2", "box.y2")
@@ -192,58 +193,58 @@ def _flawed_vectors(spark, sf):
         "case when vec_id % 13 = 0 then null else cast(label as double) end as score")
 
 
-@query
-def finite_vectors(spark, sf):
+@query("finite_vectors")
+def _finite_vectors(spark, sf):
     return similarity.finite_vectors(_flawed_vectors(spark, sf)).select("vec_id", "label")
 
 
-@query
-def filter_finite(spark, sf):
+@query("filter_finite")
+def _filter_finite(spark, sf):
     kept = similarity.finite_vectors(_flawed_vectors(spark, sf), score="score")
     return kept.select("vec_id", "score")
 
 
-@query
-def valid_only(spark, sf):
-    valid = matching.products_with_images(_products(spark, sf), _product_vectors(spark, sf))
+@query("valid_only")
+def _valid_only(spark, sf):
+    valid = matching.products_with_images(_clean(spark, sf), _product_vectors(spark, sf))
     return valid.select("product_id", "name", "rating")
 
 
-@query
-def add_default_reviews(spark, sf):
+@query("add_default_column")
+def _add_default_reviews(spark, sf):
     harvested = b.product_raw(spark, sf).drop("no_of_reviews")
     full = add_default_column(harvested, "no_of_reviews", 10)
     return full.select("product_id", big("no_of_reviews").alias("no_of_reviews"))
 
 
-@query
-def optional_product_link(spark, sf):
+@query("optional_link")
+def _optional_product_link(spark, sf):
     raw = b.product_raw(spark, sf)
     return raw.select("product_id", optional_link(F.col("product_url")).alias("link"))
 
 
 # --- joins -----------------------------------------------------------------
 
-@query
-def join_products_images(spark, sf):
+@query("join_products_images")
+def _join_products_images(spark, sf):
     parts = b.table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), "p_name")
     joined = matching.join_products_images(parts, _product_vectors(spark, sf))
     return joined.select("product_id", "p_name", "label")
 
 
-@query
-def semi_products_with_images(spark, sf):
+@query("semi_products_with_images")
+def _semi_products_with_images(spark, sf):
     parts = b.table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), "p_name")
     return matching.products_with_images(parts, _product_vectors(spark, sf))
 
 
-@query
-def anti_failed_images(spark, sf):
+@query("anti_failed_images")
+def _anti_failed_images(spark, sf):
     return detect.failed_images(b.input_images(spark, sf), b.detections(spark, sf))
 
 
-@query
-def cross_query_catalogue(spark, sf):
+@query("cross_query_catalogue")
+def _cross_query_catalogue(spark, sf):
     vectors = _vectors(spark, sf)
     centers = trends.centroids(vectors, "label")
     scores = similarity.similarity_scores(centers, vectors, query_key="label",
@@ -252,8 +253,8 @@ def cross_query_catalogue(spark, sf):
                          "similarity")
 
 
-@query
-def join_scalar_stats(spark, sf):
+@query("join_scalar_stats")
+def _join_scalar_stats(spark, sf):
     orders = b.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     scaled = score.scale_minmax(orders, "o_totalprice", "scaled")
     return scaled.select("o_orderkey", r6("scaled").alias("scaled"))
@@ -261,31 +262,31 @@ def join_scalar_stats(spark, sf):
 
 # --- aggregations ----------------------------------------------------------
 
-@query
-def source_counts(spark, sf):
-    return aggregate.source_counts(_products(spark, sf))
+@query("source_counts")
+def _source_counts(spark, sf):
+    return aggregate.source_counts(_clean(spark, sf))
 
 
-@query
-def total_count(spark, sf):
-    return aggregate.total_count(_products(spark, sf))
+@query("total_count")
+def _total_count(spark, sf):
+    return aggregate.total_count(_clean(spark, sf))
 
 
-@query
-def minmax_stats(spark, sf):
-    scored = score.score_popularity(_products(spark, sf), TRAINING_RATING, scale=False)
+@query("minmax_stats")
+def _minmax_stats(spark, sf):
+    scored = score.score_popularity(_clean(spark, sf), TRAINING_RATING, scale=False)
     return score.minmax_stats(scored, "popularity").select(
         r6("low").alias("low"), r6("high").alias("high"))
 
 
-@query
-def detection_totals(spark, sf):
+@query("detection_totals")
+def _detection_totals(spark, sf):
     return detect.detection_totals(b.input_images(spark, sf), b.detections(spark, sf),
                                    _crops(spark, sf))
 
 
-@query
-def detections_per_image(spark, sf):
+@query("detections_per_image")
+def _detections_per_image(spark, sf):
     numbered = detect.crop_ordinal(_crops(spark, sf))
     docs = detect.detections_per_image(b.detected_images(spark, sf), numbered, chunk_size=16)
     listed = F.array_join(F.transform("detections", lambda d: F.concat(
@@ -293,29 +294,29 @@ def detections_per_image(spark, sf):
     return docs.select("image_id", "chunk", "cropped_count", listed.alias("detections"))
 
 
-@query
-def summary_document(spark, sf):
-    doc = aggregate.summary_document(_products(spark, sf), SEARCH_TERMS, stamped=False)
+@query("summary_document")
+def _summary_document(spark, sf):
+    doc = aggregate.summary_document(_clean(spark, sf), SEARCH_TERMS, stamped=False)
     return doc.select("total_products", F.to_json("sources").alias("sources"),
                       F.to_json("search_terms").alias("search_terms"))
 
 
-@query
-def dedup_products(spark, sf):
+@query("dedup_products")
+def _dedup_products(spark, sf):
     kept = clean.dedup_products(b.product_raw(spark, sf))
     return kept.select("product_id", "name", "source")
 
 
-@query
-def image_stats(spark, sf):
+@query("image_stats")
+def _image_stats(spark, sf):
     stats = imaging.image_stats(b.tiles(spark, sf))
     names = ["mean_blue", "mean_green", "mean_red", "brightness"]
     return stats.select("image_id", big("width").alias("width"), big("height").alias("height"),
                         "aspect_ratio", "area", *[r6(n).alias(n) for n in names])
 
 
-@query
-def regression_metrics(spark, sf):
+@query("regression_metrics")
+def _regression_metrics(spark, sf):
     scored = score.score_popularity(catalogue.product_table(b.product_raw(spark, sf)),
                                     TRAINING_RATING)
     guess = scored.groupBy("source").agg(F.avg("popularity").alias("prediction"))
@@ -323,8 +324,8 @@ def regression_metrics(spark, sf):
     return errors.select(r6("mse").alias("mse"), r6("mae").alias("mae"))
 
 
-@query
-def centroids(spark, sf):
+@query("centroids")
+def _centroids(spark, sf):
     means = trends.centroids(_vectors(spark, sf), "label")
     return means.select("label", F.posexplode("embedding").alias("pos", "mean")).select(
         "label", big("pos").alias("pos"), r6("mean").alias("mean"))
@@ -332,39 +333,39 @@ def centroids(spark, sf):
 
 # --- ordinals and rankings -------------------------------------------------
 
-@query
-def crop_ordinal(spark, sf):
+@query("crop_ordinal")
+def _crop_ordinal(spark, sf):
     return detect.crop_ordinal(_crops(spark, sf)).select("image_id", "seq", "crop_ordinal")
 
 
-@query
-def first_crop(spark, sf):
+@query("first_crop")
+def _first_crop(spark, sf):
     return detect.first_crop(_crops(spark, sf)).select("image_id", "seq", "class_name")
 
 
-@query
-def running_totals(spark, sf):
+@query("running_totals")
+def _running_totals(spark, sf):
     found = F.regexp_count("html", F.lit("<a href="))
     counted = b.page_sources(spark, sf).select("page_id", "source", big(found).alias("n"))
     total = ordinals.running_total(counted, "n", ["page_id"], name="total_so_far")
     return total.select("page_id", "source", "n", "total_so_far")
 
 
-@query
-def running_totals_by_source(spark, sf):
+@query("running_totals_by_source")
+def _running_totals_by_source(spark, sf):
     found = F.regexp_count("html", F.lit("<a href="))
     counted = b.page_sources(spark, sf).select("page_id", "source", big(found).alias("n"))
     return ordinals.group_running_total(counted, "n", ["page_id"], ["source"], "source_total")
 
 
-@query
-def row_ordinal(spark, sf):
+@query("row_ordinal")
+def _row_ordinal(spark, sf):
     events = b.table(spark, sf, "events").select("user_id", "event_id")
     return ordinals.row_ordinal(events, ["user_id", "event_id"])
 
 
-@query
-def rank_by_popularity(spark, sf):
+@query("rank_by_popularity")
+def _rank_by_popularity(spark, sf):
     ranked = score.score_popularity(catalogue.product_table(b.product_raw(spark, sf)),
                                     TRAINING_RATING)
     numbered = ordinals.row_ordinal(
@@ -373,21 +374,21 @@ def rank_by_popularity(spark, sf):
     return numbered.withColumn("popularity", r6("popularity"))
 
 
-@query
-def topk_similar(spark, sf):
+@query("topk_similar")
+def _topk_similar(spark, sf):
     vectors = _vectors(spark, sf).select("vec_id", "embedding")
     hits = similarity.topk_similar(vectors, vectors, 5, query_key="vec_id",
                                    candidate_key="vec_id", exclude_self=True)
     return hits.withColumn("rank", big("rank"))
 
 
-@query
-def sample_head(spark, sf):
-    return clean.sample_head(_products(spark, sf), ["product_id"]).select("product_id", "name")
+@query("sample_head")
+def _sample_head(spark, sf):
+    return clean.sample_head(_clean(spark, sf), ["product_id"]).select("product_id", "name")
 
 
-@query
-def union_sources(spark, sf):
+@query("union_sources")
+def _union_sources(spark, sf):
     return clean.union_sources(*b.union_inputs(spark, sf)).select(
         "name", *[or_missing(F.col(c)).alias(c)
                   for c in ("price", "rating", "image_url", "product_url")], "source")
@@ -395,63 +396,63 @@ def union_sources(spark, sf):
 
 # --- scalars ---------------------------------------------------------------
 
-@query
-def clean_products(spark, sf):
-    return _products(spark, sf).select("product_id", "name", "price", "rating", "no_of_reviews",
+@query("clean_products")
+def _clean_products(spark, sf):
+    return _clean(spark, sf).select("product_id", "name", "price", "rating", "no_of_reviews",
                                        "image_url", "source")
 
 
-@query
-def coerce_scores(spark, sf):
+@query("coerce_scores")
+def _coerce_scores(spark, sf):
     numbers = score.coerce_scores(b.product_raw(spark, sf), TRAINING_RATING)
     return numbers.select("product_id", "rating", "no_of_reviews")
 
 
-@query
-def coerce_event_values(spark, sf):
+@query("coerce_numeric")
+def _coerce_event_values(spark, sf):
     events = b.table(spark, sf, "events")
     return events.select("event_id", coerce_numeric(clean_rating(F.col("props")), 3.0).alias("r"))
 
 
-@query
-def popularity_metric(spark, sf):
+@query("popularity_metric")
+def _popularity_metric(spark, sf):
     lines = b.table(spark, sf, "lineitem").groupBy("l_partkey").agg(
         F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("s"))
     return lines.select("l_partkey", r6(popularity(F.col("n"), F.col("s"))).alias("popularity"))
 
 
-@query
-def popularity_score(spark, sf):
+@query("popularity")
+def _popularity_score(spark, sf):
     scored = score.score_popularity(catalogue.product_table(b.product_raw(spark, sf)),
                                     TRAINING_RATING)
     return scored.select("product_id", F.col("no_of_reviews").alias("n"),
                          F.col("rating").alias("s"), r6("popularity").alias("popularity"))
 
 
-@query
-def pad_and_clip_box(spark, sf):
+@query("pad_and_clip_box")
+def _pad_and_clip_box(spark, sf):
     box = padded_box(F.col("bbox"), F.lit(b.IMAGE_WIDTH), F.lit(b.IMAGE_HEIGHT))
     return b.detections(spark, sf).select("image_id", "seq", box.alias("box")).select(
         "image_id", "seq", "box.x1", "box.y1", "box.x2", "box.y2")
 
 
-@query
-def crop_boxes(spark, sf):
+@query("crop_boxes")
+def _crop_boxes(spark, sf):
     numbered = detect.crop_ordinal(_crops(spark, sf))
     return numbered.select("image_id", "seq", "class_name", "box.x1", "box.y1", "box.x2",
                            "box.y2", "crop_ordinal")
 
 
-@query
-def cosine_pairs(spark, sf):
+@query("cosine_pairs")
+def _cosine_pairs(spark, sf):
     vectors = _vectors(spark, sf).select("vec_id", "embedding")
     after = vectors.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
     return vectors.join(after, "vec_id").select(
         "vec_id", r6(cosine(F.col("embedding"), F.col("next"))).alias("similarity"))
 
 
-@query
-def expand_vector(spark, sf):
+@query("expand_vector")
+def _expand_vector(spark, sf):
     wide = similarity.expand_vector(_vectors(spark, sf).select("vec_id", "embedding"), 64)
     return wide.select("vec_id", *[F.col(f"feature_{i}").cast("double").alias(f"feature_{i}")
                                    for i in range(64)])
@@ -465,38 +466,38 @@ def _tile_crops(spark, sf):
     return detect.crop_ordinal(crops)
 
 
-@query
-def crop_images(spark, sf):
+@query("crop_images")
+def _crop_images(spark, sf):
     cut = imaging.crop_images(b.tiles(spark, sf), _tile_crops(spark, sf))
     return cut.select("image_id", "crop_ordinal", big("height").alias("height"),
                       big("width").alias("width"), F.hex("data").alias("data"))
 
 
-@query
-def embed_images(spark, sf):
+@query("embed_images")
+def _embed_images(spark, sf):
     vectors = imaging.embed_images(b.tiles(spark, sf), imaging.flat_encoder, b.TILE, b.TILE)
     values = vectors.select("image_id", F.posexplode("embedding").alias("pos", "value"))
     return values.select("image_id", big("pos").alias("pos"),
                          r6(F.col("value").cast("double")).alias("value"))
 
 
-@query
-def embed_images_grid(spark, sf):
+@query("embed_images_grid")
+def _embed_images_grid(spark, sf):
     # A tile grows a thousandfold when it is resized: spread them before that.
     vectors = imaging.embed_images(b.tiles(spark, sf), partitions=shuffle_partitions(spark))
     return vectors.select("image_id", big(F.size("embedding")).alias("width"),
                           r6(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)).alias("total"))
 
 
-@query
-def fit_embedding(spark, sf):
+@query("fit_embedding")
+def _fit_embedding(spark, sf):
     vectors = _vectors(spark, sf)
     model = models.fit_embedding(vectors, 8)
     return models.encode(vectors, model).select("vec_id", F.to_json("encoded").alias("encoded"))
 
 
-@query
-def reconstruction_error(spark, sf):
+@query("reconstruction_error")
+def _reconstruction_error(spark, sf):
     vectors = _vectors(spark, sf)
     model = models.fit_embedding(vectors, 8)
     return models.reconstruction_error(vectors, model, "vec_id").select(
@@ -507,34 +508,34 @@ def reconstruction_error(spark, sf):
 
 def _training_rows(spark, sf):
     products = catalogue.product_table(b.product_raw(spark, sf))
-    return catalogue.training_rows(products, _product_vectors(spark, sf)).drop("features")
+    return catalogue.training_rows(products, _product_vectors(spark, sf))
 
 
-@query
-def positional_split(spark, sf):
+@query("positional_split")
+def _positional_split(spark, sf):
     vectors = _vectors(spark, sf).select("vec_id", "label")
-    return models.positional_split(vectors, ["vec_id"]).select("vec_id", "ordinal", "is_train")
+    return models.positional_split(vectors, ["vec_id"])
 
 
-@query
-def fit_popularity(spark, sf):
-    rows = models.with_features(materialize(_training_rows(spark, sf), "training"))
+@query("fit_popularity")
+def _fit_popularity(spark, sf):
+    rows = _training_rows(spark, sf)
     model = models.fit_popularity(rows.where("is_train"))
     scored = models.predict_popularity(rows, model)
     return aggregate.regression_metrics(scored, "popularity", "predicted", by=["is_train"])
 
 
-@query
-def predict_popularity(spark, sf):
-    rows = models.with_features(materialize(_training_rows(spark, sf), "training"))
+@query("predict_popularity")
+def _predict_popularity(spark, sf):
+    rows = _training_rows(spark, sf)
     model = models.fit_popularity(rows.where("is_train"), kind="linear", regParam=0.1)
     every = models.with_features(_product_vectors(spark, sf))
     return models.predict_popularity(every, model).select("product_id", "predicted")
 
 
-@query
-def early_stopping(spark, sf):
-    rows = models.with_features(materialize(_training_rows(spark, sf), "training"))
+@query("early_stopping")
+def _early_stopping(spark, sf):
+    rows = _training_rows(spark, sf)
     rows = rows.withColumn("held_out", ~F.col("is_train"))
     model = models.fit_popularity(rows, validation="held_out", maxIter=20)
     scored = models.predict_popularity(rows, model).withColumn(
@@ -542,21 +543,21 @@ def early_stopping(spark, sf):
     return aggregate.regression_metrics(scored, "popularity", "predicted", by=["held_out", "trees"])
 
 
-@query
-def cluster_products(spark, sf):
-    vectors = materialize(_vectors(spark, sf), "vectors")
+@query("cluster_products")
+def _cluster_products(spark, sf):
+    vectors = _vectors(spark, sf)
     model = trends.fit_clusters(vectors, 5)
     clustered = trends.cluster_products(vectors, model)
     return clustered.select("vec_id", "cluster")
 
 
-@query
-def trend_labels(spark, sf):
+@query("trend_labels")
+def _trend_labels(spark, sf):
     return trends.trend_labels(_vectors(spark, sf), "label")
 
 
-@query
-def assign_nearest(spark, sf):
+@query("assign_nearest")
+def _assign_nearest(spark, sf):
     vectors = _vectors(spark, sf).select("vec_id", "embedding", "label")
     centers = trends.centroids(vectors, "label")
     return trends.assign_nearest(vectors, centers, "vec_id", "label")
@@ -564,19 +565,13 @@ def assign_nearest(spark, sf):
 
 # --- recommendations -------------------------------------------------------
 
-def _scored_products(spark, sf):
-    scored = score.score_popularity(catalogue.product_table(b.product_raw(spark, sf)),
-                                    TRAINING_RATING)
-    return scored.select("product_id", "name", r6("popularity").alias("popularity"))
-
-
 def _serving(spark, sf):
-    products = materialize(_products(spark, sf).select("product_id", "name", "rating"), "products")
+    products = materialize(_clean(spark, sf).select("product_id", "name", "rating"), "products")
     return recommend.serving_catalogue(products, _product_vectors(spark, sf))
 
 
-@query
-def project_result(spark, sf):
+@query("project_result")
+def _project_result(spark, sf):
     shown = _serving(spark, sf)
     centers = trends.centroids(_vectors(spark, sf), "label")
     hits = similarity.topk_similar(centers, shown, 5, query_key="label", candidate_key="product_id")
@@ -585,18 +580,18 @@ def project_result(spark, sf):
                         "name", "rating", "similarity")
 
 
-@query
-def recommend_similar(spark, sf):
+@query("recommend")
+def _recommend_similar(spark, sf):
     found = recommend.recommend(_vectors(spark, sf), _serving(spark, sf), query_key="vec_id")
     return found.select("query_id", big("rank").alias("rank"), "product_id", "name", "rating",
                         "similarity")
 
 
-@query
-def recommend_with_popularity(spark, sf):
-    rows = models.with_features(materialize(_training_rows(spark, sf), "training"))
+@query("recommend_with_popularity")
+def _recommend_with_popularity(spark, sf):
+    rows = _training_rows(spark, sf)
     model = models.fit_popularity(rows, kind="linear", regParam=0.1)
-    products = materialize(_products(spark, sf).select("product_id", "name", "rating"), "products")
+    products = materialize(_clean(spark, sf).select("product_id", "name", "rating"), "products")
     shown = materialize(recommend.serving_catalogue(
         products, _product_vectors(spark, sf), model=model), "serving")
     found = recommend.recommend(_vectors(spark, sf), shown, query_key="vec_id", model=model)
@@ -612,8 +607,8 @@ def _stream(spark, sf, name):
     return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet*")
 
 
-@query
-def stream_recommend_similar(spark, sf):
+@query("stream_recommend")
+def _stream_recommend_similar(spark, sf):
     vectors = _vectors(spark, sf).select("vec_id", "embedding")
     out, state = fresh_path(spark, "stream-hits"), fresh_path(spark, "stream-state")
     stream_recommend(_stream(spark, sf, "embeddings"), vectors, out, state, query_key="vec_id",
@@ -622,8 +617,8 @@ def stream_recommend_similar(spark, sf):
                                           "similarity")
 
 
-@query
-def stream_dedup_events(spark, sf):
+@query("stream_dedup")
+def _stream_dedup_events(spark, sf):
     out, state = fresh_path(spark, "stream-kept"), fresh_path(spark, "stream-state")
     events = _stream(spark, sf, "events").select("event_id", "user_id", "event_type")
     stream_dedup(events, out, state, ["user_id", "event_type"], ["event_id"]).awaitTermination()
@@ -632,8 +627,8 @@ def stream_dedup_events(spark, sf):
 
 # --- sinks -----------------------------------------------------------------
 
-@query
-def write_ranked_csv(spark, sf):
+@query("write_ranked_csv")
+def _write_ranked_csv(spark, sf):
     path = fresh_path(spark, "ranked-csv")
     ranked = catalogue.ranked_products(b.product_raw(spark, sf))
     files.write_csv(ranked.select("product_id", "name", r6("popularity").alias("popularity")), path)
@@ -642,17 +637,17 @@ def write_ranked_csv(spark, sf):
         F.col("popularity").cast("double").alias("popularity"))
 
 
-@query
-def write_summary_json(spark, sf):
+@query("write_summary_json")
+def _write_summary_json(spark, sf):
     path = fresh_path(spark, "summary-json")
-    files.write_json(aggregate.summary_document(_products(spark, sf), SEARCH_TERMS), path)
+    files.write_json(aggregate.summary_document(_clean(spark, sf), SEARCH_TERMS), path)
     back = spark.read.schema(SUMMARY).json(path)
     return back.select("total_products", F.explode("sources").alias("source", "n"),
                        big(F.size("search_terms")).alias("n_terms"))
 
 
-@query
-def write_metadata_json(spark, sf):
+@query("write_metadata_json")
+def _write_metadata_json(spark, sf):
     path = fresh_path(spark, "metadata-json")
     numbered = detect.crop_ordinal(_crops(spark, sf))
     docs = detect.detections_per_image(b.detected_images(spark, sf), numbered)
@@ -667,8 +662,8 @@ def write_metadata_json(spark, sf):
         F.element_at("bbox", 1).alias("x1"))
 
 
-@query
-def write_crops(spark, sf):
+@query("write_crops")
+def _write_crops(spark, sf):
     path = fresh_path(spark, "crops")
     files.write_table(imaging.crop_images(b.tiles(spark, sf), _tile_crops(spark, sf)), path)
     back = spark.read.parquet(path)
@@ -676,8 +671,8 @@ def write_crops(spark, sf):
                                         F.sum(big(F.length("data"))).alias("bytes"))
 
 
-@query
-def write_features(spark, sf):
+@query("write_features")
+def _write_features(spark, sf):
     path = fresh_path(spark, "features")
     image = F.concat(F.lit("tile_"), F.col("vec_id").cast("string"), F.lit("_0.jpg"))
     files.write_table(_vectors(spark, sf).select(image.alias("image_path"), "embedding"), path)

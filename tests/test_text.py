@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text
+from shelfwise.operators.extract import resolve_links
 from shelfwise.schema import NULL_TOKENS
 
 
@@ -57,5 +58,6 @@ BASES = ["https://shop.example.com/list/page.html?term=a/b#top", "https://shop.e
 
 @pytest.mark.parametrize("base", BASES)
 def test_links_resolve_like_the_standard_library(spark, base):
-    found = values(spark, lambda c: text.resolve_url(F.lit(base), c), HREFS)
-    assert dict(zip(HREFS, found)) == {h: urljoin(base, h) for h in HREFS}
+    links = spark.createDataFrame([(base, h) for h in HREFS], "page string, href string")
+    found = {r["href"]: r["link"] for r in resolve_links(links, "page", "href", "link").collect()}
+    assert found == {h: urljoin(base, h) for h in HREFS}
