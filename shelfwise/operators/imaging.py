@@ -49,6 +49,9 @@ def image_stats(images: DataFrame) -> DataFrame:
         .mapInPandas(stats, STATS_SCHEMA)
 
 
+# Pixel bytes a task gathers before it hands crops on.
+OUTPUT_BYTES = 32 << 20
+
 CROP_SCHEMA = ("image_id bigint, crop_ordinal bigint, x1 int, y1 int, x2 int, y2 int, "
                "height int, width int, nChannels int, data binary")
 
@@ -65,9 +68,11 @@ def crop_images(images: DataFrame, crops: DataFrame, chunk_size: int = 1000) ->
     joined = _readable(images).join(lists, "image_id").select(
         "image_id", "height", "width", "nChannels", "data", "boxes")
 
+    names = [c.split()[0] for c in CROP_SCHEMA.split(", ")]
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, size = [], 0
         for batch in batches:
-            rows = []
             for row in batch.itertuples(index=False):
                 grid = np.frombuffer(row.data, dtype=np.uint8).reshape(
                     row.height, row.width, row.nChannels)
@@ -76,7 +81,12 @@ def crop_images(images: DataFrame, crops: DataFrame, chunk_size: int = 1000) ->
                     piece = grid[y1:y2, x1:x2]
                     rows.append((row.image_id, box["crop_ordinal"], x1, y1, x2, y2,
                                  piece.shape[0], piece.shape[1], row.nChannels, piece.tobytes()))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in CROP_SCHEMA.split(", ")])
+                    size += piece.size
+                    if size > OUTPUT_BYTES:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     return joined.mapInPandas(cut, CROP_SCHEMA)
 

@@ -170,6 +170,11 @@ def oracle_sql() -> dict[str, str]:
         "read_products": f"with {RAW} select product_id, " + ", ".join(
             missing.format(c) for c in ("name", "price", "rating", "no_of_reviews", "image_url",
                                         "product_url", "source")) + " from product_raw",
+        "load_model": f"""with {SCORED},
+            joined as (select product_id, popularity, label::double x
+              from scored join embeddings on product_id = vec_id),
+            fit as (select regr_slope(popularity, x) a, regr_intercept(popularity, x) b from joined)
+            select product_id, round(a * x + b, 6) predicted from joined cross join fit""",
         "scan_pages": """select page_id, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) host,
             length(html) n_chars from pages""",
         "crawl_frontier": """

@@ -98,12 +98,17 @@ def _cross_frontier(spark, sf):
 
 
 @query("load_model")
-def _load_saved_model(spark, sf):
+def _load_model(spark, sf):
+    """A line fitted on one feature, saved, loaded and applied."""
     path = fresh_path(spark, "model")
-    rows = _training_rows(spark, sf)
+    scored = score.score_popularity(catalogue.product_table(b.product_raw(spark, sf)),
+                                    TRAINING_RATING)
+    rows = models.with_features(matching.join_products_images(
+        scored, _product_vectors(spark, sf)).select(
+        "product_id", "popularity", F.array(F.col("label").cast("double")).alias("embedding")))
     files.save_model(models.fit_popularity(rows, kind="linear"), path)
-    scored = models.predict_popularity(rows, load_model(path))
-    return scored.select("product_id", r6("predicted").alias("predicted"))
+    predicted = models.predict_popularity(rows, load_model(path))
+    return predicted.select("product_id", r6("predicted").alias("predicted"))
 
 
 # --- extraction ------------------------------------------------------------

@@ -11,7 +11,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def get_session(app: str = "shelfwise", master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings the operators are written for."""
+    """A session with the settings the operators are written for.
+
+    On a cluster also set `spark.sql.shuffle.partitions` for the data, some
+    200 MB of shuffle each: adaptive execution merges partitions that turn out
+    small, but splits no large ones, and range partitions and heavy-group cuts
+    follow that number.
+    """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

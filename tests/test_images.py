@@ -92,6 +92,16 @@ def test_crops_are_the_pixels_of_the_box(spark, folder, decoded):
         assert bytes(r["data"]) == want.tobytes() and (r["height"], r["width"]) == want.shape[:2]
 
 
+def test_crops_are_handed_on_in_parts(spark, decoded, monkeypatch):
+    images = keyed(decoded).where("file_name = 'item_1_1.PNG'")
+    numbered = spark.range(50).selectExpr(
+        "505L as image_id", "id as crop_ordinal", "named_struct('x1', 0, 'y1', 0, 'x2', 5, 'y2', 5) as box")
+    monkeypatch.setattr(imaging, "OUTPUT_BYTES", 200)
+    cut = imaging.crop_images(images, numbered).collect()
+    assert sorted(r["crop_ordinal"] for r in cut) == list(range(50))
+    assert {len(r["data"]) for r in cut} == {75}
+
+
 def test_products_meet_their_first_crop_by_key(spark, decoded):
     products = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "product_id long, name string")
     readable = matching.crops_by_product(decoded.where("status = 'ok'")).select("product_id", "file_name")
