@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def get_session(app: str = "shelfwise", master: str | None = None, **conf) -> SparkSession:
@@ -37,17 +38,18 @@ def get_session(app: str = "shelfwise", master: str | None = None, **conf) -> Sp
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session may fall back to a folder of this machine; it is
-    recorded in the session so that all operators share it.
+    Only a local session may fall back to a folder of this machine, one for
+    all operators of the application.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="shelfwise-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.clean import PRODUCT_KEYS, first_per_key
+from shelfwise.session import materialize
 
 
 def stream_dedup(records: DataFrame, out: str, checkpoint: str, keys=PRODUCT_KEYS,
@@ -14,19 +15,23 @@ def stream_dedup(records: DataFrame, out: str, checkpoint: str, keys=PRODUCT_KEY
     """Write the first record of every key over the whole life of the stream.
 
     Each micro-batch keeps the first row per key and drops keys that earlier
-    batches have written, reading only the key columns of what was written. A
-    repeated batch ignores and overwrites its own earlier output, so the state
-    of the stream is its result, and losing an executor loses nothing.
+    batches have written. Of those, only key columns are read, and a small
+    batch is broadcast against them rather than shuffling them. A repeated
+    batch ignores and overwrites its own earlier output, so the state of the
+    stream is its result, and losing an executor loses nothing.
     """
     spark = records.sparkSession
 
+    def matching(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        other = right.select(*[F.col(k).alias(f"__w_{k}") for k in keys])
+        return left.join(other, [F.col(k).eqNullSafe(F.col(f"__w_{k}")) for k in keys], how)
+
     def accept(batch: DataFrame, batch_id: int) -> None:
         fresh = first_per_key(batch, keys, order)
         if batch_id > 0:
-            written = spark.read.parquet(out).where(F.col("batch_id") < batch_id)
-            match = [fresh[k].eqNullSafe(F.col(f"__w_{k}")) for k in keys]
-            seen = written.select(*[F.col(k).alias(f"__w_{k}") for k in keys])
-            fresh = fresh.join(seen, match, "left_anti")
+            fresh = materialize(fresh, "stream-batch")
+            written = spark.read.parquet(out).where(F.col("batch_id") < batch_id).select(*keys)
+            fresh = matching(fresh, matching(written, fresh, "left_semi"), "left_anti")
         fresh.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (records.writeStream.foreachBatch(accept)
