@@ -66,6 +66,11 @@ def strip_tags(html: Column) -> Column:
     return F.trim(text)
 
 
+def fixed_digits(value: Column, digits: int) -> Column:
+    """A number as text with that many decimals, for display only."""
+    return F.format_string(f"%.{digits}f", value.cast("double"))
+
+
 def optional_link(url: Column, label: str = "View product") -> Column:
     """Markdown link, NULL without a URL."""
     return F.when(normalize_missing(url).isNotNull(), F.concat(F.lit(f"[{label}]("), url, F.lit(")")))

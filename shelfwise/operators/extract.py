@@ -104,9 +104,8 @@ def explode_items(pages: DataFrame, rules: DataFrame) -> DataFrame:
     items give no rows; `skipped_pages` lists them.
     """
     marked = with_rules(pages, rules)
-    # A control character no page may hold goes before each mark; what precedes
-    # the first one is no item.
-    pieces = F.expr(r"split(regexp_replace(html, rule_item, '\u0001$0'), '\u0001')")
+    # The blank makes sure that the first piece is what precedes the first mark.
+    pieces = F.expr("split(concat(' ', html), concat('(?=', rule_item, ')'))")
     items = F.slice(pieces, 2, 2**31 - 1)
     keep = [c for c in marked.columns if c != "html"]
     return marked.select(*keep, F.posexplode(items).alias("pos", "item"))

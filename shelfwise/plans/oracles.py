@@ -187,7 +187,8 @@ def oracle_sql() -> dict[str, str]:
               ('H&M', 'https://www2.hm.com/en_in/search-results.html?q=', '%20', '', 1, false)
             ) s(site, prefix, blank, suffix, max_pages, paged)
             cross join (select distinct p_name term from part) t
-            cross join (values (1), (2)) p(page) where page <= max_pages""",
+            cross join (values (1), (2)) p(page) where page <= max_pages
+            union all select 'Vogue', null, 1, 'https://www.vogue.in/fashion'""",
         "cross_frontier": """select term, site, paged
             from (values ('Amazon', true), ('Flipkart', true), ('Myntra', false), ('H&M', false)) s(site, paged)
             cross join (select distinct p_name term from part) t""",

@@ -88,7 +88,7 @@ def _scan_listing_pages(spark, sf):
 
 @query("crawl_frontier")
 def _crawl_frontier(spark, sf):
-    plan = frontier.crawl_frontier(b.search_terms(spark, sf))
+    plan = frontier.full_frontier(b.search_terms(spark, sf))
     return plan.withColumn("page", big("page"))
 
 

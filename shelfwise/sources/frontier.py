@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,15 @@ def crawl_frontier(terms: DataFrame, sites=SITES) -> DataFrame:
         .otherwise(""),
     )
     return paged.select("site", "term", "page", url.alias("url"))
+
+
+def article_page(spark: SparkSession) -> DataFrame:
+    """The one page that a harvest visits once, whatever its terms."""
+    return spark.range(1).select(
+        F.lit(ARTICLE_SITE).alias("site"), F.lit(None).cast("string").alias("term"),
+        F.lit(1).alias("page"), F.lit(ARTICLE_URL).alias("url"))
+
+
+def full_frontier(terms: DataFrame, sites=SITES) -> DataFrame:
+    """All URLs of a harvest: listings of every term, then the article page."""
+    return crawl_frontier(terms, sites).unionByName(article_page(terms.sparkSession))

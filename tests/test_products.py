@@ -6,7 +6,7 @@ from shelfwise.operators import aggregate, clean
 from shelfwise.schema import PRODUCT, SUMMARY
 from shelfwise.session import fresh_path
 from shelfwise.sinks import files
-from shelfwise.sources.frontier import ARTICLE_URL, crawl_frontier
+from shelfwise.sources.frontier import ARTICLE_URL, crawl_frontier, full_frontier
 from shelfwise.sources.products import add_default_column, read_products
 
 CSV = '''name,price,rating,image_url,product_url,source
@@ -126,6 +126,8 @@ def test_full_crawl_plan(spark):
     assert len(urls) == 30
     assert "https://www.amazon.in/s?k=mens+shirts&rh=n%3A1571271031&page=2" in urls
     assert "https://www.myntra.com/casual-wear" in urls and ARTICLE_URL not in urls
+    every = full_frontier(terms)
+    assert every.count() == 31 and every.where("term is null").first()["url"] == ARTICLE_URL
 
 
 def test_summary_document_shape(spark):

@@ -40,6 +40,14 @@ def test_counts_truncate_and_reject_infinity(spark):
     assert values(spark, lambda c: text.coerce_count(c, 10), given) == [7, -7, 10, 10, 10, 10, 10]
 
 
+def test_fixed_digits(spark):
+    assert values(spark, lambda c: text.fixed_digits(c, 2), [0.876, 4.0], "double") == ["0.88", "4.00"]
+
+
+def test_file_name(spark):
+    assert values(spark, text.file_name, ["file:/a/b/c.jpg", "c.png"]) == ["c.jpg", "c.png"]
+
+
 def test_optional_link(spark):
     assert values(spark, lambda c: text.optional_link(c, "Go"), ["http://x/p", "N/A", "", None]) == [
         "[Go](http://x/p)", None, None, None]
