@@ -32,7 +32,7 @@ from shelfwise.session import shuffle_partitions
 
 # A side is broadcast only if it has at most this many rows and vector bytes.
 BROADCAST_ROWS = 16_384
-BROADCAST_BYTES = 256 << 20
+BROADCAST_BYTES = 64 << 20
 # Rows and vector bytes per block when both sides are large.
 BLOCK_ROWS, MIN_BLOCK_ROWS = 32_768, 4_096
 BLOCK_BYTES = 64 << 20
