@@ -213,10 +213,15 @@ def prepare_side(df: DataFrame, key: str, vector: str = "embedding", *, out: str
     Prepare a catalogue once to serve many batches of queries from it.
     """
     rows = _vectors(df, key, vector, out)
-    widths = [row[0] for row in rows.select(F.size("v")).take(broadcast_rows + 1)]
-    if len(widths) > broadcast_rows or 8 * sum(widths) > BROADCAST_BYTES:
-        return Side(rows, None, max(widths))
-    table = rows.toArrow()
+    # Held between check and fetch, so that an aggregate is not computed twice.
+    held = _vectors(df, key, vector, out).persist()
+    try:
+        widths = [row[0] for row in held.select(F.size("v")).take(broadcast_rows + 1)]
+        if len(widths) > broadcast_rows or 8 * sum(widths) > BROADCAST_BYTES:
+            return Side(rows, None, max(widths))
+        table = held.toArrow()
+    finally:
+        held.unpersist()
     shared = df.sparkSession.sparkContext.broadcast((_ids(table, out), _matrix(table, "v")))
     return Side(rows, shared, max(widths, default=0))
 
