@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import quality
+from shelfwise.llm import mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +27,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("quality_score") >= model.cut).cast("int").alias("predicted"))
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
+        "op2_mix_sources": op2,
     }
 
 
