@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, quality
+from shelfwise.llm import mixing, quality, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,12 +31,39 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long").alias("id"), topk.whole_vector(F.col("embedding")).alias("v"))
+    return topk.exact_topk(rows.where("id % 50 = 0"), rows)
+
+
+OP6_SQL = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as double)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from whole q join whole c on q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0
+), ranked as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score
+  from pairs
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
         "op2_mix_sources": op2,
+        "op6_exact_topk": op6,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_exact_topk": OP6_SQL,
+    }
