@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import mixing, quality, topk
+from shelfwise.llm import chat, mixing, quality, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.conversation_digests(rows.unionByName(probe))
+
+
+OP5_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), measured as (
+  select *, length(regexp_replace(text,
+      '(\\|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<<ROLE>>|<</ROLE>>)', '\1x', 'g')) as escaped
+  from turns
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+  sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text)) as loss_sha256,
+  cast(sum(escaped + case role when 'assistant' then 7 when 'user' then 15 when 'system' then 15
+      else 32 + length(role) end) as bigint) as formatted_chars
+from measured group by conv_id
+"""
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("long").alias("id"), topk.whole_vector(F.col("embedding")).alias("v"))
@@ -59,11 +86,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
         "op2_mix_sources": op2,
+        "op5_chat_template": op5,
         "op6_exact_topk": op6,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_chat_template": OP5_SQL,
         "op6_exact_topk": OP6_SQL,
     }
