@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, mixing, quality, topk
+from shelfwise.llm import chat, mixing, pii, quality, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.train_field(docs))
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
         "op2_mix_sources": op2,
+        "op4_pii_skip_chain": op4,
         "op5_chat_template": op5,
         "op6_exact_topk": op6,
     }
