@@ -39,6 +39,7 @@ SAMPLE_TOKENS = 100_000
 SURE = 0.9
 ROUNDS = 15
 LABELS = 1 + 2 * len(KINDS)  # other, then begin and inside of each kind
+SMOOTH = 0.1  # prior weight of independence, as a share of the neighbours seen
 AGREE = 20.0  # prior weight of equal kinds across a skip
 
 Span = tuple[str, int, int]
@@ -205,6 +206,15 @@ def token_labels(tokens: Tokens, spans: list[Span]) -> list[int]:
     return out
 
 
+def unclear(text: str, tokens: Tokens) -> list[bool]:
+    """Tokens inside a match that was dropped for too many digits: it may hold several items, so nothing is
+    learned from it."""
+    wide = [m.span() for pattern, most in ((_CARD, 19), (_PHONE, 15)) for m in pattern.finditer(text)
+            if len(digits_of(m[0])) > most]
+    return [any(a < start + len(token) and start < b for a, b in wide)
+            for token, start in zip(tokens.text, tokens.start)]
+
+
 class Field(NamedTuple):
     """Log potentials: unary (features x labels), transitions and skips (labels x labels)."""
 
@@ -213,8 +223,8 @@ class Field(NamedTuple):
     skip: np.ndarray
 
 
-def fit_field(features: list[list[int]], labels: np.ndarray, before: np.ndarray, skips: np.ndarray) -> Field:
-    """Piecewise estimates. `before`: each token's label before it (0 where none is joined); `skips`: pairs of labels."""
+def fit_field(features: list[list[int]], labels: np.ndarray, moves: np.ndarray, skips: np.ndarray) -> Field:
+    """Piecewise estimates. `moves` and `skips`: pairs of labels of neighbours and of linked tokens."""
     x = np.zeros((len(features), FEATURES))
     for row, found in zip(x, features):
         row[found] = 1
@@ -238,7 +248,8 @@ def fit_field(features: list[list[int]], labels: np.ndarray, before: np.ndarray,
     share /= share.sum()
     kind = (np.arange(LABELS) + 1) // 2
     agree = np.outer(share, share) + AGREE * (kind[:, None] == kind[None, :]) * np.minimum(share[:, None], share[None, :])
-    return Field(w, ratio(np.stack([before, labels], 1), np.outer(share, share) * 10), ratio(skips, agree))
+    even = np.outer(share, share) * (10 + SMOOTH * len(moves))
+    return Field(w, ratio(moves, even), ratio(skips, agree))
 
 
 def beliefs(field: Field, features: list[list[int]], chain: np.ndarray, skips: np.ndarray,
@@ -350,24 +361,34 @@ def train_field(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens:
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 tokens = tokens_of(text)
                 labels = token_labels(tokens, base_spans(text))
-                skips = dict((b, labels[a]) for a, b in skip_edges(tokens))
-                for i, found in enumerate(features_of(tokens)):
-                    rows.append({"key": key, "i": i, "features": found, "label": labels[i],
-                                 "before": labels[i - 1] if tokens.joined[i] else 0, "linked": skips.get(i)})
+                left_out = unclear(text, tokens)
+                skips = {b: a for a, b in skip_edges(tokens)}
+                for i, own in enumerate(features_of(tokens)):
+                    if left_out[i]:
+                        continue
+                    moves = [(labels[i - 1], labels[i])] if tokens.joined[i] and not left_out[i - 1] else []
+                    if not tokens.joined[i]:
+                        moves.append((0, labels[i]))
+                    if i + 1 == len(labels) or not tokens.joined[i + 1]:
+                        moves.append((labels[i], 0))
+                    rows.append({"key": key, "i": i, "features": own, "label": labels[i],
+                                 "moves": [a * LABELS + b for a, b in moves],
+                                 "linked": labels[skips[i]] if i in skips and not left_out[skips[i]] else None})
             yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
     kinds = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("features", pa.list_(pa.int32())),
-                       ("label", pa.int32()), ("before", pa.int32()), ("linked", pa.int32())])
+                       ("label", pa.int32()), ("moves", pa.list_(pa.int32())), ("linked", pa.int32())])
     worth = _worth(docs, "doc_id").where("text is not null").withColumn("key", F.xxhash64("doc_id", "text"))
     rows = (worth.select("key", "text").orderBy("key").limit(sample_docs)
-            .mapInArrow(batches, "key long, i int, features array<int>, label int, before int, linked int")
+            .mapInArrow(batches, "key long, i int, features array<int>, label int, moves array<int>, linked int")
             .orderBy("key", "i").limit(sample_tokens).toArrow())
     if not rows.num_rows:
         return None
     labels = rows["label"].to_numpy()
     linked = rows["linked"].to_pylist()
     skips = np.array([(a, b) for a, b in zip(linked, labels) if a is not None], int).reshape(-1, 2)
-    return fit_field(rows["features"].to_pylist(), labels, rows["before"].to_numpy(), skips)
+    moves = np.array([m for found in rows["moves"].to_pylist() for m in found], int)
+    return fit_field(rows["features"].to_pylist(), labels, np.stack([moves // LABELS, moves % LABELS], 1), skips)
 
 
 def joined_spans(spans: list[Span]) -> str:
