@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, mixing, pii, quality, topk
+from shelfwise.llm import chat, mixing, pii, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,14 @@ select query_id, cast(rank as integer) as rank, vec_id, score from ranked where
 """
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.training_model(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.3).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
@@ -94,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii_skip_chain": op4,
         "op5_chat_template": op5,
         "op6_exact_topk": op6,
+        "op9_kneser_ney_toxicity": op9,
     }
 
 
