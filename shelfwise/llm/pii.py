@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.sampling import hash_sample
 from shelfwise.llm.tokens import slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -378,8 +379,9 @@ def train_field(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens:
 
     kinds = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("features", pa.list_(pa.int32())),
                        ("label", pa.int32()), ("moves", pa.list_(pa.int32())), ("linked", pa.int32())])
-    worth = _worth(docs, "doc_id").where("text is not null").withColumn("key", F.xxhash64("doc_id", "text"))
-    rows = (worth.select("key", "text").orderBy("key").limit(sample_docs)
+    worth = _worth(docs, "doc_id").where("text is not null")
+    sample = hash_sample(worth, sample_docs, ["doc_id", "text"], wide=8, count=docs.count())  # few are worth it
+    rows = (sample.select(F.xxhash64("doc_id", "text").alias("key"), "text")
             .mapInArrow(batches, "key long, i int, features array<int>, label int, moves array<int>, linked int")
             .orderBy("key", "i").limit(sample_tokens).toArrow())
     if not rows.num_rows:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, mixing, pii, quality, topk, toxicity
+from shelfwise.llm import chat, language, mixing, pii, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +95,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxic_score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tagger = language.train_tagger(docs.where(~quality.held_out(F.col("doc_id"), 4, 2)))
+    return language.predict_language(docs, tagger).select(
+        "doc_id", quality.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
@@ -103,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_chat_template": op5,
         "op6_exact_topk": op6,
         "op9_kneser_ney_toxicity": op9,
+        "op10_crf_language": op10,
     }
 
 

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.quality import held_out
+from shelfwise.llm.sampling import hash_sample
 from shelfwise.llm.tokens import Words, mix, row_of, slices, split_words
 from shelfwise.session import materialize
 
@@ -250,7 +251,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, unseen: Column, sample_rows
         return None
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(models.plain())
-    sample = labels.where(unseen).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    sample = hash_sample(labels.where(unseen), sample_rows, ["doc_id"])
 
     def batches(found):
         models = Models.of(shared.value)
