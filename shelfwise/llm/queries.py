@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, language, mixing, neardup, pii, quality, topk, toxicity
+from shelfwise.llm import chat, decontaminate, language, mixing, neardup, pii, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return pii.find_pii(docs, pii.train_field(docs))
@@ -110,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
         "op2_mix_sources": op2,
+        "op3_simhash_windows": op3,
         "op4_pii_skip_chain": op4,
         "op5_chat_template": op5,
         "op6_exact_topk": op6,
