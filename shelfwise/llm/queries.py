@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, language, mixing, neardup, pii, quality, topk, toxicity
+from shelfwise.llm import chat, decontaminate, language, mixing, neardup, passages, pii, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,10 @@ select query_id, cast(rank as integer) as rank, vec_id, score from ranked where
 """
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -118,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii_skip_chain": op4,
         "op5_chat_template": op5,
         "op6_exact_topk": op6,
+        "op7_sparse_suffixes": op7,
         "op8_order_minhash": op8,
         "op9_kneser_ney_toxicity": op9,
         "op10_crf_language": op10,
