@@ -1,11 +1,18 @@
-"""Documents to a training mix, stage by stage."""
+"""Documents to a training mix, stage by stage.
+
+Each stage takes the documents its predecessor kept and decides on all of them.
+The first four return documents with their columns as they came (texts masked
+where personal data was found); the last one says how many words of each
+document the mix takes.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import quality
+from shelfwise.llm import decontaminate, mixing, neardup, pii, quality
 from shelfwise.llm.queries import quality_model
+from shelfwise.session import materialize
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,12 +20,39 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_quality(docs, quality_model(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
-STAGES = [("quality", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, the one of smallest doc_id."""
+    return neardup.keep_first(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked and `n_chars` of masked texts counted anew."""
+    return pii.mask_pii(docs, pii.train_field(docs))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of each document."""
+    return mixing.mix_sources(docs)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("mixing", mixing_stage),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; what a stage returns is written and read again before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
