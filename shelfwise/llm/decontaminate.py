@@ -120,12 +120,12 @@ class Index(NamedTuple):
                      np.unique(np.concatenate(member)) if member else np.zeros(0, np.uint64))
 
 
-def run_weights(words: Words, first: np.ndarray) -> np.ndarray:
+def run_weights(words: Words, first: np.ndarray, k: int = GRAM) -> np.ndarray:
     """The weight of each run: of its words together."""
     total = np.concatenate(([0], np.cumsum(weights_of(words), dtype=np.int64)))
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.arange(first[-1]) - first[row] + words.first[row]
-    return total[np.minimum(at + GRAM, words.first[row + 1])] - total[at]
+    return total[np.minimum(at + k, words.first[row + 1])] - total[at]
 
 
 def shared_weight(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
@@ -184,11 +184,15 @@ class Hit(NamedTuple):
 def find_items(texts: pa.Array, index: Index) -> list[Hit]:
     """The best window of each item that a text holds. Texts are lowered before."""
     words = split_words(texts)
-    runs, first = grams(words.hash, words.first, GRAM)
-    weight = run_weights(words, first) if len(runs) else None
+    of_size: dict[int, tuple] = {}
     best: dict[tuple[int, int], Hit] = {}
     for start, item, distance in candidates(words, index):
         row = np.searchsorted(words.first, start, "right") - 1
+        k = int(index.words[item[:1]].min(initial=GRAM))  # items below GRAM words come alone in their size
+        if k not in of_size:
+            runs, first = grams(words.hash, words.first, k)
+            of_size[k] = runs, first, run_weights(words, first, k)
+        runs, first, weight = of_size[k]
         # runs of the window that the item has too: most candidates have none and end here
         begin = first[row] + start - words.first[row]
         many = np.minimum(np.maximum(index.words[item] - GRAM + 1, 1), first[row + 1] - begin)

@@ -220,16 +220,17 @@ def neighbours(rows: DataFrame, key: list[str]) -> DataFrame:
 def repeated_spans(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """(start in a, start in b, words) of matches of at least `LEAST` words through the seeds.
 
-    Seeds inside a match that has been found already lead to no new words.
+    Seeds that could add no words to the matches found already are left out.
     """
     out, done_a, done_b = [], np.zeros(len(a), bool), np.zeros(len(b), bool)
     for i, j in sorted(set(seeds)):
-        if i >= len(a) or j >= len(b) or (done_a[i] and done_b[j]) or a[i] != b[j]:
+        if i >= len(a) or j >= len(b) or a[i] != b[j]:
+            continue
+        back, ahead = min(i, j), min(len(a) - i, len(b) - j)
+        if done_a[i - back:i + ahead].all() and done_b[j - back:j + ahead].all():
             continue
-        back = min(i, j)
         differ = np.flatnonzero(a[i - back:i] != b[j - back:j])
         left = back - 1 - int(differ[-1]) if len(differ) else back
-        ahead = min(len(a) - i, len(b) - j)
         differ = np.flatnonzero(a[i:i + ahead] != b[j:j + ahead])
         right = int(differ[0]) if len(differ) else ahead
         if left + right >= LEAST:
