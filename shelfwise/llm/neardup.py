@@ -24,6 +24,8 @@ rows.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -152,39 +154,58 @@ def banded_distance(a: list, b: list, band: int) -> int:
     return min(distance, band + 1)
 
 
-def compare(a: np.ndarray, b: np.ndarray) -> tuple[bool, int]:
-    """(linked, distance) of two sequences of runs; the distance is a lower bound if they are not linked."""
-    longer = max(len(a), len(b))
+class Runs(NamedTuple):
+    """The runs of a text in order, and their occurrence-labelled hashes."""
+
+    order: np.ndarray
+    labelled: np.ndarray
+
+    @staticmethod
+    def of(texts: pa.Array) -> list[Runs]:
+        words = split_words(texts)
+        runs, first = grams(words.hash, words.first, GRAM)
+        labelled = labelled_runs(runs, first)
+        return [Runs(runs[a:b], labelled[a:b]) for a, b in zip(first, first[1:])]
+
+
+def compare(a: Runs, ascending: np.ndarray, b: Runs) -> tuple[bool, int]:
+    """(linked, distance) of two texts; the distance is a lower bound if they are not linked.
+
+    `ascending` are the labelled runs of `a`, sorted. Runs that are not in common bound the distance from below.
+    """
+    longer = max(len(a.order), len(b.order))
     most = int(longer * (1 - SIMILAR) + 1e-9)
-    left, times_left = np.unique(a, return_counts=True)
-    right, times_right = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(left, right, assume_unique=True, return_indices=True)
-    least = longer - int(np.minimum(times_left[i], times_right[j]).sum())
-    if max(least, abs(len(a) - len(b))) > most:
-        return False, max(least, abs(len(a) - len(b)))
-    distance = banded_distance(a.tolist(), b.tolist(), most)
+    least = abs(len(a.order) - len(b.order))
+    if least <= most and len(ascending):
+        spot = np.minimum(np.searchsorted(ascending, b.labelled), len(ascending) - 1)
+        least = longer - int((ascending[spot] == b.labelled).sum())
+    if least > most:
+        return False, least
+    distance = banded_distance(a.order.tolist(), b.order.tolist(), most)
     return distance <= most, distance
 
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(leader, doc, linked, distance) of each pair."""
 
-    def runs(text) -> np.ndarray:
-        words = split_words(pa.array([text.as_py()], pa.large_string()))
-        return grams(words.hash, words.first, GRAM)[0]
-
     def batches(found):
-        leader, told = None, None
+        known = told = ascending = None
         for batch in found:
-            out = []
-            for a, b, left, right in zip(*(batch.column(c) for c in ("leader", "doc", "left", "right"))):
-                if a.as_py() != leader or told is None:
-                    leader, told = a.as_py(), runs(left)
-                out.append((leader, b.as_py(), *compare(told, runs(right))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else
-                                             [pa.array([], t) for t in kinds], names)
-
-    names, kinds = ["leader", "doc", "linked", "distance"], [pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+            for part in slices(batch, "right"):
+                leader, doc = part.column("leader").to_numpy(), part.column("doc").to_numpy()
+                new = np.flatnonzero(np.append(known is None or leader[0] != known, leader[1:] != leader[:-1]))
+                lefts = iter(Runs.of(part.column("left").take(pa.array(new))))
+                linked, distance = np.zeros(len(doc), bool), np.zeros(len(doc), np.int64)
+                new = set(new.tolist())
+                for i, right in enumerate(Runs.of(part.column("right"))):
+                    if i in new:
+                        known, told = leader[i], next(lefts)
+                        ascending = np.sort(told.labelled)
+                    linked[i], distance[i] = compare(told, ascending, right)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leader), pa.array(doc), pa.array(linked), pa.array(distance)],
+                    ["leader", "doc", "linked", "distance"])
+
     rows = (pairs.join(texts.select(F.col("doc_id").alias("doc"), F.col("text").alias("right")), "doc")
             .join(texts.select(F.col("doc_id").alias("leader"), F.col("text").alias("left")), "leader"))
     return (rows.mapInArrow(batches, "leader long, doc long, linked boolean, distance long")
