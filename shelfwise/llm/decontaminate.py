@@ -10,7 +10,7 @@ similarity is the weight of the runs of `GRAM` words that window and item
 share (with multiplicity), over the weight of the item's or the window's,
 whichever is larger; from `SIMILAR` on a document holds the item.
 
-Windows of long items start every `size // 12` words, and items whose lengths
+Windows of long items start every `size // 11` words, and items whose lengths
 differ by less share windows; verification tries every start in between. Items
 are taken in blocks of about `ITEMS`, so what is broadcast is bounded; more
 items mean more passes.
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.tokens import Words, grams, mix, slices, split_words
+from shelfwise.llm.tokens import Words, grams, mix, row_of, slices, split_words
 
 GRAM = 5
 SIMILAR = 0.8
@@ -43,6 +43,7 @@ LONG = 2
 ITEMS = 20_000
 PIECE = 1 << 18
 _BITS = 64 // BLOCKS
+_ROWS = 512
 
 
 def weights_of(words: Words) -> np.ndarray:
@@ -53,18 +54,25 @@ def sign_sums(words: Words, most: int) -> np.ndarray:
     """Running sums of each bit's signed weights; a window's sum is a difference of two rows."""
     reach = most * LONG  # sums may wrap, differences of windows do not
     kind = np.int8 if reach < 1 << 7 else np.int16 if reach < 1 << 15 else np.int32
-    bits = np.unpackbits(words.hash.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    bits = np.ascontiguousarray(bits.T).view(np.int8)
-    sums = np.zeros((64, bits.shape[1] + 1), kind)
-    np.cumsum((bits * 2 - 1) * weights_of(words).astype(np.int8), axis=1, dtype=kind, out=sums[:, 1:])
-    return np.ascontiguousarray(sums.T)
+    rows = -(-(len(words.hash) + 1) // _ROWS)  # summed in blocks that fit the cache
+    signed = np.zeros((rows * _ROWS, 64), kind)
+    bits = np.unpackbits(words.hash.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(np.int8)
+    bits += bits
+    bits -= 1
+    np.multiply(bits, weights_of(words).astype(np.int8)[:, None], out=signed[1:len(bits) + 1])
+    sums = np.cumsum(signed.reshape(rows, _ROWS, 64), axis=1, dtype=kind)
+    sums[1:] += np.cumsum(sums[:-1, -1], axis=0, dtype=kind)[:, None]
+    return sums.reshape(-1, 64)[:len(bits) + 1]
+
+
+def packed(sums: np.ndarray) -> np.ndarray:
+    """The signs of rows of 64 sums as the bits of a number."""
+    return np.packbits((sums > 0).ravel(), bitorder="little").view("<u8")
 
 
 def fingerprints(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """SimHash of the words start .. end - 1."""
-    total = np.take(sums, end, axis=0)
-    total -= np.take(sums, start, axis=0)
-    return np.packbits(total > 0, axis=1, bitorder="little").view("<u8").ravel()
+    return packed(np.take(sums, end, axis=0) - np.take(sums, start, axis=0))
 
 
 def window_size(words: int) -> int:
@@ -73,7 +81,7 @@ def window_size(words: int) -> int:
 
 
 def stride(size: int) -> int:
-    return max(1, size // 12)
+    return max(1, size // 11)
 
 
 def block_table(prints: np.ndarray) -> np.ndarray:
@@ -136,40 +144,50 @@ def shared_weight(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray)
     return float((np.minimum(n[x], m[y]) * wa[i[x]]).sum() / max(wa.sum(), wb.sum()))
 
 
-def window_starts(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) of the windows of each row: every stride, the last one at the row's end.
+def grid(words: int, size: int) -> np.ndarray:
+    """Starts of the windows that a slice of so many words has every stride, rows left aside."""
+    return np.arange(0, words - size + 1, stride(size))
+
+
+def outer_windows(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the first and the last window of each row, where the grid has none.
 
     A row that is a little shorter than the window is a window itself.
     """
     count, step = np.diff(first), stride(size)
-    near = (count < size) & (count >= size * SIMILAR)
-    free = np.maximum(count - size, 0)
-    windows = np.where(count >= size, -(-free // step) + 1, near)
-    row = np.repeat(np.arange(len(count)), windows)
-    nth = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    start = first[row] + np.minimum(nth * step, free[row])
-    return start, start + np.minimum(size, count[row])
+    whole = np.flatnonzero(count >= size)
+    ends = np.concatenate([first[whole], first[whole + 1] - size])
+    ends = np.unique(ends[ends % step > 0])
+    near = np.flatnonzero((count < size) & (count >= size * SIMILAR) & (count > 0))
+    return np.concatenate([ends, first[near]]), np.concatenate([ends + size, first[near + 1]])
 
 
 def candidates(words: Words, index: Index) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(window start, item, Hamming distance) of all fingerprints within the radius, for one size after another."""
     if not len(words.hash) or not index.sizes:
         return
-    sums = sign_sums(words, int(index.words.max()))
+    sums, row = sign_sums(words, int(index.words.max())), row_of(words.first)
+    left = words.first[1:][row] - np.arange(len(row))  # words of the row from each word on
+    room, room_signs = np.empty_like(sums), np.empty(sums.shape, bool)  # used again for each size
     for size, own, prints, table in index.sizes:
-        start, end = window_starts(words.first, size)
-        if not len(start):
-            continue
-        found = fingerprints(sums, start, end)
+        start = grid(len(row), size)
+        space, signs = room[:len(start)], room_signs[:len(start)]
+        np.subtract(sums[size::stride(size)][:len(start)], sums[:max(len(row) - size + 1, 0):stride(size)], out=space)
+        found = np.packbits(np.greater(space, 0, out=signs).ravel(), bitorder="little").view("<u8")
+        inside = left[:max(len(row) - size + 1, 0):stride(size)] >= size
+        more, end = outer_windows(words.first, size)
+        start, found = np.concatenate([start[inside], more]), np.concatenate([found[inside], fingerprints(sums, more, end)])
+        blocks = found.view("<u2").reshape(-1, BLOCKS)
         hit = np.zeros(len(found), bool)
         for i in range(BLOCKS):
-            hit |= table[i][(found >> np.uint64(i * _BITS) & np.uint64((1 << _BITS) - 1)).astype(np.int64)]
+            hit |= table[i][blocks[:, i]]
         hit = np.flatnonzero(hit)
         for at in range(0, len(hit), 1 + (1 << 20) // len(own)):
             part = hit[at:at + 1 + (1 << 20) // len(own)]
             distance = np.bitwise_count(found[part][:, None] ^ prints[None, :])
-            window, item = np.nonzero(distance <= RADIUS)
-            yield start[part[window]], own[item], distance[window, item]
+            near = np.flatnonzero((distance <= RADIUS).ravel())
+            window, item = near // len(own), near % len(own)
+            yield start[part[window]], own[item], distance.ravel()[near]
 
 
 class Hit(NamedTuple):
@@ -203,6 +221,8 @@ def find_items(texts: pa.Array, index: Index) -> list[Hit]:
         common = np.bincount(owner, index.member[spot] == key, len(row))
         for c in np.flatnonzero(common >= 0.5 * many):
             r, i = int(row[c]), int(item[c])
+            if (r, i) in best and best[r, i].similarity == 1:
+                continue
             size, count = int(index.words[i]), int(words.first[r + 1] - words.first[r])
             slack = stride(size)
             offset = int(start[c] - words.first[r])
