@@ -70,59 +70,41 @@ def _match(df: DataFrame, few: DataFrame, keys, how: str) -> DataFrame:
     return df.join(F.broadcast(renamed), same, how).drop(*[f"__of_{k}" for k in keys])
 
 
-def _heavy_groups(df: DataFrame, order: str, by, pieces: int, heavy_rows: int) -> DataFrame | None:
-    """Number of cuts and outer quantiles of the order of each heavy group.
-
-    A group is heavy if it has more rows than `heavy_rows` and than the average
-    of `pieces` equal parts of the table, so there are fewer of them than
-    `pieces`. None if no group has that many rows, which is the usual case.
-    """
+def has_heavy_group(df: DataFrame, by, heavy_rows: int) -> bool:
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    if counts.where(F.col("__n") > heavy_rows).isEmpty():
-        return None
-    total = counts.agg(F.sum("__n")).scalar()
-    heavy = counts.withColumn("__share", F.col("__n") * pieces / total).where(
-        (F.col("__n") > heavy_rows) & (F.col("__share") > 1))
-    ends = F.percentile_approx(F.col(order).cast("double"), [0.001, 0.999], 10000)
-    return materialize(
-        _match(df, heavy.drop("__n"), by, "inner").groupBy(*by, "__share").agg(ends.alias("__e"))
-        .select(*by, F.ceil("__share").alias("__cuts"), F.get("__e", F.lit(0)).alias("__low"),
-                F.get("__e", F.lit(1)).alias("__high")), "heavy-groups")
-
-
-def _cut(df: DataFrame, heavy: DataFrame, order: str, by, how: str) -> DataFrame:
-    """Number the pieces of heavy groups, equal steps apart; other rows have none."""
-    value = F.col(order).cast("double")
-    step = F.try_divide((value - F.col("__low")) * F.col("__cuts"), F.col("__high") - F.col("__low"))
-    inside = F.least(F.col("__cuts").cast("double"), F.greatest(F.lit(-1.0), F.floor(step)))
-    piece = F.when(F.col("__cuts").isNotNull(), F.when(F.col(order).isNull(), -2).otherwise(
-        F.coalesce(inside.cast("int"), F.lit(0))))
-    return _match(df, heavy, by, how).withColumn(_PIECE, piece).drop("__cuts", "__low", "__high")
+    return not counts.where(F.col("__n") > heavy_rows).isEmpty()
 
 
 def _over_groups(df: DataFrame, order, by, total: Column, local, pieces: int | None,
-                 heavy_rows: int) -> DataFrame:
-    """Attach `__local`, the window inside the piece, and the total before it."""
-    pieces = pieces or shuffle_partitions(df.sparkSession)
-    heavy = _heavy_groups(df, order[0], by, pieces, heavy_rows)
-    if heavy is None:
+                 heavy_rows: int | None) -> DataFrame:
+    """Attach `__local`, the window inside the piece, and the total before it.
+
+    With a heavy group the rows are range-partitioned by group and order, so
+    that pieces are equally large whatever the order's values, and any order
+    that rows can be sorted by will do. A group goes on in the next piece only
+    where a partition ends inside it, so there are fewer totals to broadcast
+    than pieces.
+    """
+    if heavy_rows is None or not has_heavy_group(df, by, heavy_rows):
         whole = W.partitionBy(*by).orderBy(*order)
         return df.withColumn("__local", local(whole)).withColumns(
             {_PIECE: F.lit(None), _BEFORE: F.lit(0)})
+    ranged = _ranged(df, [*by, *order], pieces)
     earlier = F.sum("__t").over(W.partitionBy(*by).orderBy(_PIECE).rowsBetween(*_EARLIER))
-    before = (_cut(df, heavy, order[0], by, "inner").groupBy(*by, _PIECE).agg(total.alias("__t"))
+    before = (ranged.groupBy(*by, _PIECE).agg(total.alias("__t"))
               .select(*by, _PIECE, earlier.alias(_BEFORE)).where(F.col(_BEFORE).isNotNull()))
-    placed = _cut(df, heavy, order[0], by, "left")
-    window = W.partitionBy(*by, _PIECE).orderBy(*order)
-    return _match(placed.withColumn("__local", local(window)), before, [*by, _PIECE], "left")
+    window = W.partitionBy(*by, _PIECE).orderBy(_POS)
+    placed = ranged.withColumn("__local", local(window)).drop(_POS)
+    return _match(placed, before, [*by, _PIECE], "left")
 
 
 def group_running_total(df: DataFrame, value: str, order, by, name: str = "running_total",
-                        pieces: int | None = None, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                        pieces: int | None = None, heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
     """Sum of `value` over this row and all rows before it in its group.
 
-    `order` starts with a numeric column. Heavy groups are spread over as many
-    tasks as they fill; the rows are shuffled once.
+    `order` is a list of columns or sort expressions. With a group of more than
+    `heavy_rows` rows the table is cut along group and order, so that no task
+    holds a group; None says that there is none and saves the count.
     """
     summed = _over_groups(df, order, by, F.sum(value),
                           lambda w: F.sum(value).over(w.rowsBetween(*_SO_FAR)), pieces, heavy_rows)
@@ -131,7 +113,7 @@ def group_running_total(df: DataFrame, value: str, order, by, name: str = "runni
 
 
 def group_ordinal(df: DataFrame, by, order, name: str = "ordinal", pieces: int | None = None,
-                  heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                  heavy_rows: int | None = HEAVY_ROWS) -> DataFrame:
     """0-based position of each row inside its group, ordered as in `group_running_total`."""
     ranked = _over_groups(df, order, by, F.count(F.lit(1)),
                           lambda w: F.row_number().over(w), pieces, heavy_rows)

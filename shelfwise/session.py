@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _LOCAL_DIRS: dict[str, str] = {}
+_COPIES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def get_session(app: str = "shelfwise", master: str | None = None, **conf) -> SparkSession:
@@ -52,9 +54,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[context.applicationId]
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{shared_dir(spark)}/shelfwise/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has written to yet."""
-    return f"{shared_dir(spark)}/shelfwise/{label}-{uuid.uuid4().hex}"
+    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -62,10 +69,31 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
     Cuts the lineage durably: the rows survive the loss of executors, later
     passes see identical content, and they read only the columns they need.
+    `release` removes the copy, `clean_up` all copies of the application.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    _COPIES[copy] = path
+    return copy
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(copy: DataFrame) -> None:
+    """Remove the files of a table that `materialize` returned; it cannot be read after."""
+    path = _COPIES.pop(copy, None)
+    if path:
+        _delete(copy.sparkSession, path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, when its results are written."""
+    _delete(spark, work_dir(spark))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.clean import PRODUCT_KEYS, first_per_key
-from shelfwise.session import materialize
+from shelfwise.session import materialize, release
+
+BUCKETS = 256
 
 
 def stream_dedup(records: DataFrame, out: str, checkpoint: str, keys=PRODUCT_KEYS,
-                 order=("product_id",)) -> StreamingQuery:
-    """Write the first record of every key over the whole life of the stream.
-
-    Each micro-batch keeps the first row per key and drops keys that earlier
-    batches have written. Of those, only key columns are read, and a small
-    batch is broadcast against them rather than shuffling them. A repeated
-    batch ignores and overwrites its own earlier output, so the state of the
-    stream is its result, and losing an executor loses nothing.
+                 order=("product_id",), buckets: int = BUCKETS) -> StreamingQuery:
+    """Write the first record of every key over the whole life of `out`.
+
+    Each micro-batch keeps the first row per key and drops keys that `out` holds
+    already, from earlier batches or from earlier streams with a checkpoint of
+    their own. Output lies in folders by hashed key, so a batch reads the key
+    columns of its own buckets only, and by stream and batch, so a repeated
+    batch overwrites its own rows and nobody else's.
     """
     spark = records.sparkSession
 
@@ -27,18 +30,36 @@ def stream_dedup(records: DataFrame, out: str, checkpoint: str, keys=PRODUCT_KEY
         return left.join(other, [F.col(k).eqNullSafe(F.col(f"__w_{k}")) for k in keys], how)
 
     def accept(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_per_key(batch, keys, order)
-        if batch_id > 0:
-            fresh = materialize(fresh, "stream-batch")
-            written = spark.read.parquet(out).where(F.col("batch_id") < batch_id).select(*keys)
-            fresh = matching(fresh, matching(written, fresh, "left_semi"), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        first = first_per_key(batch, keys, order)
+        placed = materialize(first.withColumns({
+            "bucket": F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"),
+            "stream": F.lit(stream), "batch_id": F.lit(batch_id)}), "stream-batch")
+        fresh, written = placed, _written(spark, out, placed)
+        if written is not None:
+            own = [r["bucket"] for r in placed.select("bucket").distinct().collect()]  # at most `buckets`
+            known = written.where(F.col("bucket").isin(own) & ~(
+                (F.col("stream") == stream) & (F.col("batch_id") >= batch_id))).select(*keys)
+            fresh = matching(placed, known, "left_anti")
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("bucket", "stream", "batch_id").parquet(out)
+        release(placed)
 
     return (records.writeStream.foreachBatch(accept)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def _written(spark: SparkSession, out: str, like: DataFrame) -> DataFrame | None:
+    """What `out` holds, None before the first batch."""
+    try:
+        return spark.read.schema(like.schema).parquet(out)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def stream_dedup_within(records: DataFrame, keys, event_time: str, horizon: str) -> DataFrame:
     """First record per key within a time horizon, with state bounded by it."""
     return records.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))

@@ -54,15 +54,26 @@ def test_running_total_in_groups_and_overall(spark, skewed):
         skewed, lambda r: r["v"], False)
 
 
-def test_only_heavy_groups_are_cut(spark, skewed):
-    """Also when one far value stretches the range of the keys."""
-    far = skewed.union(spark.createDataFrame([("hot", 2**60, 1)], skewed.schema))
-    heavy = ordinals._heavy_groups(far, "k", ["g"], 16, 100)
-    placed = ordinals._cut(far, heavy, "k", ["g"], "left")
-    assert placed.where("g <> 'hot' and __piece is not null").count() == 0
-    sizes = [r["n"] for r in placed.where("g = 'hot'").groupBy("__piece").agg(
-        F.count("*").alias("n")).collect()]
-    assert len(sizes) >= 11 and max(sizes) < 0.2 * 2000
+def test_pieces_are_even_for_dense_orders(spark):
+    """A hot group with 98 % of its order values in one dense run, and a thin far spread."""
+    rows = [("hot", i if i < 19_600 else i * 10**9, 1) for i in range(20_000)] + [(f"g{i}", i, 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, k long, v long")
+    pieces = ordinals._ranged(df, ["g", "k"], 16).groupBy("__piece").count().collect()
+    assert max(r["count"] for r in pieces) < 2 * len(rows) / 16
+    got = ordinals.group_ordinal(df, ["g"], ["k"], pieces=16, heavy_rows=1000).where("g = 'hot'")
+    assert [r["ordinal"] for r in got.orderBy("k").collect()] == list(range(20_000))
+
+
+@pytest.mark.parametrize("made", [
+    lambda: ["s"], lambda: [F.desc("k")], lambda: ["t"], lambda: [F.desc("d"), "s"],
+    lambda: [F.col("k") % 7, F.col("k").desc()]], ids=["text", "descending", "time", "two", "expressions"])
+def test_any_order_on_both_paths(spark, skewed, made):
+    order = made()
+    df = skewed.selectExpr("*", "concat('x', k) s", "timestamp_seconds(k % 1000000000) t", "date_add(date'2020-01-01', cast(k % 50 as int)) d")
+    df = df.dropDuplicates(["g", "t"]) if isinstance(order[0], str) else df
+    light, heavy = (sorted(((r["g"] or "", r["k"], r["ordinal"]) for r in ordinals.group_ordinal(
+        df, ["g"], order, pieces=5, heavy_rows=n).collect())) for n in (None, 10))
+    assert light == heavy
 
 
 def test_rows_of_equal_or_missing_order(spark):
@@ -74,7 +85,7 @@ def test_rows_of_equal_or_missing_order(spark):
 
 
 def test_large_sides_are_never_joined_by_shuffle(spark, skewed):
-    assert ordinals._heavy_groups(skewed, "k", ["g"], 16, 10**6) is None
+    assert not ordinals.has_heavy_group(skewed, ["g"], 10**6)
     plan = ordinals.group_ordinal(skewed, ["g"], ["k"], heavy_rows=100)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "NestedLoop" not in plan
 

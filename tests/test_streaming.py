@@ -1,10 +1,12 @@
+import os
+
 import pytest
 
 from pyspark.sql import functions as F
 
 from shelfwise.operators.similarity import topk_similar
 from shelfwise.plans.bindings import table
-from shelfwise.session import fresh_path
+from shelfwise.session import fresh_path, work_dir
 from shelfwise.streaming.dedup import stream_dedup, stream_dedup_within
 from shelfwise.streaming.recommend import stream_recommend
 
@@ -58,6 +60,33 @@ def test_dedup_keeps_the_first_over_all_batches(spark):
     assert run() == [(0, 4), (0, 6), (0, 7), (1, 8)]
 
 
+def test_dedup_of_a_new_stream_keeps_what_is_there(spark):
+    path, more, out = (fresh_path(spark, n) for n in ("records", "records", "kept"))
+    schema = "product_id long, name string, source string"
+    record(spark, path, [(1, "a", "s"), (2, "b", "s")])
+    stream_dedup(source(spark, path, schema), out, fresh_path(spark, "state")).awaitTermination()
+    record(spark, more, [(3, "c", "s"), (4, "a", "s")])
+    stream_dedup(source(spark, more, schema), out, fresh_path(spark, "state")).awaitTermination()
+    assert sorted(r["product_id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_dedup_leaves_no_copies_and_reads_its_own_buckets(spark):
+    path, out, state = (fresh_path(spark, n) for n in ("records", "kept", "state"))
+    before = copies(spark)
+    for i in range(3):
+        record(spark, path, [(i, f"n{i}", "s"), (i + 10, "n0", "s")])
+    stream_dedup(source(spark, path, "product_id long, name string, source string", maxFilesPerTrigger=1),
+                 out, state).awaitTermination()
+    kept = spark.read.parquet(out)
+    assert sorted(r["name"] for r in kept.collect()) == ["n0", "n1", "n2"]
+    assert kept.select("bucket").distinct().count() == 3 and copies(spark) == before
+
+
+def copies(spark):
+    folder = work_dir(spark).removeprefix("file:")
+    return {n for n in os.listdir(folder) if n.startswith("stream-batch")} if os.path.isdir(folder) else set()
+
+
 def test_dedup_within_a_horizon(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     path, out, state = (fresh_path(spark, n) for n in ("events", "kept", "state"))
