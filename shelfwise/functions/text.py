@@ -56,14 +56,29 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def _numeric_entities(text: Column) -> Column:
+    """`&#8377;` and `&#x20B9;` as the character; numbers of no character as U+FFFD."""
+    def piece(p: Column, i: Column) -> Column:
+        number = F.regexp_extract(p, "^([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});", 1)
+        code = F.when(F.lower(F.left(number, F.lit(1))) == "x", F.conv(F.substring(number, 2, 9), 16, 10)) \
+            .otherwise(number).cast("int")
+        sound = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(sound, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.when(i == 0, p).when(number == "", F.concat(F.lit("&#"), p)).otherwise(
+            F.concat(char, F.substr(p, F.length(number) + 2)))
+
+    return F.when(~F.contains(text, F.lit("&#")), text).otherwise(
+        F.array_join(F.transform(F.split(text, "&#"), piece), ""))
+
+
 def strip_tags(html: Column) -> Column:
-    """Element text: tags dropped, entities decoded, outer blanks trimmed."""
-    text = F.regexp_replace(html, "<[^>]*>", "")
+    """Element text as a browser shows it: tags dropped, entities decoded, white space as single blanks."""
+    text = _numeric_entities(F.regexp_replace(html, "<[^>]*>", ""))
     # The entities that mark-up itself needs; `&amp;` goes last.
     for entity, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                         ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]:
+                         ("&nbsp;", " "), ("&amp;", "&")]:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(text)
+    return F.trim(F.regexp_replace(text, "[\\s\u00a0]+", " "))
 
 
 def fixed_digits(value: Column, digits: int) -> Column:

@@ -90,17 +90,29 @@ def rules_table(spark: SparkSession, rules=SITE_RULES) -> DataFrame:
 
 
 def with_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Join every page to the rule of its source.
+    """Join every page to the rule of its source; `skipped_pages` lists pages whose source has none.
 
     `rules` comes from a literal list of sources, which bounds its size.
     """
     return pages.join(F.broadcast(rules), F.col("source") == F.col("rule_source"))
 
 
+# The part of an item that lies in its element: tokens start at the opening and closing tags of the element's name.
+_ELEMENT = """if(item rlike '^<[A-Za-z]', aggregate(
+    split(item, concat('(?i)(?=</?', regexp_extract(item, '^<([A-Za-z][A-Za-z0-9-]*)', 1), '[\\\\s/>])')),
+    named_struct('depth', 0, 'text', '', 'closed', false),
+    (a, t) -> if(a.closed, a, named_struct(
+        'depth', a.depth + if(startswith(t, '</'), -1, 1),
+        'text', concat(a.text, if(startswith(t, '</') and a.depth = 1, regexp_extract(t, '^[^>]*>?', 0), t)),
+        'closed', startswith(t, '</') and a.depth = 1)),
+    a -> a.text), item)"""
+
+
 def explode_items(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per item, with its 0-based place on the page.
 
-    An item reaches from its own start mark to the next one. Pages without
+    An item is the element that its start mark opens, up to the tag that closes
+    it; where that is missing, it ends at the next start mark. Pages without
     items give no rows; `skipped_pages` lists them.
     """
     marked = with_rules(pages, rules)
@@ -108,14 +120,16 @@ def explode_items(pages: DataFrame, rules: DataFrame) -> DataFrame:
     pieces = F.expr("split(concat(' ', html), concat('(?=', rule_item, ')'))")
     items = F.slice(pieces, 2, 2**31 - 1)
     keep = [c for c in marked.columns if c != "html"]
-    return marked.select(*keep, F.posexplode(items).alias("pos", "item"))
+    cut = marked.select(*keep, F.posexplode(items).alias("pos", "item"))
+    return cut.withColumn("item", F.expr(_ELEMENT))
 
 
 def skipped_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Pages on which the rule of their source finds no item."""
-    marked = with_rules(pages, rules)
+    """Pages that give no item, with the `reason`: their source has no rule, or its rule finds none."""
+    marked = pages.join(F.broadcast(rules), F.col("source") == F.col("rule_source"), "left")
     found = F.coalesce(F.expr("html rlike rule_item"), F.lit(False))
-    return marked.where(~found).select(*pages.columns)
+    reason = F.when(F.col("rule_source").isNull(), "no rule").otherwise("no item")
+    return marked.where(~found).select(*pages.columns, reason.alias("reason"))
 
 
 def resolve_links(df: DataFrame, base: str, href: str, out: str) -> DataFrame:

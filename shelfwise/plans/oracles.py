@@ -86,17 +86,21 @@ marked as (
   select *, case source when 'blog' then '<article>' when 'bare' then '<p>' else '<li>' end mark
   from pg),
 pieces as (select *, string_split(html, mark)[2:] parts from marked),
+uncut as (
+  select page_id, url, source, replace(mark, '<', '</') closing, generate_subscripts(parts, 1) - 1 pos,
+    concat(mark, unnest(parts)) whole
+  from pieces),
 items as (
-  select page_id, url, source, generate_subscripts(parts, 1) - 1 pos,
-    concat(mark, unnest(parts)) item
-  from pieces)"""
+  select *, case when contains(whole, closing) then left(whole, strpos(whole, closing) + length(closing) - 1)
+    else whole end item
+  from uncut)"""
 
 
 def _unescape(text: str) -> str:
     for entity, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
                          ("&nbsp;", " "), ("&amp;", "&")]:
         text = f"replace({text}, '{entity}', '{char}')"
-    return f"trim({text}, ' ')"
+    return f"trim(regexp_replace({text}, '[\\s\u00a0]+', ' ', 'g'), ' ')"
 
 
 def _missing(pattern: str) -> str:
@@ -170,6 +174,10 @@ def oracle_sql() -> dict[str, str]:
         "read_products": f"with {RAW} select product_id, " + ", ".join(
             missing.format(c) for c in ("name", "price", "rating", "no_of_reviews", "image_url",
                                         "product_url", "source")) + " from product_raw",
+        "read_products_by_name": f"with {RAW} select product_id, " + ", ".join(
+            missing.format(c) for c in ("name", "price", "source")) + """,
+              case when product_id % 2 = 0 then nullif(nullif(nullif(no_of_reviews, 'N/A'), 'n/a'), '') end no_of_reviews
+            from product_raw""",
         "load_model": f"""with {SCORED},
             joined as (select product_id, popularity, label::double x
               from scored join embeddings on product_id = vec_id),
@@ -193,6 +201,9 @@ def oracle_sql() -> dict[str, str]:
             from (values ('Amazon', true), ('Flipkart', true), ('Myntra', false), ('H&M', false)) s(site, paged)
             cross join (select distinct p_name term from part) t""",
         "explode_items": f"""with {ITEMS} select page_id, source, pos, length(item) n_chars from items""",
+        "skipped_pages": f"""with {ITEMS} select page_id, source,
+              case when source = 'm' then 'no rule' else 'no item' end reason
+            from marked where source = 'm' or not contains(html, mark)""",
         "extract_fields": f"with {FIELDS} select * from fields",
         "limit_then_keyword": f"""with {FIELDS} select page_id, source, pos, name, product_url from fields
             where name <> 'N/A' and (source <> 'm' or (pos < 4 and contains(lower(name), 'th')))""",
@@ -280,11 +291,14 @@ def oracle_sql() -> dict[str, str]:
             from scored join guess on scored.source = guess.source""",
         "centroids": f"""with {CENTERS} select label, cast(pos - 1 as bigint) pos, round(m, 6) mean from means""",
         "crop_ordinal": f"with {CROPS} select image_id, seq, crop_ordinal from crops",
+        "crop_ordinal_of_heavy_images": f"with {CROPS} select image_id, seq, crop_ordinal from crops",
         "first_crop": f"with {CROPS} select image_id, seq, class_name from crops where crop_ordinal = 0",
         "running_totals": f"""with {_PAGE_COUNTS} select page_id, source, n::bigint n,
               cast(sum(n) over (order by page_id) as bigint) total_so_far from counted""",
         "running_totals_by_source": f"""with {_PAGE_COUNTS} select page_id, source, n::bigint n,
               cast(sum(n) over (partition by source order by page_id) as bigint) source_total from counted""",
+        "running_totals_of_heavy_sources": f"""with {_PAGE_COUNTS} select page_id, source, n::bigint n,
+              cast(sum(n) over (partition by source order by page_id desc) as bigint) source_total from counted""",
         "row_ordinal": """select user_id, event_id,
               row_number() over (order by user_id, event_id) - 1 ordinal from events""",
         "rank_by_popularity": f"""with {SCORED} select product_id, name, round(popularity, 6) popularity,
@@ -362,7 +376,8 @@ def oracle_sql() -> dict[str, str]:
             where rank <= 5""",
         "stream_recommend": _TOPK_HITS,
         "stream_dedup": """select event_id, user_id, event_type from (
-              select *, row_number() over (partition by user_id, event_type order by event_id) rn from events) e
+              select *, row_number() over (partition by user_id, event_type
+                order by event_id % 4, event_id) rn from events) e
             where rn = 1""",
         "write_ranked_csv": f"with {SCORED} select product_id, name, round(popularity, 6) popularity from scored",
         "write_summary_json": f"""with {CLEAN} select cast(sum(count(*)) over () as bigint) total_products,

@@ -79,6 +79,17 @@ def _read_products_csv(spark, sf):
     return read_products(spark, path).withColumn("product_id", big("product_id"))
 
 
+@query("read_products_by_name")
+def _read_products_by_name(spark, sf):
+    """Two harvests of which one has its columns in another order, and one column less."""
+    path = fresh_path(spark, "products-csv")
+    raw = b.product_raw(spark, sf)
+    files.write_csv(raw.where("product_id % 2 = 0"), f"{path}/even")
+    files.write_csv(raw.where("product_id % 2 = 1").select(*reversed(raw.columns)).drop("no_of_reviews"), f"{path}/odd")
+    read = read_products(spark, f"{path}/*/*.csv", by_name=True)
+    return read.select(big("product_id").alias("product_id"), "name", "price", "no_of_reviews", "source")
+
+
 @query("scan_pages")
 def _scan_listing_pages(spark, sf):
     pages = scan_pages(spark, f"{sf}/pages.parquet")
@@ -124,6 +135,12 @@ def _explode_items(spark, sf):
                         big(F.length("item")).alias("n_chars"))
 
 
+@query("skipped_pages")
+def _skipped_pages(spark, sf):
+    some = extract.rules_table(spark, [r for r in b.PAGE_RULES if r.source != "m"])
+    return extract.skipped_pages(b.page_sources(spark, sf), some).select("page_id", "source", "reason")
+
+
 @query("extract_fields")
 def _extract_fields(spark, sf):
     items = extract.explode_items(b.page_sources(spark, sf), _rules(spark))
@@ -363,6 +380,19 @@ def _running_totals_by_source(spark, sf):
     return ordinals.group_running_total(counted, "n", ["page_id"], ["source"], "source_total")
 
 
+@query("crop_ordinal_of_heavy_images")
+def _crop_ordinal_of_heavy_images(spark, sf):
+    return ordinals.group_ordinal(_crops(spark, sf), ["image_id"], [F.col("seq")], "crop_ordinal",
+                                  heavy_rows=3).select("image_id", "seq", "crop_ordinal")
+
+
+@query("running_totals_of_heavy_sources")
+def _running_totals_of_heavy_sources(spark, sf):
+    found = F.regexp_count("html", F.lit("<a href="))
+    counted = b.page_sources(spark, sf).select("page_id", "source", big(found).alias("n"))
+    return ordinals.group_running_total(counted, "n", [F.desc("page_id")], ["source"], "source_total", heavy_rows=5)
+
+
 @query("row_ordinal")
 def _row_ordinal(spark, sf):
     events = b.table(spark, sf, "events").select("user_id", "event_id")
@@ -625,8 +655,12 @@ def _stream_recommend_similar(spark, sf):
 @query("stream_dedup")
 def _stream_dedup_events(spark, sf):
     out, state = fresh_path(spark, "stream-kept"), fresh_path(spark, "stream-state")
-    events = _stream(spark, sf, "events").select("event_id", "user_id", "event_type")
-    stream_dedup(events, out, state, ["user_id", "event_type"], ["event_id"]).awaitTermination()
+    source = fresh_path(spark, "stream-events")  # a file for each micro-batch
+    events = b.table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    for i in range(4):
+        events.where(f"event_id % 4 = {i}").coalesce(1).write.mode("append").parquet(source)
+    events = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream_dedup(events, out, state, ["user_id", "event_type"], ["event_id"], buckets=8).awaitTermination()
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfwise.operators.clean import PRODUCT_KEYS, first_per_key
 from shelfwise.session import materialize, release
 
-BUCKETS = 256
+BUCKETS = 32
 
 
 def stream_dedup(records: DataFrame, out: str, checkpoint: str, keys=PRODUCT_KEYS,

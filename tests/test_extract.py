@@ -67,8 +67,54 @@ def test_source_without_rating(records):
 
 
 def test_pages_without_items_are_listed(spark, pages):
-    skipped = extract.skipped_pages(pages, extract.rules_table(spark))
-    assert [r["page_id"] for r in skipped.collect()] == [6]
+    unruled = spark.createDataFrame([(7, "u", "Unknown", "<li>x</li>"), (8, "u", None, "x"), (9, "u", "Amazon", None)], pages.schema)
+    skipped = extract.skipped_pages(pages.union(unruled), extract.rules_table(spark))
+    assert sorted((r["page_id"], r["reason"]) for r in skipped.collect()) == [
+        (6, "no item"), (7, "no rule"), (8, "no rule"), (9, "no item")]
+
+
+INDENTED = {
+    "Amazon": ("""<div data-component-type="s-search-result">
+  <div><h2>
+     <a href="/dp/9"> <span>
+        Red   dress&nbsp;&#8377;&#x2019;
+     </span></a></h2></div>
+</div>
+<footer><span class="a-price-whole">0</span><img class="s-image" src="/logo.png"><a href="/privacy">p</a></footer>""",
+               ("Red dress ₹’", "N/A", "N/A", "N/A", "https://www.amazon.in/dp/9")),
+    "Flipkart": ("""<div data-id="A">\n <div> <a title="Kurta  Set" href="/k"></a> </div>\n</div>
+<div class="_30jeq3">0</div><img src="/logo.png">""", ("Kurta Set", "N/A", "N/A", "N/A", "https://www.flipkart.com/k")),
+    "Myntra": ("""<ul><li class="product-base">
+   <h3 class="product-brand">
+      Road\tster </h3></li></ul><a href="/privacy">x</a><span class="product-rating">1</span>""",
+               ("Road ster", "N/A", "N/A", "N/A", "N/A")),
+    "Vogue": ("""<article>\n<h2>\n  Fashion &amp;\n now </h2></article><footer><img src="/logo.png"><a href="/privacy">x</a></footer>""",
+              ("Fashion & now", "N/A", "N/A", "N/A", "N/A")),
+    "H&M": ("""<article class="item">
+   <h3 class="item-heading">
+      Red dress
+   </h3>
+   <span class="price">
+      1,299
+   </span></article><div><span class="price">0</span><img src="/logo.png"><a href="/privacy">x</a></div>""",
+            ("Red dress", "1,299", "N/A", "N/A", "N/A")),
+}
+
+
+@pytest.mark.parametrize("source", INDENTED)
+def test_items_end_with_their_element(spark, source):
+    html, expected = INDENTED[source]
+    page = spark.createDataFrame([(1, "https://x.example/p", source, html)], "page_id long, url string, source string, html string")
+    rows = extract.harvest(page, extract.rules_table(spark)).collect()
+    assert [fields(r) for r in rows] == [expected]
+
+
+def test_nested_and_unclosed_elements(spark):
+    html = "a<li>1<ul><LI >in</LI></ul>2</li>out<li>3<b>x</b><li>4</li >after"
+    page = spark.createDataFrame([(1, "u", "s", html)], "page_id long, url string, source string, html string")
+    rule = extract.rules_table(spark, [extract.Rule("s", None, "<li>", "x", None, None, None, None)])
+    items = extract.explode_items(page, rule).orderBy("pos").collect()
+    assert [r["item"] for r in items] == ["<li>1<ul><LI >in</LI></ul>2</li>", "<li>3<b>x</b>", "<li>4</li >"]
 
 
 def test_items_cover_the_page_from_the_first_mark(spark, pages):

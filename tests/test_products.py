@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -140,3 +141,14 @@ def test_summary_document_shape(spark):
 
 def test_product_schema_names():
     assert PRODUCT.names == ["name", "price", "rating", "image_url", "product_url", "source"]
+
+
+def test_headers_that_differ_are_an_error_or_matched_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("product_id,name,price\n1,shirt,9\n")
+    (tmp_path / "b.csv").write_text("price,name,product_id\n99,dress,7\n5,hat,8\n")
+    path = f"{tmp_path}/*.csv"
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="(?i)header"):
+            read_products(spark, path, multi_line).collect()
+        rows = {r["product_id"]: (r["name"], r["price"]) for r in read_products(spark, path, multi_line, by_name=True).collect()}
+        assert rows == {"1": ("shirt", "9"), "7": ("dress", "99"), "8": ("hat", "5")}

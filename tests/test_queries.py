@@ -5,10 +5,11 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
+from shelfwise.plans import oracles, registry
 from tools.check_queries import compare, connect
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-SQL = entry.oracle_sql()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, sf_dir, con, name):
     df = entry.queries()[name](spark, sf_dir)
     if name in SQL:
@@ -26,7 +27,7 @@ def test_query(spark, sf_dir, con, name):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
