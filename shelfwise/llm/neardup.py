@@ -14,8 +14,9 @@ Equal word sequences are one representative from the start. In a bucket of
 equal picks not all pairs are made: everyone is compared with one leader, and
 those it is not linked to go on to the next round, which has more leaders. A
 document linked to a leader goes on too, unless the triangle inequality settles
-that it is not linked to any of the others. So no link between documents of
-different classes is lost, and a bucket of near copies is done in a round. Classes are the connected components.
+that it is not linked to any of the others, and nobody is compared within a
+class that links have made already. So no link between documents of different
+classes is lost, and a bucket of near copies is done in a round or two. Classes are the connected components.
 
 Defined results: words are compared without case and punctuation; a text
 without words (null, empty) is in a class of its own; a text of fewer words
@@ -216,27 +217,38 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _leaders(active: DataFrame, turn: int) -> DataFrame:
-    """(key, leader): one leader of each bucket with more than one document, later on `MORE` to the power of `turn`."""
+    """(key, leader, leader_class): one leader of each bucket with more than one document, later on `MORE`
+    to the power of `turn`."""
     if not turn:
         rank = F.struct(F.xxhash64("doc"), F.col("doc").alias("doc"))
         first = active.groupBy("key").agg(F.min(rank).alias("first"), F.count("*").alias("size")).where("size > 1")
-        return first.select("key", F.col("first.doc").alias("leader"))
+        return first.select("key", F.col("first.doc").alias("leader"), F.col("first.doc").alias("leader_class"))
     place = F.row_number().over(Window.partitionBy("key").orderBy("settled", F.xxhash64("doc"), "doc"))
     chosen = active.withColumn("place", place).where(F.col("place") <= MORE ** turn)
-    return chosen.where("settled = 0").select("key", F.col("doc").alias("leader"))
+    return chosen.where("settled = 0").select("key", F.col("doc").alias("leader"), F.col("class").alias("leader_class"))
+
+
+def _of_several_classes(active: DataFrame, links: DataFrame) -> DataFrame:
+    """`active` with the class that links so far give each document, without buckets of one class."""
+    found = components(links).select(F.col("node").alias("doc"), "component")
+    placed = active.join(found, "doc", "left").select(*active.columns, F.coalesce("component", "doc").alias("class"))
+    placed = materialize(placed, "active")
+    mixed = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    return placed.join(materialize(mixed.select("key"), "mixed"), "key")
 
 
 def find_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b) links that connect the classes of representatives (doc, n, picks)."""
     length = [F.floor(F.log(CLASS, F.col("n") * f)) for f in (1.0, 1.0 / SIMILAR)]
     active = reps.select("doc", "n", F.explode("picks").alias("pick"), F.array_distinct(F.array(*length)).alias("classes"))
-    active = active.select("doc", "n", "pick", F.explode("classes").alias("class")).select(
-        F.xxhash64("pick", "class").alias("key"), "doc", "n", F.lit(0).alias("settled"))
+    active = active.select("doc", "n", "pick", F.explode("classes").alias("length")).select(
+        F.xxhash64("pick", "length").alias("key"), "doc", "n", F.lit(0).alias("settled"), F.col("doc").alias("class"))
     links = reps.select(F.col("doc").alias("a"), F.col("doc").alias("b")).limit(0)
     texts, done, turn = None, None, 0
     while True:
         leaders = materialize(_leaders(active, turn), "leaders")
-        hits = materialize(active.join(leaders, "key").where("doc <> leader"), "hits")
+        hits = active.join(leaders, "key").where("doc <> leader and class <> leader_class")
+        hits = materialize(hits.select("key", "leader", "doc", "n", "settled"), "hits")
         if hits.isEmpty():
             return links
         pairs = hits.select("leader", "doc").distinct()
@@ -244,27 +256,30 @@ def find_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
             wanted = hits.select(F.col("doc").alias("doc_id")).union(hits.select("leader")).distinct()
             texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(
                 F.col("text").cast("string")).alias("text")).join(wanted, "doc_id"), "texts")
+            active = hits.select("key", "doc", "n", "settled")  # buckets of one document are done
         else:
             pairs = pairs.join(done, ["leader", "doc"], "left_anti")
         told = materialize(_compared(pairs, texts), "told")
         links = links.unionByName(told.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
         done = told if done is None else done.unionByName(told)
         status = materialize(hits.join(done, ["leader", "doc"]), "status")
-        led = leaders.withColumnRenamed("leader", "doc")  # compared with all of their bucket
-        left = (status.groupBy("key", "doc", "n").agg(F.max("settled").alias("settled"), F.max("linked").alias("linked"))
-                .join(led, ["key", "doc"], "left_anti"))
-        fails = materialize(left.where("not linked and settled = 0").select("key", "doc", "n", "settled"), "fails")
+        led = leaders.select("key", F.col("leader").alias("doc"))  # compared with all of their bucket
+        seen = status.groupBy("key", "doc").agg(F.max("linked").alias("linked"))
+        left = (active.select("key", "doc", "n", "settled").join(led, ["key", "doc"], "left_anti")
+                .join(seen, ["key", "doc"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))))
+        left = materialize(left, "left")
+        fails = left.where("not linked and settled = 0")
         if fails.isEmpty():
             return links
-        near = materialize(status.join(fails.select("key", "doc"), ["key", "doc"]).groupBy("key", "leader")
-                           .agg(F.min("distance").alias("near")), "near")
+        near = status.join(fails.select("key", "doc"), ["key", "doc"]).groupBy("key", "leader").agg(
+            F.min("distance").alias("near"))
         # x unlinked, y linked to a leader: distance(x, y) >= distance(leader, x) - distance(leader, y)
         reach = F.col("n") / SIMILAR - F.col("n")
-        far = F.col("linked") & (F.col("near") - F.col("distance") > reach)
-        others = (status.where("linked or settled = 1").join(near, ["key", "leader"])
-                  .groupBy("key", "doc", "n").agg(F.max(far).alias("far")).where("not far")
-                  .join(led, ["key", "doc"], "left_anti").select("key", "doc", "n", F.lit(1).alias("settled")))
-        active = materialize(fails.unionByName(others), "active")
+        far = (status.where("linked").join(materialize(near, "near"), ["key", "leader"])
+               .where(F.col("near") - F.col("distance") > reach).select("key", "doc").distinct())
+        others = (left.where("linked or settled = 1").join(fails.select("key").distinct(), "key", "left_semi")
+                  .join(far, ["key", "doc"], "left_anti").withColumn("settled", F.lit(1)))
+        active = _of_several_classes(fails.unionByName(others).drop("linked"), links)
         turn += 1
 
 
