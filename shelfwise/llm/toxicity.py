@@ -45,6 +45,7 @@ TOP = (1, 2, 4)  # how many of the most toxic words are averaged
 TOP_BUCKETS = 1 << 21
 LOW_BUCKETS = 1 << 18
 SAMPLE_ROWS = 20_000
+PIECE = 1 << 20  # bytes of text scored at once
 LABEL_ROWS = 1 << 21  # labels are broadcast up to here (16 bytes each), shuffled beyond
 _PAD, _END = "\x02", "\x03"
 _BASE = 0x9E3779B97F4A7C15
@@ -256,7 +257,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, unseen: Column, sample_rows
     def batches(found):
         models = Models.of(shared.value)
         for batch in found:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PIECE):
                 x = pa.array(list(evidence(part.column("text"), models)), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), x], ["doc_id", "toxic", "x"])
 
@@ -280,7 +281,7 @@ def score_toxicity(docs: DataFrame, model: Toxicity | None) -> DataFrame:
     def batches(found):
         model = Toxicity(Models.of(shared.value), weights)
         for batch in found:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PIECE):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(model.score(part.column("text")))], ["doc_id", "toxic_score"])
 
