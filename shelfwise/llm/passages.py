@@ -90,15 +90,15 @@ def _texts(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
 
 
-def block_hashes(hashes: np.ndarray, at: np.ndarray, end: int, step: int) -> np.ndarray:
+def block_hashes(hashes: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, step: int) -> np.ndarray:
     """Hash of the `GRAM` words from each place on (step 1) or before it, going back (step -1).
 
-    Where the row ends before, the hash is of the words that are left and differs from whole blocks'.
+    Where the row, low to high, ends before, the hash is of the words that are left and differs from whole blocks'.
     """
     out = np.zeros(len(at), np.uint64)
     for j in range(GRAM):
         spot = at + j if step > 0 else at - 1 - j
-        inside = (spot >= 0) & (spot < end)
+        inside = (spot >= low) & (spot < high)
         out[inside] = mix(out[inside] + hashes[spot[inside]])
     return out
 
@@ -110,16 +110,17 @@ def contexts(kept: DataFrame) -> DataFrame:
         names = ["anchor", "after1", "after2", "before1", "before2", "doc_id", "pos"]
         for batch in found:
             for part in slices(batch, "text"):
-                words = split_words(part.column("text"))
-                for i, spots in enumerate(part.column("at").to_pylist()):
-                    own = words.hash[words.first[i]:words.first[i + 1]]
-                    at = np.array(sorted(spots))
-                    at = at[at + GRAM <= len(own)]  # another row of this id may be longer
-                    columns = [block_hashes(own, at + d * GRAM, len(own), s) for d, s in
-                               ((0, 1), (1, 1), (2, 1), (0, -1), (-1, -1))]
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(c.astype(np.int64)) for c in columns),
-                         pa.array(np.full(len(at), part.column("doc_id")[i].as_py())), pa.array(at.astype(np.int32))], names)
+                words, spots = split_words(part.column("text")), part.column("at")
+                row = np.repeat(np.arange(len(spots)), spots.value_lengths().to_numpy())
+                pos = spots.flatten().to_numpy()
+                low, high = words.first[row], words.first[row + 1]
+                kept = low + pos + GRAM <= high  # another row of this id may be longer
+                row, pos, low, high = row[kept], pos[kept], low[kept], high[kept]
+                columns = [block_hashes(words.hash, low + pos + d * GRAM, low, high, s)
+                           for d, s in ((0, 1), (1, 1), (2, 1), (0, -1), (-1, -1))]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c.astype(np.int64)) for c in columns), part.column("doc_id").take(pa.array(row)),
+                     pa.array(pos.astype(np.int32))], names)
 
     return kept.select("doc_id", "text", "at").mapInArrow(
         batches, "anchor long, after1 long, after2 long, before1 long, before2 long, doc_id long, pos int")
