@@ -47,8 +47,14 @@ def first_crop(crops: DataFrame) -> DataFrame:
     return first_per_key(crops, ["image_id"], ["seq"])
 
 
+def processed_images(status: DataFrame) -> DataFrame:
+    """Images that were read, with detections or without: those whose `status` is ok."""
+    return status.where(F.col("status") == "ok").select("image_id")
+
+
 def failed_images(images: DataFrame, processed: DataFrame) -> DataFrame:
-    """Images without any successful result."""
+    """Images that were not processed. `processed` comes from a run's status: an image on which nothing
+    was found has no detections, yet has not failed."""
     return images.join(processed.select("image_id").distinct(), "image_id", "left_anti")
 
 

@@ -82,6 +82,13 @@ def input_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("image_id"))
 
 
+def image_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How reading each image ended; most that were read have no detections."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as image_id",
+        "case when c_custkey % 17 = 0 then 'unreadable' when c_custkey % 19 = 0 then null else 'ok' end as status")
+
+
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors as small pictures in the layout of decoded images."""
     def byte(shift: int) -> str:

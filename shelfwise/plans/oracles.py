@@ -243,7 +243,7 @@ def oracle_sql() -> dict[str, str]:
         "semi_products_with_images": """select p_partkey product_id, p_name from part
             where p_partkey in (select vec_id from embeddings)""",
         "anti_failed_images": """select c_custkey image_id from customer
-            where c_custkey not in (select user_id from events)""",
+            where c_custkey % 17 = 0 or c_custkey % 19 = 0""",
         "cross_query_catalogue": f"""with {CENTERS} select c.label::bigint as label, vec_id,
               round(list_cosine_similarity(c.v, embedding::double[]), 6) similarity
             from centers c cross join embeddings e""",
@@ -253,11 +253,10 @@ def oracle_sql() -> dict[str, str]:
         "total_count": f"with {CLEAN} select count(*) total from product_clean",
         "minmax_stats": f"with {SCORED} select round(min(pop), 6) low, round(max(pop), 6) high from scored",
         "detection_totals": f"""with {CROPS},
-            seen as (select distinct image_id from det)
-            select count(s.image_id) processed_images, (select count(*) from crops) total_detections,
-              (select count(*) from crops) cropped_count,
-              count(*) - count(s.image_id) failed_images
-            from customer left join seen s on c_custkey = s.image_id""",
+            read as (select c_custkey % 17 <> 0 and c_custkey % 19 <> 0 ok from customer)
+            select count(*) filter (ok) processed_images, (select count(*) from crops) total_detections,
+              (select count(*) from crops) cropped_count, count(*) filter (not ok) failed_images
+            from read""",
         "detections_per_image": f"""with {CROPS},
             images as (select distinct user_id image_id from events),
             counts as (select image_id, count(*) n from crops group by image_id),
@@ -304,6 +303,14 @@ def oracle_sql() -> dict[str, str]:
         "rank_by_popularity": f"""with {SCORED} select product_id, name, round(popularity, 6) popularity,
               row_number() over (order by popularity desc, product_id) - 1 rank from scored""",
         "topk_similar": _TOPK_HITS,
+        "topk_similar_grid": _TOPK_HITS,
+        "topk_similar_few_queries": f"""with {CENTERS}
+            select query_id, rank, candidate_id, similarity from (
+              select *, row_number() over (partition by query_id order by similarity desc, candidate_id) rank from (
+                select c.label::bigint query_id, vec_id candidate_id,
+                  round(list_cosine_similarity(c.v, embedding::double[]), 6) similarity
+                from centers c cross join embeddings e) s) r
+            where rank <= 5""",
         "sample_head": f"with {CLEAN} select product_id, name from product_clean order by product_id limit 5",
         "union_sources": """
             select p_name as name, concat('₹', cast(p_size as varchar)) price,

@@ -262,7 +262,7 @@ def _semi_products_with_images(spark, sf):
 
 @query("anti_failed_images")
 def _anti_failed_images(spark, sf):
-    return detect.failed_images(b.input_images(spark, sf), b.detections(spark, sf))
+    return detect.failed_images(b.input_images(spark, sf), detect.processed_images(b.image_status(spark, sf)))
 
 
 @query("cross_query_catalogue")
@@ -303,7 +303,7 @@ def _minmax_stats(spark, sf):
 
 @query("detection_totals")
 def _detection_totals(spark, sf):
-    return detect.detection_totals(b.input_images(spark, sf), b.detections(spark, sf),
+    return detect.detection_totals(b.input_images(spark, sf), detect.processed_images(b.image_status(spark, sf)),
                                    _crops(spark, sf))
 
 
@@ -417,6 +417,24 @@ def _topk_similar(spark, sf):
     return hits.withColumn("rank", big("rank"))
 
 
+@query("topk_similar_grid")
+def _topk_similar_grid(spark, sf):
+    """Limits so small that both sides count as large and are cut into blocks."""
+    vectors = _vectors(spark, sf).select("vec_id", "embedding")
+    hits = similarity.topk_similar(vectors, vectors, 5, query_key="vec_id", candidate_key="vec_id",
+                                   exclude_self=True, broadcast_rows=16, block_rows=100)
+    return hits.withColumn("rank", big("rank"))
+
+
+@query("topk_similar_few_queries")
+def _topk_similar_few_queries(spark, sf):
+    """A catalogue that counts as large, streamed past few queries."""
+    vectors = _vectors(spark, sf)
+    hits = similarity.topk_similar(trends.centroids(vectors, "label"), vectors, 5, query_key="label",
+                                   candidate_key="vec_id", broadcast_rows=64)
+    return hits.withColumn("rank", big("rank"))
+
+
 @query("sample_head")
 def _sample_head(spark, sf):
     return clean.sample_head(_clean(spark, sf), ["product_id"]).select("product_id", "name")
