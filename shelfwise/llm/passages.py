@@ -6,7 +6,9 @@ window, chosen so that any passage of `LEAST` words holds one, at the same
 place in every copy. Suffixes whose first run occurs in no other document end
 there. The others are sorted with the words that follow (and once more with the
 words that precede), and each is compared with its neighbours of other
-documents on both sides. Neighbours that could reach `LEAST` words together are
+documents on both sides. Suffixes that agree in all words that a passage through
+their first run could have are compared with the first of them only, so a group
+of copies makes a star. Neighbours that could reach `LEAST` words together are
 extended left and right over the texts of both documents.
 
 Sorting goes by ranges of the whole key, document and position included, so a
@@ -90,13 +92,14 @@ def _texts(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
 
 
-def block_hashes(hashes: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, step: int) -> np.ndarray:
-    """Hash of the `GRAM` words from each place on (step 1) or before it, going back (step -1).
+def block_hashes(hashes: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, size: int,
+                 step: int) -> np.ndarray:
+    """Hash of the `size` words from each place on (step 1) or before it, going back (step -1).
 
     Where the row, low to high, ends before, the hash is of the words that are left and differs from whole blocks'.
     """
     out = np.zeros(len(at), np.uint64)
-    for j in range(GRAM):
+    for j in range(size):
         spot = at + j if step > 0 else at - 1 - j
         inside = (spot >= low) & (spot < high)
         out[inside] = mix(out[inside] + hashes[spot[inside]])
@@ -116,8 +119,9 @@ def contexts(kept: DataFrame) -> DataFrame:
                 low, high = words.first[row], words.first[row + 1]
                 kept = low + pos + GRAM <= high  # another row of this id may be longer
                 row, pos, low, high = row[kept], pos[kept], low[kept], high[kept]
-                columns = [block_hashes(words.hash, low + pos + d * GRAM, low, high, s)
-                           for d, s in ((0, 1), (1, 1), (2, 1), (0, -1), (-1, -1))]
+                columns = [block_hashes(words.hash, low + pos + d, low, high, n, s) for d, n, s in (
+                    (0, GRAM, 1), (GRAM, GRAM, 1), (2 * GRAM, LEAST - 2 * GRAM, 1),
+                    (0, GRAM, -1), (-GRAM, _WINDOW - 1 - GRAM, -1))]
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(c.astype(np.int64)) for c in columns), part.column("doc_id").take(pa.array(row)),
                      pa.array(pos.astype(np.int32))], names)
@@ -133,26 +137,39 @@ def _pairs(rows: dict[str, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """
     anchor, doc = rows["anchor"], rows["doc_id"]
     n, at = len(anchor), np.arange(len(anchor))
-    new = np.append(True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))[:n]  # runs of one document
-    begin = np.maximum.accumulate(np.where(new, at, 0))
-    ends = np.append(np.flatnonzero(new)[1:], n)
-    end = ends[np.cumsum(new) - 1]
+
+    def stretches(*columns: str) -> tuple[np.ndarray, np.ndarray]:
+        """First row and end of the stretch of equal values that each row is in."""
+        new = np.zeros(n, bool)
+        new[:1] = True
+        for c in columns:
+            new[1:] |= rows[c][1:] != rows[c][:-1]
+        starts = np.flatnonzero(new)
+        return np.maximum.accumulate(np.where(new, at, 0)), np.append(starts[1:], n)[np.cumsum(new) - 1]
+
+    begin, end = stretches("anchor", "doc_id")
     before, after = begin - 1, end
-    left = (before >= 0) & (anchor[before] == anchor)
-    right = (after < n) & (anchor[np.minimum(after, n - 1)] == anchor)
-    a, b = np.concatenate([at[left], at[right]]), np.concatenate([before[left], after[right]])
+    head, tail = stretches(*_KEY)
+    several = doc[head] != doc[tail - 1]  # copies in several documents: sorted by document, the first one leads
+    follow = np.flatnonzero(several & (doc != doc[head]))
+    own = np.flatnonzero(several & (doc == doc[head]))
+    left = (before >= 0) & (anchor[before] == anchor) & ~several
+    right = (after < n) & (anchor[np.minimum(after, n - 1)] == anchor) & ~several
+    a = np.concatenate([at[left], at[right], follow, own])
+    b = np.concatenate([before[left], after[right], head[follow], np.minimum(end[own], n - 1)])
     one, two = rows["after1"][a] == rows["after1"][b], rows["after2"][a] == rows["after2"][b]
     back, far = rows["before1"][a] == rows["before1"][b], rows["before2"][a] == rows["before2"][b]
     endless = np.int64(1 << 40)
-    reach = (np.where(one, np.where(two, endless, 3 * GRAM - 1), 2 * GRAM - 1)
-             + np.where(back, np.where(far, endless, 2 * GRAM - 1), GRAM - 1))
+    reach = (np.where(one, np.where(two, endless, LEAST - 1), 2 * GRAM - 1)
+             + np.where(back, np.where(far, endless, _WINDOW - 2), GRAM - 1))
     a, b = a[reach >= LEAST], b[reach >= LEAST]
     swap = doc[a] > doc[b]
     a, b = np.where(swap, b, a), np.where(swap, a, b)
-    outer = ((before < 0) | (after >= n))  # the first and the last run
+    outer = (before < 0) | (after >= n)  # the first and the last run
     return [doc[a], rows["pos"][a], doc[b], rows["pos"][b]], np.flatnonzero(outer)
 
 
+_KEY = ["anchor", "after1", "after2", "before1", "before2"]
 _COLUMNS = ["anchor", "after1", "after2", "before1", "before2", "doc_id", "pos"]
 _PAIR = ["a", "a_pos", "b", "b_pos"]
 
@@ -160,7 +177,8 @@ _PAIR = ["a", "a_pos", "b", "b_pos"]
 def _compared(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Neighbour pairs of a sorted stream, then its outermost rows (with null pairs).
 
-    The last run of a batch is carried over to the next, so the stream is never held.
+    The last runs of a batch are carried over to the next, with the first document of the last group of copies;
+    the stream is never held.
     """
     names = [*_PAIR, *_COLUMNS]
     carry, first = None, True
@@ -188,7 +206,13 @@ def _compared(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if begin:
             same = (rows["anchor"] == rows["anchor"][begin - 1]) & (rows["doc_id"] == rows["doc_id"][begin - 1])
             begin = int(np.flatnonzero(same)[0])
-        carry = {c: v[begin:] for c, v in rows.items()}
+        keep = np.arange(n) >= begin
+        group = np.ones(n, bool)
+        for c in _KEY:
+            group &= rows[c] == rows[c][-1]
+        lead = int(np.flatnonzero(group)[0])
+        keep |= group & (rows["doc_id"] == rows["doc_id"][lead])
+        carry = {c: v[keep] for c, v in rows.items()}
         head = outer[outer < _first_run(rows)] if first else outer[:0]
         first = False
         yield told(pairs, rows, head)
@@ -218,12 +242,12 @@ def neighbours(rows: DataFrame, key: list[str]) -> DataFrame:
     return told.where("a is not null").select(_PAIR).unionByName(met.where("a is not null").select(_PAIR))
 
 
-def repeated_spans(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(start in a, start in b, words) of matches of at least `LEAST` words through the seeds.
+def repeated_spans(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which words of `a` and of `b` lie in matches of at least `LEAST` words through the seeds.
 
     Seeds that could add no words to the matches found already are left out.
     """
-    out, done_a, done_b = [], np.zeros(len(a), bool), np.zeros(len(b), bool)
+    done_a, done_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
     for i, j in sorted(set(seeds)):
         if i >= len(a) or j >= len(b) or a[i] != b[j]:
             continue
@@ -235,10 +259,15 @@ def repeated_spans(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]]) -
         differ = np.flatnonzero(a[i:i + ahead] != b[j:j + ahead])
         right = int(differ[0]) if len(differ) else ahead
         if left + right >= LEAST:
-            out.append((i - left, j - left, left + right))
             done_a[i - left:i + right] = True
             done_b[j - left:j + right] = True
-    return out
+    return done_a, done_b
+
+
+def stretches_of(marks: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of each stretch of marked words."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], marks.astype(np.int8), [0]))))
+    return zip(edges[::2].tolist(), edges[1::2].tolist())
 
 
 def extended(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -257,8 +286,9 @@ def extended(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if left.as_py() != known:
                     known, own = left.as_py(), hashes(left)
                 spots = [(s["a_pos"], s["b_pos"]) for s in seeds.as_py()]
-                for i, j, size in repeated_spans(own, hashes(right), spots):
-                    out += [(a.as_py(), i, i + size, b.as_py()), (b.as_py(), j, j + size, a.as_py())]
+                done_a, done_b = repeated_spans(own, hashes(right), spots)
+                out += [(a.as_py(), i, j, b.as_py()) for i, j in stretches_of(done_a)]
+                out += [(b.as_py(), i, j, a.as_py()) for i, j in stretches_of(done_b)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), pa.int64()) for c in (zip(*out) if out else [[]] * 4)], names)
 
@@ -304,6 +334,6 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
               .agg(F.collect_set("pos").alias("at")))
     texts = materialize(_texts(docs).join(wanted, "doc_id"), "texts")
     rows = materialize(contexts(texts), "suffixes")
-    right = neighbours(rows, ["anchor", "after1", "after2"])
-    left = neighbours(rows, ["anchor", "before1", "before2"])
+    right = neighbours(rows, ["anchor", "after1", "after2", "before1", "before2"])
+    left = neighbours(rows, ["anchor", "before1", "before2", "after1", "after2"])
     return merged(extended(right.unionByName(left).distinct(), texts))
