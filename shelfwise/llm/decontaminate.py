@@ -10,7 +10,7 @@ similarity is the weight of the runs of `GRAM` words that window and item
 share (with multiplicity), over the weight of the item's or the window's,
 whichever is larger; from `SIMILAR` on a document holds the item.
 
-Windows of long items start every `size // 11` words, and items whose lengths
+Windows of long items start every `size // 13` words, and items whose lengths
 differ by less share windows; verification tries every start in between. Items
 are taken in blocks of about `ITEMS`, so what is broadcast is bounded; more
 items mean more passes.
@@ -81,7 +81,7 @@ def window_size(words: int) -> int:
 
 
 def stride(size: int) -> int:
-    return max(1, size // 11)
+    return max(1, size // 13)
 
 
 def block_table(prints: np.ndarray) -> np.ndarray:
