@@ -4,12 +4,18 @@ Words are the characters of the suffixes. Of each document only the suffixes at
 minimiser positions are kept: the smallest hashed run of `GRAM` words in every
 window, chosen so that any passage of `LEAST` words holds one, at the same
 place in every copy. Suffixes whose first run occurs in no other document end
-there. The others are sorted with the words that follow (and once more with the
-words that precede), and each is compared with its neighbours of other
-documents on both sides. Suffixes that agree in all words that a passage through
-their first run could have are compared with the first of them only, so a group
-of copies makes a star. Neighbours that could reach `LEAST` words together are
-extended left and right over the texts of both documents.
+there. The others are sorted with the words that follow and precede, and each is
+compared with its neighbours of other documents on both sides. Suffixes that
+agree in all words that a passage through their first run could have are
+compared with the first of them only, so a group of copies makes a star.
+Neighbours that could reach `LEAST` words together are extended left and right
+over the texts of both documents.
+
+Suffixes that agree only in part need not be neighbours. So where the suffixes
+of a run do not all agree, the first document of each group of equal ones tells
+the hash of every passage of `LEAST` words through the run, and each of these is
+compared with the first document that has it, too. Nothing depends on what a
+sort places side by side.
 
 Sorting goes by ranges of the whole key, document and position included, so a
 passage that very many documents share is spread over as many tasks as it
@@ -42,7 +48,8 @@ _WINDOW = LEAST - GRAM + 1
 def minimisers(hashes: np.ndarray, first: np.ndarray, window: int = _WINDOW) -> np.ndarray:
     """Positions of the smallest hash in each window of a row, the last one of equals.
 
-    In a stretch of equal hashes only every `window`-th position stays.
+    If these reach the end of the window, the first one of that stretch stands for it, and in longer stretches every
+    `window`-th; so what a window chooses depends on the window only, unless all of it is equal.
     """
     count = np.diff(first)
     windows = np.maximum(count - window + 1, 0)
@@ -61,13 +68,14 @@ def minimisers(hashes: np.ndarray, first: np.ndarray, window: int = _WINDOW) ->
         shifted = np.append(spot[width:], np.full(min(width, len(spot)), len(hashes) - 1))[:len(spot)]
         spot = smaller(spot, shifted)  # sound for windows that stay inside their row, and only those are read
         width *= 2
-    chosen = np.unique(smaller(spot[start], spot[start + window - width]))
+    chosen = smaller(spot[start], spot[start + window - width])
     equal = np.zeros(len(hashes), bool)
     equal[1:] = hashes[1:] == hashes[:-1]
     equal[first[:-1][count > 0]] = False
     at = np.arange(len(hashes))
-    run = np.maximum.accumulate(np.where(equal, 0, at))
-    return chosen[(chosen - run[chosen]) % window == 0]
+    run = np.maximum.accumulate(np.where(equal, 0, at))[chosen]
+    early = np.where(run >= start, run, start + (run - start) % window)
+    return np.unique(np.where(chosen == start + window - 1, early, chosen))
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -130,8 +138,9 @@ def contexts(kept: DataFrame) -> DataFrame:
         batches, "anchor long, after1 long, after2 long, before1 long, before2 long, doc_id long, pos int")
 
 
-def _pairs(rows: dict[str, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Neighbours in other documents that can reach `LEAST` words, and the rows that lack one at an end.
+def _pairs(rows: dict[str, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Neighbours in other documents that can reach `LEAST` words, the rows that lack one at an end, and the
+    rows of first documents of a group of copies that is not known to be all of its anchor.
 
     `rows` are columns in sorted order.
     """
@@ -166,7 +175,10 @@ def _pairs(rows: dict[str, np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     swap = doc[a] > doc[b]
     a, b = np.where(swap, b, a), np.where(swap, a, b)
     outer = (before < 0) | (after >= n)  # the first and the last run
-    return [doc[a], rows["pos"][a], doc[b], rows["pos"][b]], np.flatnonzero(outer)
+    low, high = stretches("anchor")
+    whole = (head == low) & (tail == high) & (low > 0) & (high < n)
+    unlike = ~whole & (doc == doc[head])
+    return [doc[a], rows["pos"][a], doc[b], rows["pos"][b]], np.flatnonzero(outer), np.flatnonzero(unlike)
 
 
 _KEY = ["anchor", "after1", "after2", "before1", "before2"]
@@ -175,7 +187,8 @@ _PAIR = ["a", "a_pos", "b", "b_pos"]
 
 
 def _compared(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbour pairs of a sorted stream, then its outermost rows (with null pairs).
+    """Neighbour pairs of a sorted stream, rows that differ from others of their anchor (null b), then its outermost
+    rows (with null pairs).
 
     The last runs of a batch are carried over to the next, with the first document of the last group of copies;
     the stream is never held.
@@ -183,11 +196,13 @@ def _compared(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [*_PAIR, *_COLUMNS]
     carry, first = None, True
 
-    def told(pairs: list[np.ndarray], rows: dict[str, np.ndarray], outer: np.ndarray) -> pa.RecordBatch:
+    def told(pairs: list[np.ndarray], rows: dict[str, np.ndarray], outer: np.ndarray,
+             unlike: np.ndarray) -> pa.RecordBatch:
         none = np.full(len(outer), None)
-        pad = np.full(len(pairs[0]), None)
+        pad = np.full(len(pairs[0]) + len(unlike), None)
+        own = [rows["doc_id"][unlike].tolist(), rows["pos"][unlike].tolist(), *[[None] * len(unlike)] * 2]
         return pa.RecordBatch.from_arrays(
-            [*(pa.array([*p.tolist(), *none], pa.int64()) for p in pairs),
+            [*(pa.array([*p.tolist(), *o, *none], pa.int64()) for p, o in zip(pairs, own)),
              *(pa.array([*pad, *rows[c][outer].tolist()], pa.int64()) for c in _COLUMNS)], names)
 
     for batch in found:
@@ -196,7 +211,7 @@ def _compared(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if carry is not None:
             rows = {c: np.concatenate([carry[c], rows[c]]) for c in _COLUMNS}
-        pairs, outer = _pairs(rows)
+        pairs, outer, unlike = _pairs(rows)
         n = len(rows["pos"])
         tail = outer[-1:] if len(outer) else np.array([n - 1])
         # keep the last two runs: the last may go on, the one before is its neighbour
@@ -215,11 +230,11 @@ def _compared(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = {c: v[keep] for c, v in rows.items()}
         head = outer[outer < _first_run(rows)] if first else outer[:0]
         first = False
-        yield told(pairs, rows, head)
+        yield told(pairs, rows, head, unlike)
     if carry is not None:
-        _, outer = _pairs(carry)
+        _, outer, _ = _pairs(carry)
         last = outer[outer >= len(carry["pos"]) - _last_run(carry)]
-        yield told([np.zeros(0, np.int64)] * 4, carry, last)
+        yield told([np.zeros(0, np.int64)] * 4, carry, last, last[:0])
 
 
 def _first_run(rows: dict[str, np.ndarray]) -> int:
@@ -231,15 +246,59 @@ def _last_run(rows: dict[str, np.ndarray]) -> int:
     return _first_run({c: v[::-1] for c, v in rows.items()})
 
 
-def neighbours(rows: DataFrame, key: list[str]) -> DataFrame:
-    """(a, a_pos, b, b_pos) of neighbours when `rows` are sorted by `key`, then by document and position."""
-    order = [*key, "doc_id", "pos"]
+def neighbours(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, a_pos, b, b_pos) of neighbours when `rows` are sorted, and (doc_id, pos) of those that stand for a group
+    of copies while others of their anchor differ."""
+    order = [*_KEY, "doc_id", "pos"]
     schema = ", ".join(f"{c} long" for c in [*_PAIR, *_COLUMNS])
     parts = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
     told = materialize(parts.mapInArrow(_compared, schema), "neighbours")
     edges = told.where("a is null").select(_COLUMNS)  # two runs for each partition
     met = edges.repartition(1).sortWithinPartitions(*order).mapInArrow(_compared, schema)
-    return told.where("a is not null").select(_PAIR).unionByName(met.where("a is not null").select(_PAIR))
+    unlike = told.where("a is not null and b is null").select(F.col("a").alias("doc_id"), F.col("a_pos").alias("pos"))
+    pairs = told.where("b is not null").select(_PAIR).unionByName(met.where("b is not null").select(_PAIR))
+    return pairs, unlike
+
+
+def windows(kept: DataFrame) -> DataFrame:
+    """(window, doc_id, start): the hash of each `LEAST` words through the runs at the positions `at` of each text."""
+
+    def batches(found):
+        for batch in found:
+            for part in slices(batch, "text"):
+                words, spots = split_words(part.column("text")), part.column("at")
+                hashes, first = grams(words.hash, words.first, LEAST)
+                count = np.diff(words.first) - LEAST + 1
+                row = np.repeat(np.arange(len(spots)), spots.value_lengths().to_numpy())
+                pos = spots.flatten().to_numpy()
+                low, high = np.maximum(pos - _WINDOW + 1, 0), np.minimum(pos + 1, count[row])
+                row, low, high = (x[low < high] for x in (row, low, high))
+                edges = np.zeros(len(hashes) + 1, np.int64)
+                np.add.at(edges, first[row] + low, 1)
+                np.add.at(edges, first[row] + high, -1)
+                at = np.flatnonzero(np.cumsum(edges)[:-1])
+                row = row_of(first)[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[at].astype(np.int64)), part.column("doc_id").take(pa.array(row)),
+                     pa.array((at - first[row]).astype(np.int32))], ["window", "doc_id", "start"])
+
+    return kept.select("doc_id", "text", "at").mapInArrow(batches, "window long, doc_id long, start int")
+
+
+def equal_windows(rows: DataFrame) -> DataFrame:
+    """(a, a_pos, b, b_pos): each window with the first document that has it, those of the first with the last."""
+    place = F.struct("doc_id", "start")
+    ends = rows.groupBy("window").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    ends = materialize(ends.where("low.doc_id <> high.doc_id"), "equal")
+    own = F.col("doc_id") == F.col("low.doc_id")
+    pairs = rows.join(ends, "window").select(
+        F.col("low.doc_id").alias("a"), F.when(own, F.col("start")).otherwise(F.col("low.start")).cast("long").alias("a_pos"),
+        F.when(own, F.col("high.doc_id")).otherwise(F.col("doc_id")).alias("b"),
+        F.when(own, F.col("high.start")).otherwise(F.col("start")).cast("long").alias("b_pos"))
+    # overlapping windows on one diagonal are one match: a seed of them is enough
+    seeds = pairs.groupBy("a", "b", (F.col("b_pos") - F.col("a_pos")).alias("shift"),
+                          F.floor(F.col("a_pos") / _WINDOW).alias("near")).agg(F.min("a_pos").alias("a_pos"))
+    return seeds.select("a", "a_pos", "b", (F.col("a_pos") + F.col("shift")).alias("b_pos"))
 
 
 def repeated_spans(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -334,6 +393,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
               .agg(F.collect_set("pos").alias("at")))
     texts = materialize(_texts(docs).join(wanted, "doc_id"), "texts")
     rows = materialize(contexts(texts), "suffixes")
-    right = neighbours(rows, ["anchor", "after1", "after2", "before1", "before2"])
-    left = neighbours(rows, ["anchor", "before1", "before2", "after1", "after2"])
-    return merged(extended(right.unionByName(left).distinct(), texts))
+    pairs, unlike = neighbours(rows)
+    unlike = unlike.groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
+    equal = equal_windows(materialize(windows(texts.select("doc_id", "text").join(unlike, "doc_id")), "windows"))
+    return merged(extended(pairs.unionByName(equal).distinct(), texts))

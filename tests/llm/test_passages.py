@@ -69,6 +69,37 @@ def test_minimisers_cover_every_window():
         len(passages.minimisers(np.zeros(100, np.uint64), np.array([0, 100]), 7)) <= 15
 
 
+def test_common_line_with_own_words(spark):
+    rng = random.Random(8)
+    word = lambda: "w" + str(rng.randint(0, 10 ** 6))
+    some = lambda n: [word() for _ in range(n)]
+    docs = {}
+    for size in (40, 43, 45, 45, 45, 47, 49):  # too short to repeat alone
+        line = some(size)
+        for _ in range(80):
+            docs[len(docs)] = some(40) + line + some(60)
+        for before in (0, 3, 50 - size, 50 - size + 3):  # two documents share some words around it, too
+            own, after = some(before), some(max(0, 50 - size - before))
+            for _ in range(2):
+                docs[len(docs)] = some(40) + own + line + after + some(60)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    rows = passages.repeated_passages(df).collect()
+    expected = brute(docs)
+    assert len(expected) >= 50 and covered(rows, {i: len(w) for i, w in docs.items()}) == expected
+
+
+def test_runs_of_one_word_at_the_edge_of_a_passage(spark):
+    rng = random.Random(9)
+    some = lambda n: ["w" + str(rng.randint(0, 10 ** 6)) for _ in range(n)]
+    docs = {}
+    for n in range(17, 50):
+        for shared in (some(50 - n) + ["same"] * n, ["same"] * n + some(50 - n)):
+            for _ in range(2):  # the run goes on in the text
+                docs[len(docs)] = some(40) + ["same"] * rng.randint(0, 9) + shared + ["same"] * rng.randint(0, 9) + some(40)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    assert covered(passages.repeated_passages(df).collect(), {i: len(w) for i, w in docs.items()}) == brute(docs)
+
+
 def test_hot_passage(spark):
     rng = random.Random(3)
     shared = " ".join(f"s{i}" for i in range(70))
