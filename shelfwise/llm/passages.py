@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.tokens import grams, mix, row_of, slices, split_words
@@ -358,27 +358,18 @@ def extended(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def merged(spans: DataFrame) -> DataFrame:
-    """Spans of a document that overlap as one, with the smallest other document."""
+    """Spans of a document that overlap as one, with the smallest other document.
 
-    def batches(found):
-        for batch in found:
-            out = []
-            for doc, own in zip(batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist()):
-                begin = end = other = None
-                for span in sorted(own, key=lambda s: (s["start_word"], s["end_word"])):
-                    if end is not None and span["start_word"] < end:
-                        end, other = max(end, span["end_word"]), min(other, span["other"])
-                        continue
-                    if end is not None:
-                        out.append((doc, begin, end, other))
-                    begin, end, other = span["start_word"], span["end_word"], span["other"]
-                out.append((doc, begin, end, other))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), pa.int64()) for c in (zip(*out) if out else [[]] * 4)],
-                ["doc_id", "start_word", "end_word", "other"])
-
-    whole = spans.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word", "other")).alias("spans"))
-    return whole.mapInArrow(batches, "doc_id long, start_word long, end_word long, other long")
+    A document with any number of partners has a row for each of its different spans only.
+    """
+    whole = spans.groupBy("doc_id", "start_word", "end_word").agg(F.min("other").alias("other"))
+    order = Window.partitionBy("doc_id").orderBy("start_word", "end_word")
+    reach = F.max("end_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = whole.withColumn("apart", F.coalesce(F.col("start_word") >= reach, F.lit(True)).cast("int"))
+    placed = apart.withColumn("stretch", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return placed.groupBy("doc_id", "stretch").agg(
+        F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"),
+        F.min("other").alias("other")).drop("stretch")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

@@ -109,6 +109,15 @@ def test_hot_passage(spark):
     assert len(rows) == 300 and all(r.end_word - r.start_word >= 70 for r in rows)
 
 
+def test_merged_spans_do_not_gather_partners(spark):
+    rows = [(1, 0, 60, i) for i in range(5, 900)] + [(1, 60, 120, 7), (1, 119, 180, 3), (1, 130, 140, 9), (2, 0, 50, 1),
+                                                     (2, 10, 200, 4), (2, 60, 70, 6), (2, 199, 260, 5), (2, 260, 310, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, start_word long, end_word long, other long")
+    found = passages.merged(df)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 0, 60, 5), (1, 60, 180, 3), (2, 0, 260, 1), (2, 260, 310, 8)]
+    assert "collect_" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark, ["word " * 100, " ".join(str(i) for i in range(60))])
     rows = passages.repeated_passages(docs).collect()
