@@ -2,10 +2,11 @@
 
 Two models, of toxic and of ordinary documents, give the likelihood of each
 character of a word after the `ORDER - 1` characters before it (words are
-padded, so beginnings are contexts too). The longest order has counts of its
-own for each class; what it discounts goes to the orders from `LOW_ORDER` down,
-which both classes share and which are made of Kneser-Ney continuation counts. A rare expression
-thus falls back on the same counts in both models and hardly tells them apart.
+padded, so beginnings are contexts too; no context crosses into another word).
+The longest order has counts of its own for each class; what it discounts goes
+to all orders below, from `LOW_ORDER` down one by one, which both classes share
+and which are made of Kneser-Ney continuation counts. A rare expression thus
+falls back on the same counts in both models and hardly tells them apart.
 
 A document's evidence is the difference of its log likelihoods, normalised by
 the number of words: over the whole text, and over its most toxic words (the
@@ -15,8 +16,8 @@ the score.
 
 Words are counted over all labelled documents of the training folds, then
 characters over the table of words; both are plain aggregations. The fitted
-tables have a fixed number of buckets by hash, so what is broadcast is bounded
-by parameter, whatever the corpus.
+tables hold each gram and context apart, by 64 bits of hash, and grow with the
+number of different grams of the labelled words; they are broadcast whole.
 
 Defined results: a null text is empty; a text without words has no evidence
 (all differences 0) and is scored; labels other than 0 and 1 are not learned
@@ -39,11 +40,9 @@ from shelfwise.llm.tokens import Words, mix, row_of, slices, split_words
 from shelfwise.session import materialize
 
 ORDER = 8
-LOW_ORDER = 4
+LOW_ORDER = ORDER - 1
 DISCOUNT = 0.75
 TOP = (1, 2, 4)  # how many of the most toxic words are averaged
-TOP_BUCKETS = 1 << 21
-LOW_BUCKETS = 1 << 18
 SAMPLE_ROWS = 20_000
 PIECE = 1 << 20  # bytes of text scored at once
 LABEL_ROWS = 1 << 21  # labels are broadcast up to here (16 bytes each), shuffled beyond
@@ -64,19 +63,35 @@ def _codes(grams: list[str]) -> np.ndarray:
     return np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32)
 
 
+def _places(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each hash is in the ascending `keys`; their number if it is not there."""
+    wanted, back = np.unique(hashes, return_inverse=True)
+    spot = np.searchsorted(keys, wanted)
+    found = spot < len(keys)
+    found[found] = keys[spot[found]] == wanted[found]
+    return np.where(found, spot, len(keys))[back]
+
+
 class Table(NamedTuple):
-    """Counts of an order by bucket: of grams, and of their contexts in all and by different grams."""
+    """Counts of an order: of grams, and of their contexts in all and by different grams.
+
+    `keys` and `heads` are the hashes of grams and contexts, ascending; the counts end with a 0 for any others.
+    """
 
+    keys: np.ndarray
     grams: np.ndarray
+    heads: np.ndarray
     total: np.ndarray
     kinds: np.ndarray
 
+    def find(self, gram: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _places(self.keys, gram), _places(self.heads, context)
+
     def smooth(self, gram: np.ndarray, context: np.ndarray, below: np.ndarray) -> np.ndarray:
-        mask = np.uint64(len(self.grams) - 1)
-        gram, context = gram & mask, context & mask
+        """`gram` and `context` are places that `find` tells."""
         total = self.total[context]
         seen = np.maximum(total, 1)
-        kept = np.minimum(np.maximum(self.grams[gram] - DISCOUNT, 0) / seen, 1)  # buckets may hold several grams
+        kept = np.maximum(self.grams[gram] - DISCOUNT, 0) / seen
         rest = np.where(total > 0, DISCOUNT * self.kinds[context] / seen, 1.0)
         return kept + rest * below
 
@@ -110,8 +125,8 @@ class Models(NamedTuple):
         hashes = [gram_hashes(codes, k) for k in range(ORDER + 1)]
         chance = np.full(len(at), 1e-4)
         for k, table in enumerate(self.shared, 1):
-            chance = table.smooth(hashes[k][at], hashes[k - 1][at - 1], chance)
-        gram, context = hashes[ORDER][at], hashes[ORDER - 1][at - 1]
+            chance = table.smooth(*table.find(hashes[k][at], hashes[k - 1][at - 1]), chance)
+        gram, context = self.toxic.find(hashes[ORDER][at], hashes[ORDER - 1][at - 1])  # both have the same grams
         each = np.log(self.toxic.smooth(gram, context, chance)) - np.log(self.ordinary.smooth(gram, context, chance))
         ends = np.flatnonzero(codes[at] == ord(_END))
         begin = np.concatenate(([0], ends[:-1] + 1))
@@ -161,24 +176,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def _bucketed(grams: DataFrame, k: int, values: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of `values` by the bucket of `gram` (k characters): bounded, so it may come to the driver."""
+def _hashed(grams: DataFrame, k: int, values: list[str]) -> list[np.ndarray]:
+    """The ascending hashes of all `gram` (k characters), and `values` of each with a 0 at the end."""
 
     def batches(found):
         for batch in found:
             hashes = gram_hashes(_codes(batch.column("gram").to_pylist()), k)[max(k, 1) - 1::max(k, 1)]
             if not k:
                 hashes = np.zeros(batch.num_rows, np.uint64)
-            bucket = (hashes & np.uint64(buckets - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), *(batch.column(v) for v in values)], ["bucket", *values])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes.astype(np.int64)), *(batch.column(v) for v in values)], ["key", *values])
 
     kinds = ", ".join(f"{v} long" for v in values)
-    rows = (grams.select("gram", *values).mapInArrow(batches, f"bucket long, {kinds}")
-            .groupBy("bucket").agg(*(F.sum(v).alias(v) for v in values)).limit(buckets).toArrow())
-    out = np.zeros((len(values), buckets), np.float32)
-    for i, v in enumerate(values):
-        out[i, rows["bucket"].to_numpy()] = rows[v].to_numpy()
-    return out
+    rows = grams.select("gram", *values).mapInArrow(batches, f"key long, {kinds}").toArrow()
+    keys = rows["key"].to_numpy().astype(np.uint64)
+    order = np.argsort(keys)
+    return [keys[order], *(np.append(rows[v].to_numpy()[order], 0).astype(np.float32) for v in values)]
 
 
 def fit_models(docs: DataFrame) -> Models | None:
@@ -193,12 +206,12 @@ def fit_models(docs: DataFrame) -> Models | None:
     sums = grams.agg(F.sum("toxic"), F.sum("ordinary")).first()
     if not sums[0] or not sums[1]:
         return None
-    top = _bucketed(grams, ORDER, ["toxic", "ordinary"], TOP_BUCKETS)
+    keys, *top = _hashed(grams, ORDER, ["toxic", "ordinary"])
     heads = grams.groupBy(F.substring("gram", 1, ORDER - 1).alias("gram")).agg(
         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"),
         F.sum((F.col("toxic") > 0).cast("long")).alias("toxic_kinds"),
         F.sum((F.col("ordinary") > 0).cast("long")).alias("ordinary_kinds"))
-    head = _bucketed(heads, ORDER - 1, ["toxic", "ordinary", "toxic_kinds", "ordinary_kinds"], TOP_BUCKETS)
+    contexts, *head = _hashed(heads, ORDER - 1, ["toxic", "ordinary", "toxic_kinds", "ordinary_kinds"])
     shared, lower = [], grams.select("gram")
     for k in range(LOW_ORDER, 0, -1):
         # one row per different longer gram: rows per suffix are its continuation count
@@ -206,9 +219,9 @@ def fit_models(docs: DataFrame) -> Models | None:
                             f"grams{k}")
         heads = lower.groupBy(F.substring("gram", 1, k - 1).alias("gram")).agg(
             F.sum("times").alias("times"), F.count("*").alias("kinds"))
-        (times,) = _bucketed(lower, k, ["times"], LOW_BUCKETS)
-        shared.append(Table(times, *_bucketed(heads, k - 1, ["times", "kinds"], LOW_BUCKETS)))
-    return Models(shared[::-1], Table(top[0], head[0], head[2]), Table(top[1], head[1], head[3]))
+        shared.append(Table(*_hashed(lower, k, ["times"]), *_hashed(heads, k - 1, ["times", "kinds"])))
+    return Models(shared[::-1], Table(keys, top[0], contexts, head[0], head[2]),
+                  Table(keys, top[1], contexts, head[1], head[3]))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -58,6 +58,25 @@ def test_likelihoods_equal_the_definition(case):
     assert found[1] > 1 > found[3]
 
 
+def test_every_gram_and_order_has_its_own_count(spark):
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 12)) for _ in range(60_000)]
+    docs = [(" ".join(words[i:i + 600]), i // 600 % 2) for i in range(0, len(words), 600)]
+    models = toxicity.fit_models(spark.createDataFrame(docs, "text string, toxic int"))
+    grams, heads = {0: {}, 1: {}}, set()
+    for text, toxic in docs:
+        for word in text.split():
+            padded = "\x02" * (ORDER - 1) + word + "\x03"
+            for i in range(len(word) + 1):
+                gram = padded[i:i + ORDER]
+                grams[toxic][gram] = grams[toxic].get(gram, 0) + 1
+                heads.add(gram[:-1])
+    assert len(models.shared) == ORDER - 1
+    for table, own in ((models.toxic, grams[1]), (models.ordinary, grams[0])):
+        assert len(table.keys) == len(set(grams[0]) | set(grams[1])) > 500_000 and len(table.heads) == len(heads)
+        assert sorted(own.values()) == sorted(table.grams[table.grams > 0].astype(int).tolist())
+
+
 def test_evidence(case):
     _, models = case
     texts = ["bad bad the", None, "", "the badly cat dog", "!!"]
