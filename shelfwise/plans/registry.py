@@ -673,12 +673,15 @@ def _stream_recommend_similar(spark, sf):
 @query("stream_dedup")
 def _stream_dedup_events(spark, sf):
     out, state = fresh_path(spark, "stream-kept"), fresh_path(spark, "stream-state")
-    source = fresh_path(spark, "stream-events")  # a file for each micro-batch
+    source = fresh_path(spark, "stream-events")
     events = b.table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    for i in range(4):
-        events.where(f"event_id % 4 = {i}").coalesce(1).write.mode("append").parquet(source)
-    events = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    stream_dedup(events, out, state, ["user_id", "event_type"], ["event_id"], buckets=8).awaitTermination()
+    for part in [*(F.col("event_id") % 4 == i for i in range(-3, 4)), F.col("event_id").isNull()]:
+        rows = events.where(part)
+        if rows.isEmpty():
+            continue
+        rows.write.mode("append").parquet(source)  # new files are a micro-batch of the resumed stream
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        stream_dedup(stream, out, state, ["user_id", "event_type"], ["event_id"], buckets=8).awaitTermination()
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators.similarity import topk_similar
+from shelfwise.plans import registry
 from shelfwise.plans.bindings import table
 from shelfwise.session import fresh_path, work_dir
 from shelfwise.streaming.dedup import stream_dedup, stream_dedup_within
@@ -98,3 +99,11 @@ def test_dedup_within_a_horizon(spark, sf_dir):
         .trigger(availableNow=True).start(out).awaitTermination()
     want = events.select("user_id", "event_type").distinct().count()
     assert spark.read.parquet(out).count() == want
+
+
+def test_dedup_query_reads_every_event(spark, tmp_path):
+    rows = [(None, 1, "a"), (7, 2, "a"), (4, 2, "a"), (None, 2, "a"), (-1, 3, "b"), (8, 3, "b"), (5, 4, None)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    found = registry._stream_dedup_events(spark, str(tmp_path)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == sorted(
+        [(None, 1, "a"), (4, 2, "a"), (-1, 3, "b"), (5, 4, None)], key=str)
