@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, language, mixing, neardup, passages, pii, quality, topk, toxicity
+from shelfwise.llm import chat, decontaminate, language, mixing, neardup, passages, pii, quality, topk, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +114,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", quality.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("key"), topk.whole_vector(F.col("embedding")).alias("v"))
+    return whitening.whiten(rows).withColumnRenamed("key", "vec_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
@@ -126,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_order_minhash": op8,
         "op9_kneser_ney_toxicity": op9,
         "op10_crf_language": op10,
+        "op11_shifted_choleskyqr": op11,
     }
 
 
