@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, language, mixing, neardup, passages, pii, quality, topk, toxicity, whitening
+from shelfwise.llm import chat, decontaminate, language, licenses, mixing, neardup, passages, pii, quality, topk, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +120,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(rows).withColumnRenamed("key", "vec_id")
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
@@ -133,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_kneser_ney_toxicity": op9,
         "op10_crf_language": op10,
         "op11_shifted_choleskyqr": op11,
+        "op12_license_scan": op12,
     }
 
 
