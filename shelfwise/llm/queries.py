@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, language, licenses, mixing, neardup, passages, pii, quality, topk, toxicity, whitening
+from shelfwise.llm import chat, decontaminate, language, lexical, licenses, mixing, neardup, passages, pii, quality, topk, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,6 +124,44 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(_table(spark, sf_dir, "documents"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+with terms as (
+  select row, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select row_number() over () as row, doc_id, text from documents)
+), counts as (
+  select row, any_value(doc_id) as doc_id, term, count(*) as tf from terms group by row, term
+), sizes as (
+  select row, cast(sum(tf) as bigint) as n from counts group by row
+), total as (
+  select count(*) as docs, cast(sum(n) as bigint) as words from sizes
+), holders as (
+  select term, count(*) as df from counts group by term
+), asked as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+), weighed as (
+  select item_id, term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as w
+  from asked join holders using (term), total
+), scored as (
+  select item_id, row, any_value(doc_id) as doc_id, cast(sum(w * ((1000000000 * tf)
+    // (1000 * tf + 8 * (10 + (90 * n * docs) // words)))) as bigint) as score
+  from weighed join counts using (term) join sizes using (row), total group by item_id, row
+), ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank, doc_id, score
+  from scored where score > 0
+)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bradley_terry_quality": op1,
@@ -138,6 +176,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_crf_language": op10,
         "op11_shifted_choleskyqr": op11,
         "op12_license_scan": op12,
+        "op13_bit_sliced_search": op13,
     }
 
 
@@ -145,4 +184,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_chat_template": OP5_SQL,
         "op6_exact_topk": OP6_SQL,
+        "op13_bit_sliced_search": OP13_SQL,
     }
