@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.tokens import Words, mix, row_of, slices, split_words
+from shelfwise.llm.tokens import Words, ascii_lower, mix, row_of, slices, split_words
 from shelfwise.session import materialize, release
 
 K = 10
@@ -64,7 +64,7 @@ def levels(most: int) -> np.ndarray:
 
 
 def terms_of(texts: pa.Array) -> Words:
-    return split_words(pc.ascii_lower(texts.cast(pa.large_string())), _WORD.__getitem__)
+    return split_words(ascii_lower(texts), _WORD.__getitem__)
 
 
 def occurrences(row: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

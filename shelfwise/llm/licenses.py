@@ -27,11 +27,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.tokens import Words, row_of, slices, split_words, text_buffers
+from shelfwise.llm.tokens import Words, ascii_lower, row_of, slices, split_words, text_buffers
 
 # fixed values: the phrases whose places are counted, and their labels
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -246,7 +245,7 @@ def find_licenses(docs: DataFrame) -> DataFrame:
         scanner = Scanner()
         for batch in found:
             for part in slices(batch, "text"):
-                finds, n_words = scan(pc.ascii_lower(part.column("text").cast(pa.large_string())), scanner)
+                finds, n_words = scan(ascii_lower(part.column("text")), scanner)
                 many = np.bincount([f.row for f in finds], minlength=part.num_rows) if finds else np.zeros(
                     part.num_rows, np.int64)
                 columns = zip(*(f[1:] for f in finds)) if finds else [()] * 5

@@ -51,6 +51,15 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+_LOWERED = np.array([i + 32 if 65 <= i <= 90 else i for i in range(256)], np.uint8)
+
+
+def ascii_lower(texts: pa.Array) -> pa.Array:
+    """All texts with A-Z lowered and nothing else, nulls as empty. (Arrow's kernel misreads slices of a batch.)"""
+    data, offsets = text_buffers(texts)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(_LOWERED[data]))
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Pieces of `batch` with about `size` bytes of text each, one row at least."""
     _, offsets = text_buffers(batch.column(column))

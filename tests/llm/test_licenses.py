@@ -2,7 +2,6 @@ import random
 import re
 
 import pyarrow as pa
-import pyarrow.compute as pc
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import licenses, queries
 from shelfwise.llm.licenses import BASE, FAMILIES, LOOSER, NOTICES
+from shelfwise.llm.tokens import ascii_lower
 from tests.llm.helpers import no_documents, odd_documents
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -95,7 +95,7 @@ def test_phrases_as_by_brute_force():
                   for _ in range(rng.randint(0, 30))]
         texts.append(rng.choice(["", "-"]) + "".join(w + rng.choice([" ", "-", "\n", ", ", "_", "\x7f"]) for w in picked))
     texts += ["CC BY", "CC-BY-NC 4.0", "ccby", "cc by cc by", " cc by", "all rights reserved all rights reserved"]
-    finds, n_words = licenses.scan(pc.ascii_lower(pa.array(texts, pa.large_string())), SCANNER)
+    finds, n_words = licenses.scan(ascii_lower(pa.array(texts)), SCANNER)
     assert n_words.tolist() == [len(words_of(t)) for t in texts]
     for r, text in enumerate(texts):
         own = [f for f in finds if f.row == r]

@@ -54,3 +54,13 @@ def test_a_slice_of_an_array():
     words = tokens.split_words(whole.slice(1, 2))
     assert [words.text(i) for i in range(len(words.hash))] == ["z", "é"] and words.first.tolist() == [0, 0, 2]
     assert np.array_equal(words.hash, tokens.split_words(pa.array(["z é"])).hash)
+
+
+def test_ascii_lower_of_slices():
+    texts = pa.array(["AÉz", None, "", "ÀB" * 9, "C"] * 50)
+    for kind in (pa.string(), pa.large_string()):
+        for part in (texts.cast(kind), texts.cast(kind).slice(7, 100).slice(3)):
+            lowered = tokens.ascii_lower(part)
+            assert lowered.to_pylist() == [(t or "").replace("A", "a").replace("B", "b").replace("C", "c")
+                                           for t in part.to_pylist()]
+            assert tokens.split_words(lowered).first[-1] == sum(bool(t) for t in lowered.to_pylist())
