@@ -43,8 +43,9 @@ from shelfwise.llm.tokens import Words, ascii_lower, mix, row_of, slices, split_
 from shelfwise.session import materialize, release
 
 K = 10
-BITS = 10  # of a signature, per key
-HASHES = 4
+SEEDS = 4  # times k documents of the highest bounds are scored first
+BITS = 12  # of a signature, per key
+HASHES = 6
 BLOCK_DOCS = 1024
 CELLS = 1 << 24  # of a block's bitmap
 PENDING = 1 << 21  # keys gathered before blocks are cut
@@ -356,7 +357,7 @@ def search(docs: DataFrame, benchmark: DataFrame, k: int = K, items: int = ITEMS
     corpus, answers = Corpus(total["docs"] or 0, total["words"] or 0), spark.createDataFrame([], schema)
     for asked in tiles(benchmark, items) if corpus.docs else ():
         asked = asked.weighed(term_holders(rows, asked), corpus)
-        first = materialize(highest_bounds(index, asked, corpus, k), "seeds")
+        first = materialize(highest_bounds(index, asked, corpus, SEEDS * k), "seeds")
         rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score")))
         reached = (exact_scores(rows, first, asked, corpus).withColumn("rank", rank).where(F.col("rank") == k)
                    .select("item", "score").toArrow().to_pydict())
