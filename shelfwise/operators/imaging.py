@@ -26,7 +26,7 @@ def pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     return np.repeat(grid, 3, axis=2) if channels == 1 else grid[:, :, :3]
 
 
-def _readable(images: DataFrame) -> DataFrame:
+def readable(images: DataFrame) -> DataFrame:
     return images.where(F.col("data").isNotNull() & (F.col("height") > 0))
 
 
@@ -45,7 +45,7 @@ def image_stats(images: DataFrame) -> DataFrame:
                              row.width * row.height, *mean, grey.mean()))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in STATS_SCHEMA.split(", ")])
 
-    return _readable(images).select("image_id", "height", "width", "nChannels", "data") \
+    return readable(images).select("image_id", "height", "width", "nChannels", "data") \
         .mapInPandas(stats, STATS_SCHEMA)
 
 
@@ -65,7 +65,7 @@ def crop_images(images: DataFrame, crops: DataFrame, chunk_size: int = 1000) ->
     item = F.struct("crop_ordinal", "box.x1", "box.y1", "box.x2", "box.y2")
     lists = (crops.groupBy("image_id", F.floor(F.col("crop_ordinal") / chunk_size).alias("chunk"))
              .agg(F.collect_list(item).alias("boxes")))
-    joined = _readable(images).join(lists, "image_id").select(
+    joined = readable(images).join(lists, "image_id").select(
         "image_id", "height", "width", "nChannels", "data", "boxes")
 
     names = [c.split()[0] for c in CROP_SCHEMA.split(", ")]
@@ -163,7 +163,7 @@ def embed_images(images: DataFrame, encoder: Callable[[np.ndarray], np.ndarray]
                 yield pd.DataFrame({"image_id": part["image_id"].to_numpy(),
                                     "embedding": list(vectors)})
 
-    rows = _readable(images).select("image_id", "height", "width", "nChannels", "data")
+    rows = readable(images).select("image_id", "height", "width", "nChannels", "data")
     if partitions:
         rows = rows.repartition(partitions)
     return rows.mapInPandas(embed, "image_id bigint, embedding array<float>")
