@@ -6,6 +6,8 @@ bytes. Batches of rows go through numpy inside the tasks.
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -56,18 +58,15 @@ CROP_SCHEMA = ("image_id bigint, crop_ordinal bigint, x1 int, y1 int, x2 int, y2
                "height int, width int, nChannels int, data binary")
 
 
-def crop_images(images: DataFrame, crops: DataFrame, chunk_size: int = 1000) -> DataFrame:
-    """Cut numbered boxes (image_id, crop_ordinal, box) out of their images.
-
-    Boxes travel to the pixels as lists of at most `chunk_size`, so an image is
-    copied once per list instead of once per box, and no list is unbounded.
-    """
+def boxes_of(crops: DataFrame, chunk_size: int = 1000) -> DataFrame:
+    """(image_id, boxes): numbered boxes (image_id, crop_ordinal, box) in lists of at most `chunk_size`."""
     item = F.struct("crop_ordinal", "box.x1", "box.y1", "box.x2", "box.y2")
-    lists = (crops.groupBy("image_id", F.floor(F.col("crop_ordinal") / chunk_size).alias("chunk"))
-             .agg(F.collect_list(item).alias("boxes")))
-    joined = readable(images).join(lists, "image_id").select(
-        "image_id", "height", "width", "nChannels", "data", "boxes")
+    return (crops.groupBy("image_id", F.floor(F.col("crop_ordinal") / chunk_size).alias("chunk"))
+            .agg(F.collect_list(item).alias("boxes")).select("image_id", "boxes"))
+
 
+def cut_boxes(joined: DataFrame) -> DataFrame:
+    """The pixels of every box of image rows with a list of `boxes`."""
     names = [c.split()[0] for c in CROP_SCHEMA.split(", ")]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,7 +87,42 @@ def crop_images(images: DataFrame, crops: DataFrame, chunk_size: int = 1000) ->
         if rows:
             yield pd.DataFrame(rows, columns=names)
 
-    return joined.mapInPandas(cut, CROP_SCHEMA)
+    return joined.select("image_id", "height", "width", "nChannels", "data", "boxes").mapInPandas(cut, CROP_SCHEMA)
+
+
+def crop_images(images: DataFrame, crops: DataFrame, chunk_size: int = 1000) -> DataFrame:
+    """Cut numbered boxes (image_id, crop_ordinal, box) out of their images.
+
+    Boxes travel to the pixels as lists of at most `chunk_size`, so an image is
+    copied once per list instead of once per box, and no list is unbounded.
+    """
+    return cut_boxes(readable(images).join(boxes_of(crops, chunk_size), "image_id"))
+
+
+def png(grid: np.ndarray) -> bytes:
+    """A height x width x 3 array in BGR order as a PNG file."""
+    height, width, _ = grid.shape
+    lines = np.zeros((height, 1 + 3 * width), np.uint8)  # each line begins with its filter, none
+    lines[:, 1:] = grid[:, :, ::-1].reshape(height, -1)
+
+    def chunk(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    head = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines.tobytes())) + chunk(
+        b"IEND", b"")
+
+
+def encode_png(images: DataFrame, name: str = "file_name") -> DataFrame:
+    """(file_name, content): every readable image as the bytes of a PNG file."""
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"file_name": batch["file_name"], "content": [
+                png(pixels(r.data, r.height, r.width, r.nChannels)) for r in batch.itertuples(index=False)]})
+
+    rows = readable(images).select(F.col(name).alias("file_name"), "height", "width", "nChannels", "data")
+    return rows.mapInPandas(encode, "file_name string, content binary")
 
 
 def resize(grid: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -141,6 +175,13 @@ def flat_encoder(batch: np.ndarray) -> np.ndarray:
     return batch.reshape(len(batch), -1)
 
 
+def encoded(part: pd.DataFrame, encode: Callable[[np.ndarray], np.ndarray], height: int, width: int) -> list:
+    """The vector of each image of `part`, all readable."""
+    stack = np.stack([resize(pixels(r.data, r.height, r.width, r.nChannels), height, width)
+                      for r in part.itertuples(index=False)])
+    return list(encode(stack).astype(np.float32))
+
+
 def embed_images(images: DataFrame, encoder: Callable[[np.ndarray], np.ndarray] | None = None,
                  height: int = 320, width: int = 192, batch_size: int = 32,
                  partitions: int | None = None) -> DataFrame:
@@ -156,12 +197,8 @@ def embed_images(images: DataFrame, encoder: Callable[[np.ndarray], np.ndarray]
         for batch in batches:
             for start in range(0, len(batch), batch_size):
                 part = batch.iloc[start:start + batch_size]
-                stack = np.stack([
-                    resize(pixels(r.data, r.height, r.width, r.nChannels), height, width)
-                    for r in part.itertuples(index=False)])
-                vectors = encode(stack).astype(np.float32)
                 yield pd.DataFrame({"image_id": part["image_id"].to_numpy(),
-                                    "embedding": list(vectors)})
+                                    "embedding": encoded(part, encode, height, width)})
 
     rows = readable(images).select("image_id", "height", "width", "nChannels", "data")
     if partitions:

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators.extract import Rule
+from shelfwise.operators.imaging import encode_png
+from shelfwise.session import fresh_path
+from shelfwise.sinks.files import write_binary_files
 from shelfwise.sources.pages import host_of, scan_pages
 
 IMAGE_WIDTH, IMAGE_HEIGHT = 640, 480
@@ -101,6 +104,23 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tile_files(spark: SparkSession, sf_dir: str) -> str:
+    """The pictures of `tiles` as files named by product and crop: the folder they are in.
+
+    Some products have a second crop, and some first crops cannot be decoded.
+    """
+    def named(rows: DataFrame, ordinal: int) -> DataFrame:
+        return rows.withColumn("file_name", F.format_string(f"tile_%d_{ordinal}.png", "image_id"))
+
+    folder = fresh_path(spark, "tile-files")
+    whole = named(tiles(spark, sf_dir), 0)
+    broken = whole.where("image_id % 17 = 0").selectExpr("file_name", "encode('no picture', 'UTF-8') as content")
+    content = (encode_png(whole.where("image_id % 17 <> 0")).unionByName(broken)
+               .unionByName(encode_png(named(tiles(spark, sf_dir).where("image_id % 3 = 0"), 1))))
+    write_binary_files(content, folder).count()
+    return folder
+
+
 def tile_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detections small enough for the pictures of `tiles`."""
     return detections(spark, sf_dir).withColumn("bbox", F.expr(

@@ -149,6 +149,17 @@ tcrops as (
   from (select image_id, seq, {_box(1, 8, 8)} from tdet where {MATCH}) d
   where x2 > x1 and y2 > y1)"""
 
+TILE_FILES = TILES + """,
+files as (
+  select image_id product_id, 0 crop_ordinal, image_id % 17 <> 0 sound, b, g, r from tiles
+  union all select image_id, 1, true, b, g, r from tiles where image_id % 3 = 0),
+named as (
+  select *, concat('tile_', cast(product_id as varchar), '_', cast(crop_ordinal as varchar), '.png') file_name
+  from files)"""
+
+TILE_TOTAL = """list_sum(list_transform(list_concat(b, list_concat(g, r)),
+                lambda v: (v / 255::double)::float::double))"""
+
 TOPK = """
 hits as (
   select *, row_number() over (partition by query_id order by similarity desc, candidate_id) rank
@@ -348,6 +359,40 @@ def oracle_sql() -> dict[str, str]:
                   printf('%02X%02X%02X', b[y * 8 + x + 1], g[y * 8 + x + 1], r[y * 8 + x + 1])),
                 'string_agg', '')), 'string_agg', '') as data
             from tcrops c join tiles t on c.image_id = t.image_id""",
+        "crop_stored_images": f"""with {TILE_CROPS} select c.image_id, crop_ordinal,
+              cast(y2 - y1 as bigint) height, cast(x2 - x1 as bigint) width,
+              list_aggregate(list_transform(range(y1, y2), lambda y:
+                list_aggregate(list_transform(range(x1, x2), lambda x:
+                  printf('%02X%02X%02X', b[y * 8 + x + 1], g[y * 8 + x + 1], r[y * 8 + x + 1])),
+                'string_agg', '')), 'string_agg', '') as data
+            from tcrops c join tiles t on c.image_id = t.image_id""",
+        "scan_images": f"""with {TILE_FILES} select file_name, product_id, crop_ordinal::bigint crop_ordinal from named""",
+        "decode_images": f"""with {TILE_FILES}
+            select file_name, case when sound then 'ok' else 'failed' end status,
+              case when sound then 8::bigint end height, case when sound then 8::bigint end width,
+              case when sound then list_aggregate(list_transform(range(1, 65),
+                lambda i: printf('%02X%02X%02X', b[i], g[i], r[i])), 'string_agg', '') end as data
+            from named""",
+        "first_crop_vectors": f"""with {TILE_FILES}
+            select file_name, case when sound then 'ok' else 'failed' end status, product_id,
+              case when sound then round({TILE_TOTAL}, 6) end total
+            from named where crop_ordinal = 0""",
+        "training_rows_from_pictures": f"""with {CLEAN}, {TILES},
+            c as (select product_id, coalesce(try_cast(rating as double), 3.0::double) s,
+                cast(trunc(coalesce(try_cast(no_of_reviews as double), 10)) as bigint) n,
+                round({TILE_TOTAL}, 6) total
+              from product_clean join tiles on product_id = image_id where product_id % 17 <> 0),
+            m as (select *, s * (15 + n) / (n + 5 * s + 1e-5::double) pop from c),
+            x as (select min(pop) lo, max(pop) hi from m)
+            select product_id, round(case when hi = lo then 0::double else (pop - lo) / (hi - lo) end, 6) popularity,
+              total, row_number() over (order by product_id) - 1 < floor(0.8::double * count(*) over ()) is_train
+            from m cross join x""",
+        "refresh_vectors": f"""with {TILES}
+            select image_id, case when image_id % 5 = 0 or image_id % 7 = 3 then 2::bigint else 1::bigint end run,
+              round((case when image_id % 5 = 0 then g[1] else b[1] end / 255::double)::float::double, 6) first_value
+            from tiles""",
+        "flatten": """select vec_id, cast(pos as bigint) pos, embedding[pos // 8 * 8 + 8 - pos % 8]::double as value
+            from (select vec_id, embedding, unnest(range(0, 64)) pos from embeddings) e""",
         "embed_images": f"""with {TILES},
             flat as (select image_id, unnest(range(0, 192)) pos, b, g, r from tiles)
             select image_id, pos, round((case pos % 3 when 0 then b[pos // 3 + 1]

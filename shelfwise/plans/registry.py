@@ -6,6 +6,7 @@ are `bigint`, so results compare by value with another engine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,14 +17,16 @@ from shelfwise.functions.boxes import padded_box
 from shelfwise.functions.scores import popularity
 from shelfwise.functions.text import clean_rating, coerce_numeric, optional_link, or_missing
 from shelfwise.functions.vectors import cosine
-from shelfwise.operators import aggregate, clean, detect, extract, imaging, matching, models
-from shelfwise.operators import ordinals, recommend, score, similarity, trends
+from shelfwise.functions.vectors import flatten
+from shelfwise.operators import aggregate, clean, detect, encoders, extract, imaging, matching, models
+from shelfwise.operators import ordinals, pixel_store, recommend, score, similarity, trends, vector_store
 from shelfwise.plans import bindings as b
-from shelfwise.plans import catalogue
+from shelfwise.plans import catalogue, pictures
 from shelfwise.schema import IMAGE_METADATA, SEARCH_TERMS, SUMMARY, TRAINING_RATING
 from shelfwise.session import fresh_path, materialize, shuffle_partitions
 from shelfwise.sinks import files
 from shelfwise.sources import frontier
+from shelfwise.sources.images import decode_images, product_of_crop, scan_images
 from shelfwise.sources.models import load_model
 from shelfwise.sources.pages import host_of, scan_pages
 from shelfwise.sources.products import add_default_column, read_products
@@ -526,6 +529,60 @@ def _crop_images(spark, sf):
                       big("width").alias("width"), F.hex("data").alias("data"))
 
 
+@query("crop_stored_images")
+def _crop_stored_images(spark, sf):
+    buckets = shuffle_partitions(spark)
+    store = pixel_store.write_pixel_store(b.tiles(spark, sf), f"tiles_{uuid.uuid4().hex}",
+                                          fresh_path(spark, "pixels"), buckets)
+    cut = pixel_store.crop_stored_images(store, materialize(_tile_crops(spark, sf), "boxes"), buckets)
+    return cut.select("image_id", "crop_ordinal", big("height").alias("height"),
+                      big("width").alias("width"), F.hex("data").alias("data"))
+
+
+@query("scan_images")
+def _scan_images(spark, sf):
+    found = scan_images(spark, b.tile_files(spark, sf))
+    key = product_of_crop(F.col("file_name"))
+    return found.select("file_name", key["product_id"].alias("product_id"), key["crop_ordinal"].alias("crop_ordinal"))
+
+
+@query("decode_images")
+def _decode_images(spark, sf):
+    found = decode_images(spark, b.tile_files(spark, sf))
+    return found.select("file_name", "status", big("height").alias("height"), big("width").alias("width"),
+                        F.hex("data").alias("data"))
+
+
+@query("first_crop_vectors")
+def _first_crop_vectors(spark, sf):
+    found = pictures.product_pictures(spark, b.tile_files(spark, sf), imaging.flat_encoder, b.TILE, b.TILE)
+    total = F.aggregate(F.col("embedding"), F.lit(0.0), lambda a, x: a + x)
+    return found.status.join(found.vectors, "product_id", "left").select(
+        "file_name", "status", "product_id", r6(total).alias("total"))
+
+
+@query("training_rows_from_pictures")
+def _training_rows_from_pictures(spark, sf):
+    products = catalogue.product_table(b.product_raw(spark, sf))
+    rows = pictures.training_rows_from_pictures(products, b.tile_files(spark, sf), imaging.flat_encoder, b.TILE, b.TILE)
+    total = F.aggregate(F.col("embedding"), F.lit(0.0), lambda a, x: a + x)
+    return rows.select("product_id", r6("popularity").alias("popularity"), r6(total).alias("total"), "is_train")
+
+
+@query("refresh_vectors")
+def _refresh_vectors(spark, sf):
+    """All tiles but some, then all of them, some with other pixels, then the same again."""
+    store, tiles = fresh_path(spark, "vectors"), b.tiles(spark, sf)
+    turned = F.concat(F.substring("data", 2, 1 << 20), F.substring("data", 1, 1))
+    now = tiles.withColumn("data", F.when(F.col("image_id") % 5 == 0, turned).otherwise(F.col("data")))
+    for images in (tiles.where("image_id % 7 <> 3"), now, now):
+        vector_store.refresh_vectors(images, store, "flat", imaging.flat_encoder, b.TILE, b.TILE)
+    rows = vector_store.stored_vectors(spark, store, "flat")
+    first = rows.agg(F.min("run")).scalar()
+    return rows.select("image_id", big(F.when(F.col("run") == first, 1).otherwise(2)).alias("run"),
+                       r6(F.get("embedding", F.lit(0)).cast("double")).alias("first_value"))
+
+
 @query("embed_images")
 def _embed_images(spark, sf):
     vectors = imaging.embed_images(b.tiles(spark, sf), imaging.flat_encoder, b.TILE, b.TILE)
@@ -557,6 +614,23 @@ def _reconstruction_error(spark, sf):
         "vec_id", r6("mse").alias("mse"))
 
 
+@query("fit_image_encoder")
+def _fit_image_encoder(spark, sf):
+    tiles = b.tiles(spark, sf)
+    encoder = encoders.fit_image_encoder(tiles, 8, b.TILE, b.TILE)
+    restored = encoders.image_errors(tiles, encoder, b.TILE, b.TILE)
+    return imaging.embed_images(tiles, encoder, b.TILE, b.TILE).join(restored, "image_id").select(
+        "image_id", big(F.size("embedding")).alias("width"), r6("mse").alias("mse"))
+
+
+@query("flatten")
+def _flatten(spark, sf):
+    rows = F.transform(F.sequence(F.lit(0), F.lit(b.TILE - 1)), lambda i: F.slice("embedding", i * b.TILE + 1, b.TILE))
+    flat = flatten(F.transform(rows, lambda row: F.reverse(row)))
+    return _vectors(spark, sf).select("vec_id", F.posexplode(flat).alias("pos", "value")).select(
+        "vec_id", big("pos").alias("pos"), F.col("value").cast("double").alias("value"))
+
+
 # --- models ----------------------------------------------------------------
 
 def _training_rows(spark, sf):

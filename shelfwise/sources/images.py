@@ -9,15 +9,15 @@ from shelfwise.functions.text import file_name
 from shelfwise.schema import FLAT_IMAGE_EXTENSIONS, IMAGE_EXTENSIONS
 
 
-def _files(spark: SparkSession, kind: str, path: str, recursive: bool, extensions) -> DataFrame:
-    """Files with the given endings in any case; others are not even opened."""
+def _files(spark: SparkSession, kind: str, path: str, recursive: bool, extensions, stem: str = "*") -> DataFrame:
+    """Files with the given endings in any case, and a name like `stem`; others are not even opened."""
     def any_case(word):
         return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
 
     known = IMAGE_EXTENSIONS if recursive else FLAT_IMAGE_EXTENSIONS
     endings = ",".join(any_case(e) for e in extensions or known)
     return (spark.read.format(kind).option("recursiveFileLookup", recursive)
-            .option("pathGlobFilter", f"*.{{{endings}}}").load(path))
+            .option("pathGlobFilter", f"{stem}.{{{endings}}}").load(path))
 
 
 def scan_images(spark: SparkSession, path: str, recursive: bool = True,
@@ -28,13 +28,13 @@ def scan_images(spark: SparkSession, path: str, recursive: bool = True,
 
 
 def decode_images(spark: SparkSession, path: str, recursive: bool = True,
-                  extensions=None) -> DataFrame:
-    """Decoded pixels, 3 channels in BGR order, one row per image file.
+                  extensions=None, stem: str = "*") -> DataFrame:
+    """Decoded pixels, 3 channels in BGR order, one row per image file whose name before the ending is like `stem`.
 
     A file that cannot be decoded stays as a row with status `failed` and no
     pixels, so a bad file never fails the job and never vanishes.
     """
-    raw = _files(spark, "image", path, recursive, extensions).select("image.*")
+    raw = _files(spark, "image", path, recursive, extensions, stem).select("image.*")
     ok = F.col("height") > 0
     return raw.select(
         file_name(F.col("origin")).alias("file_name"), "origin",
