@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.session import materialize
+from shelfwise.session import materialize, release
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,7 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     rank, and links between joined groups make the next, smaller graph. Ranks
     change from round to round, so the rounds grow with the logarithm of the
     nodes, also for long chains. Nothing is collected; nodes with many links
-    are pre-aggregated, and joins on them can be split.
+    are pre-aggregated, and joins on them can be split. The result is a table of
+    its own, which `release` removes.
     """
     steps = []
     edges = materialize(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -34,14 +35,22 @@ def components(links: DataFrame) -> DataFrame:
         left = parents.select(F.col("node").alias("a"), F.col("parent").alias("a_to"))
         right = parents.select(F.col("node").alias("b"), F.col("parent").alias("b_to"))
         moved = edges.join(left, "a").join(right, "b").where("a_to <> b_to")
-        edges = materialize(moved.select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b"))
-                            .distinct(), "links")
+        before, edges = edges, materialize(moved.select(
+            F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(), "links")
+        release(before)
+    release(edges)
     if not steps:
         return links.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
     roots = steps.pop()
     while steps:
         later = roots.select(F.col("node").alias("parent"), F.col("parent").alias("root"))
-        roots = materialize(steps.pop().join(later, "parent", "left").select(
+        before, own = roots, steps.pop()
+        roots = materialize(own.join(later, "parent", "left").select(
             "node", F.coalesce("root", "parent").alias("parent")), "roots")
+        release(before)
+        release(own)
     least = materialize(roots.groupBy("parent").agg(F.min("node").alias("component")), "least")
-    return roots.join(least, "parent").select("node", "component")
+    found = materialize(roots.join(least, "parent").select("node", "component"), "components")
+    release(roots)
+    release(least)
+    return found

@@ -3,26 +3,34 @@
 A document is the sequence of its runs of `GRAM` words. Two documents are
 linked if the edit distance of their sequences is at most 1 - `SIMILAR` of the
 longer one. Candidates come from Order MinHash: each of `HASHES` functions
-picks the `PICKED` smallest of a document's occurrence-labelled runs and keeps
+picks a few of the smallest of a document's occurrence-labelled runs and keeps
 them in text order, so equal picks speak for equal order too. Linked documents
-have at least two thirds of their runs in common, in order, and share a pick
-with a probability over 0.99 (over 0.9999 from a Jaccard similarity of 0.8).
-Their lengths differ by a quarter at most; buckets hold documents of a class of
-lengths, and a document is in the class of a quarter more, too.
+have at least two thirds of their runs in common, in order. Their lengths differ
+by a quarter at most; buckets hold documents of a class of lengths, and a
+document is in the class of a quarter more, too. Short classes pick fewer runs,
+so that linked documents of any length share a pick with a probability over
+0.98, over 0.99 on average (`tests/llm` measures it by length).
 
 Equal word sequences are one representative from the start. In a bucket of
-equal picks not all pairs are made: everyone is compared with one leader, and
-those it is not linked to go on to the next round, which has more leaders. A
-document linked to a leader goes on too, unless the triangle inequality settles
-that it is not linked to any of the others, and nobody is compared within a
-class that links have made already. So no link between documents of different
-classes is lost, and a bucket of near copies is done in a round or two. Classes are the connected components.
+equal picks not all pairs are made: everyone is compared with one leader. Where
+some are not linked to it, documents that share a common passage, but little
+else, may have met; so those documents are dealt anew by their rarest runs. A
+linked pair has 0.8 of the longer one's runs in common, so in any common order of
+runs it shares one among the first fifth of each; ordered by how many documents
+hold a run, a common passage comes last and brings nobody together, and a run that
+one document holds makes no bucket. Buckets that are mixed still are compared with
+more and more leaders. A document linked to a leader goes on, too, unless the
+triangle inequality settles that it is not linked to any of the others, and
+nobody is compared within a class that links have made already. So no link
+between documents of different classes that share a bucket is lost, and a bucket
+of near copies is done in a round or two. Classes are the connected components.
 
 Defined results: words are compared without case and punctuation; a text
 without words (null, empty) is in a class of its own; a text of fewer words
-than `GRAM` is one run; rows that share a doc_id are one document; a null
-doc_id has a null class. Extra columns are ignored; an empty table gives no
-rows.
+than `GRAM` is one run; rows that share a doc_id are one document, in the class
+of all its texts; a null doc_id has a null class. `keep_first` decides row by row
+instead: a row goes only if a row with a text of the same class stays, whatever
+their ids. Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,13 +44,13 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.graph import components
 from shelfwise.llm.tokens import grams, mix, row_of, slices, split_words
-from shelfwise.session import materialize
+from shelfwise.session import materialize, release
 
 GRAM = 5
 SIMILAR = 0.8
 HASHES = 24
-PICKED = 4
 CLASS = 1.5  # lengths of a class differ by this factor at most
+PICKED = {2: 6, 3: 9, 4: 99}  # runs that a function picks: the last class of lengths it does so for
 MORE = 8
 _OFTEN = 16
 
@@ -59,33 +67,54 @@ def labelled_runs(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(hashes + mix(times))
 
 
-def order_minhash(hashes: np.ndarray, first: np.ndarray, functions: int = HASHES, picked: int = PICKED) -> np.ndarray:
-    """A row of `functions` picks for each row that has runs."""
+def order_minhash(hashes: np.ndarray, first: np.ndarray, functions: int = HASHES,
+                  picked: tuple = tuple(PICKED)) -> dict[int, np.ndarray]:
+    """For each number of picked runs, a row of `functions` picks for each row that has runs."""
     count = np.diff(first)
     count = count[count > 0]
     begin = np.cumsum(count) - count
     labelled = labelled_runs(hashes, first)
     owner = np.repeat(np.arange(len(count)), count)
-    most = np.uint64(2 ** 64 - 1)
-    out = np.zeros((len(count), functions), np.uint64)
+    most, padded = np.uint64(2 ** 64 - 1), np.append(labelled, np.uint64(0))
+    out = {k: np.zeros((len(count), functions), np.uint64) for k in picked}
     for j in range(functions):
         factor = mix(np.uint64([2 * j + 1]))[0] | np.uint64(1)
         value = labelled * factor
-        spots = np.full((len(count), picked), len(labelled))
-        for i in range(picked):
+        spots = np.full((len(count), max(picked)), len(labelled))
+        for i in range(max(picked)):
             least = np.minimum.reduceat(value, begin)
             hit = np.flatnonzero(value == least[owner])
             rows, at = np.unique(owner[hit], return_index=True)
             live = count[rows] > i
             spots[rows[live], i] = hit[at][live]
             value[hit[at]] = most
-        spots.sort(axis=1)  # text order
-        padded = np.append(labelled, np.uint64(0))
-        for i in range(picked):
-            out[:, j] = mix(out[:, j] + padded[spots[:, i]] + np.uint64(j + 1))
+        for k in picked:
+            ordered = np.sort(spots[:, :k], axis=1)  # text order
+            for i in range(k):
+                out[k][:, j] = mix(out[k][:, j] + padded[ordered[:, i]] + np.uint64(j + 1))
     return out
 
 
+def length_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(n) / np.log(CLASS) + 1e-9).astype(np.int64)
+
+
+def bucket_keys(n: np.ndarray, picks: dict[int, np.ndarray]) -> np.ndarray:
+    """Keys of each row's buckets: one per function in the class of its length `n`, and in that of a quarter more.
+
+    Both halves are equal where the classes are.
+    """
+    halves = []
+    for longer in (n, n / SIMILAR):
+        own = length_class(longer)
+        picked = np.array(list(picks))[np.searchsorted([PICKED[k] for k in picks], own)]
+        chosen = np.zeros_like(next(iter(picks.values())))
+        for k in picks:
+            chosen[picked == k] = picks[k][picked == k]
+        halves.append(mix(chosen + mix(own.astype(np.uint64))[:, None]))
+    return np.concatenate(halves, axis=1)
+
+
 def sequence_digest(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits of each non-empty row's sequence of words."""
     full = np.flatnonzero(np.diff(first))
@@ -95,8 +124,15 @@ def sequence_digest(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray,
             np.add.reduceat(mix(mix(hashes) ^ mix(place + np.uint64(7 << 40))), begin))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, text): `row` is a hash of id and text."""
+    text = F.lower(F.col("text").cast("string"))
+    name = F.col("doc_id").cast("long")
+    return docs.select(name.alias("doc_id"), F.xxhash64(name, text).alias("row"), text.alias("text"))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, hi, lo, picks) of each row: the number of runs, digest and picks; n is 0 without words."""
+    """(doc_id, row, n, hi, lo, keys) of each row: the number of runs, digest and buckets; n is 0 without words."""
 
     def batches(found):
         for batch in found:
@@ -105,18 +141,20 @@ def sketches(docs: DataFrame) -> DataFrame:
                 runs, first = grams(words.hash, words.first, GRAM)
                 full = np.flatnonzero(np.diff(first))
                 n = np.diff(first)
-                high, low, picks = [0] * len(n), [0] * len(n), [None] * len(n)
+                high, low, keys = [0] * len(n), [0] * len(n), [None] * len(n)
                 if len(full):
                     a, b = sequence_digest(words.hash, words.first)
-                    rows = order_minhash(runs, first).astype(np.int64)
+                    rows = bucket_keys(n[full], order_minhash(runs, first)).astype(np.int64)
+                    same = (rows[:, :HASHES] == rows[:, HASHES:]).all(axis=1)
                     for i, r in enumerate(full):
-                        high[r], low[r], picks[r] = int(a[i].astype(np.int64)), int(b[i].astype(np.int64)), rows[i]
+                        high[r], low[r] = int(a[i].astype(np.int64)), int(b[i].astype(np.int64))
+                        keys[r] = rows[i, :HASHES] if same[i] else rows[i]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
-                     pa.array(picks, pa.list_(pa.int64()))], ["doc_id", "n", "hi", "lo", "picks"])
+                    [part.column("doc_id"), part.column("row"), pa.array(n), pa.array(high, pa.int64()),
+                     pa.array(low, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "row", "n", "hi", "lo", "keys"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
-    return rows.mapInArrow(batches, "doc_id long, n long, hi long, lo long, picks array<long>")
+    return _keyed(docs).mapInArrow(batches, "doc_id long, row long, n long, hi long, lo long, keys array<long>")
 
 
 def banded_distance(a: list, b: list, band: int) -> int:
@@ -210,58 +248,95 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     [pa.array(leader), pa.array(doc), pa.array(linked), pa.array(distance)],
                     ["leader", "doc", "linked", "distance"])
 
-    rows = (pairs.join(texts.select(F.col("doc_id").alias("doc"), F.col("text").alias("right")), "doc")
-            .join(texts.select(F.col("doc_id").alias("leader"), F.col("text").alias("left")), "leader"))
+    rows = (pairs.join(texts.select("doc", F.col("text").alias("right")), "doc")
+            .join(texts.select(F.col("doc").alias("leader"), F.col("text").alias("left")), "leader"))
     return (rows.mapInArrow(batches, "leader long, doc long, linked boolean, distance long")
             .groupBy("leader", "doc").agg(F.max("linked").alias("linked"), F.min("distance").alias("distance")))
 
 
+def _first_leaders(active: DataFrame) -> DataFrame:
+    """(key, leader, leader_class): one leader of each bucket with more than one document."""
+    rank = F.struct(F.xxhash64("doc"), F.col("doc").alias("doc"))
+    first = active.groupBy("key").agg(F.min(rank).alias("first"), F.count("*").alias("size")).where("size > 1")
+    return first.select("key", F.col("first.doc").alias("leader"), F.col("first.doc").alias("leader_class"))
+
+
 def _leaders(active: DataFrame, turn: int) -> DataFrame:
-    """(key, leader, leader_class): one leader of each bucket with more than one document, later on `MORE`
-    to the power of `turn`."""
-    if not turn:
-        rank = F.struct(F.xxhash64("doc"), F.col("doc").alias("doc"))
-        first = active.groupBy("key").agg(F.min(rank).alias("first"), F.count("*").alias("size")).where("size > 1")
-        return first.select("key", F.col("first.doc").alias("leader"), F.col("first.doc").alias("leader_class"))
+    """(key, leader, leader_class): `MORE` to the power of `turn` leaders of each bucket."""
     place = F.row_number().over(Window.partitionBy("key").orderBy("settled", F.xxhash64("doc"), "doc"))
     chosen = active.withColumn("place", place).where(F.col("place") <= MORE ** turn)
     return chosen.where("settled = 0").select("key", F.col("doc").alias("leader"), F.col("class").alias("leader_class"))
 
 
-def _of_several_classes(active: DataFrame, links: DataFrame) -> DataFrame:
+def _placed(active: DataFrame, links: DataFrame) -> DataFrame:
     """`active` with the class that links so far give each document, without buckets of one class."""
-    found = components(links).select(F.col("node").alias("doc"), "component")
-    placed = active.join(found, "doc", "left").select(*active.columns, F.coalesce("component", "doc").alias("class"))
-    placed = materialize(placed, "active")
-    mixed = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    return placed.join(materialize(mixed.select("key"), "mixed"), "key")
+    found = components(links)
+    classed = materialize(active.drop("class").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "key", "doc", "n", "settled", F.coalesce("component", "doc").alias("class")), "classed")
+    mixed = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    placed = materialize(classed.join(mixed.select("key"), "key", "left_semi"), "active")
+    release(found)
+    release(classed)
+    return placed
+
+
+def by_rarest_runs(active: DataFrame, texts: DataFrame) -> DataFrame:
+    """The documents of `active` in buckets of their rarest runs, as many as linked ones need to share one.
+
+    Runs that one document holds fill places of that prefix, but make no bucket.
+    """
+    docs = materialize(active.groupBy("doc").agg(F.first("n").alias("n"), F.min("settled").alias("settled")), "rekeyed")
+
+    def batches(found):
+        for batch in found:
+            for part in slices(batch, "text"):
+                words = split_words(part.column("text"))
+                runs, first = grams(words.hash, words.first, GRAM)
+                doc = part.column("doc").to_numpy()[row_of(first)]
+                pairs = np.unique(np.stack([doc, labelled_runs(runs, first).astype(np.int64)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["doc", "run"])
+
+    runs = materialize(texts.join(docs.select("doc"), "doc").select("doc", "text").mapInArrow(
+        batches, "doc long, run long"), "runs")
+    held = materialize(runs.groupBy("run").agg(F.count("*").alias("held")).where("held > 1"), "held")
+    shared = runs.join(held, "run")
+    place = F.row_number().over(Window.partitionBy("doc").orderBy("held", "run"))
+    many = F.count("*").over(Window.partitionBy("doc"))
+    most = F.floor(F.col("n") * (1 - SIMILAR) + 1e-9) + 1 - (F.col("n") - F.col("many"))
+    ranked = (shared.withColumns({"place": place, "many": many}).join(docs, "doc").where(F.col("place") <= most))
+    length = [F.floor(F.log(CLASS, F.col("n") * f) + 1e-9) for f in (1.0, 1.0 / SIMILAR)]
+    dealt = materialize(ranked.select(
+        "doc", "n", "settled", "run", F.explode(F.array_distinct(F.array(*length))).alias("length")).select(
+        F.xxhash64("run", "length").alias("key"), "doc", "n", "settled", F.col("doc").alias("class")), "dealt")
+    for copy in (docs, runs, held):
+        release(copy)
+    return dealt
 
 
 def find_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b) links that connect the classes of representatives (doc, n, picks)."""
-    length = [F.floor(F.log(CLASS, F.col("n") * f)) for f in (1.0, 1.0 / SIMILAR)]
-    active = reps.select("doc", "n", F.explode("picks").alias("pick"), F.array_distinct(F.array(*length)).alias("classes"))
-    active = active.select("doc", "n", "pick", F.explode("classes").alias("length")).select(
-        F.xxhash64("pick", "length").alias("key"), "doc", "n", F.lit(0).alias("settled"), F.col("doc").alias("class"))
-    links = reps.select(F.col("doc").alias("a"), F.col("doc").alias("b")).limit(0)
-    texts, done, turn = None, None, 0
+    """(a, b) links that connect the classes of representatives (doc, row, n, keys)."""
+    active = reps.select(F.explode("keys").alias("key"), "doc", "n", F.lit(0).alias("settled"), F.col("doc").alias("class"))
+    leaders = materialize(_first_leaders(active), "leaders")
+    texts = done = None
+    turn = -1
     while True:
-        leaders = materialize(_leaders(active, turn), "leaders")
         hits = active.join(leaders, "key").where("doc <> leader and class <> leader_class")
         hits = materialize(hits.select("key", "leader", "doc", "n", "settled"), "hits")
         if hits.isEmpty():
-            return links
+            break
         pairs = hits.select("leader", "doc").distinct()
         if texts is None:
-            wanted = hits.select(F.col("doc").alias("doc_id")).union(hits.select("leader")).distinct()
-            texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(
-                F.col("text").cast("string")).alias("text")).join(wanted, "doc_id"), "texts")
+            met = hits.select("doc").union(hits.select("leader")).distinct()
+            wanted = materialize(reps.select("doc", "row").join(met, "doc"), "wanted")
+            texts = materialize(_keyed(docs).join(wanted, "row").select("doc", "text"), "texts")
+            release(wanted)
             active = hits.select("key", "doc", "n", "settled")  # buckets of one document are done
+            done = told = materialize(_compared(pairs, texts), "told")
         else:
-            pairs = pairs.join(done, ["leader", "doc"], "left_anti")
-        told = materialize(_compared(pairs, texts), "told")
-        links = links.unionByName(told.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-        done = told if done is None else done.unionByName(told)
+            before, told = done, materialize(_compared(pairs.join(done, ["leader", "doc"], "left_anti"), texts), "told")
+            done = materialize(before.unionByName(told), "done")
+            release(before)
+            release(told)
         status = materialize(hits.join(done, ["leader", "doc"]), "status")
         led = leaders.select("key", F.col("leader").alias("doc"))  # compared with all of their bucket
         seen = status.groupBy("key", "doc").agg(F.max("linked").alias("linked"))
@@ -270,45 +345,84 @@ def find_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
         left = materialize(left, "left")
         fails = left.where("not linked and settled = 0")
         if fails.isEmpty():
-            return links
+            break
         near = status.join(fails.select("key", "doc"), ["key", "doc"]).groupBy("key", "leader").agg(
             F.min("distance").alias("near"))
         # x unlinked, y linked to a leader: distance(x, y) >= distance(leader, x) - distance(leader, y)
         reach = F.col("n") / SIMILAR - F.col("n")
-        far = (status.where("linked").join(materialize(near, "near"), ["key", "leader"])
+        far = (status.where("linked").join(near, ["key", "leader"])
                .where(F.col("near") - F.col("distance") > reach).select("key", "doc").distinct())
         others = (left.where("linked or settled = 1").join(fails.select("key").distinct(), "key", "left_semi")
                   .join(far, ["key", "doc"], "left_anti").withColumn("settled", F.lit(1)))
-        active = _of_several_classes(fails.unionByName(others).drop("linked"), links)
+        going, held = fails.unionByName(others).drop("linked"), active
+        if turn < 0:  # once: buckets of picks become buckets of the rarest runs
+            going = by_rarest_runs(going, texts)
+        active = _placed(going, done.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+        for copy in (hits, leaders, status, left, held, going):
+            release(copy)
         turn += 1
+        leaders = materialize(_leaders(active, turn), "leaders")
+    if done is None:
+        return reps.select(F.col("doc").alias("a"), F.col("doc").alias("b")).limit(0)
+    release(texts)
+    return done.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
+
+
+def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, row, n, hi, lo), and for each text (hi, lo) of rows with an id and words its class, its
+    smallest (doc_id, row) and that of its class. Texts alone decide."""
+    rows = materialize(sketches(docs), "sketches")
+    named = rows.where("doc_id is not null and n > 0")
+    reps = named.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "row", "n", "keys")).alias("rep"))
+    reps = materialize(reps.select(F.monotonically_increasing_id().alias("doc"), "hi", "lo", "rep.*"), "reps")
+    links = find_links(reps.select("doc", "row", "n", "keys"), docs)
+    found = components(links)
+    of = reps.select("hi", "lo", "doc", "doc_id", "row").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "hi", "lo", "doc_id", "row", F.coalesce("component", "doc").alias("class"))
+    of = materialize(of, "of")
+    first = of.groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    classes = materialize(of.join(first, "class"), "classes")
+    for copy in (reps, found, of):
+        release(copy)
+    return rows.drop("keys"), classes
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id) of each row: the smallest doc_id of its class of near-duplicates."""
-    rows = materialize(sketches(docs), "sketches")
+    rows, classes = text_classes(docs)
     named = rows.where("doc_id is not null and n > 0")
-    reps = named.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "n", "picks")).alias("rep"))
-    reps = materialize(reps.select("hi", "lo", F.col("rep.doc_id").alias("doc"), F.col("rep.n").alias("n"),
-                                   F.col("rep.picks").alias("picks")), "reps")
     same = named.groupBy("doc_id").agg(F.min("hi").alias("a"), F.max("hi").alias("b")).where("a <> b").select("doc_id")
-    links = find_links(reps.select("doc", "n", "picks"), docs)
-    if not same.isEmpty():  # rows that share an id link the representatives of their texts
-        shared = named.join(same, "doc_id").join(reps.select("hi", "lo", "doc"), ["hi", "lo"])
-        links = links.unionByName(shared.select(F.col("doc_id").alias("a"), F.col("doc").alias("b")))
-    found = components(links)
-    classes = reps.select("hi", "lo", "doc").join(found, reps["doc"] == found["node"], "left").select(
-        "hi", "lo", F.coalesce("component", "doc").alias("class_id"))
-    classes = materialize(classes, "classes")
-    placed = named.select("doc_id", "hi", "lo").join(classes, ["hi", "lo"]).select("doc_id", "class_id")
+    placed = named.select("doc_id", "hi", "lo").join(
+        classes.select("hi", "lo", "class", F.col("first.doc_id").alias("class_id")), ["hi", "lo"])
+    if not same.isEmpty():  # classes that an id's texts are in are one class
+        shared = materialize(placed.join(same, "doc_id").select("doc_id", "class"), "shared")
+        least = shared.groupBy("doc_id").agg(F.min("class").alias("a"))
+        joined = components(shared.join(least, "doc_id").select("a", F.col("class").alias("b")))
+        whole = classes.select("class", F.col("first.doc_id").alias("own")).distinct().join(
+            joined.withColumnRenamed("node", "class"), "class")
+        whole = whole.join(whole.groupBy("component").agg(F.min("own").alias("least")), "component").select("class", "least")
+        placed = placed.join(materialize(whole, "whole"), "class", "left").withColumn(
+            "class_id", F.coalesce("least", "class_id"))
     others = rows.where("doc_id is null or n = 0").select("doc_id", F.col("doc_id").alias("class_id"))
-    return placed.unionByName(others)
+    return placed.select("doc_id", "class_id").unionByName(others)
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one of smallest doc_id, with its columns; rows of null doc_id stay."""
-    classes = materialize(near_duplicates(docs), "classes")
-    ids = classes.where("doc_id = class_id").select(F.col("doc_id").alias("kept")).distinct()
-    kept = docs.join(ids, F.col("doc_id").cast("long") == F.col("kept"), "left_semi")
-    if not classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One row of each class of texts, the one of smallest doc_id, with its columns.
+
+    Rows of null doc_id stay, and of texts without words one row per doc_id and
+    text. Of rows that are equal in both, one stays.
+    """
+    rows, classes = text_classes(docs)
+    ids = classes.select(F.col("first.row").alias("row")).distinct().unionByName(
+        rows.where("doc_id is not null and n = 0").select("row").distinct())
+    again = rows.where("doc_id is not null").groupBy("row").count().where("count > 1")
+    name = "kept"
+    while name in docs.columns:
+        name = f"_{name}"
+    text, number = F.lower(F.col("text").cast("string")), F.col("doc_id").cast("long")
+    kept = docs.withColumn(name, F.xxhash64(number, text)).join(
+        ids.withColumnRenamed("row", name), name, "left_semi").where("doc_id is not null")
+    if not again.isEmpty():
+        kept = kept.dropDuplicates([name])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id is null"))

@@ -46,12 +46,16 @@ def family(rng, size, copies, edits):
     return out
 
 
-def test_classes_equal_brute_force(spark):
-    rng = random.Random(5)
+@pytest.mark.parametrize("seed", [5, 6])
+def test_classes_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
     passage = " ".join(f"common{i}" for i in range(30))
     texts = []
     for n, size in enumerate((60, 90, 150, 40, 300, 25, 7)):
         texts += family(rng, size, 14, 3)
+    for size in (9, 10, 14, 20):  # short texts with a word changed at an end
+        base = [f"{c}{rng.randint(0, 999)}" for c in "qwertyuiopasdfghjklz"[:size]]
+        texts += [" ".join(base), " ".join([*base[:-1], "else"]), " ".join(["now", *base[1:]])]
     texts += [f"{passage} {x}" for x in (" ".join(family(rng, 25, 0, 0)) for _ in range(25))]  # alike, but not enough
     rng.shuffle(texts)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -84,10 +88,47 @@ def test_hot_group_is_one_class_in_linear_work(spark, monkeypatch):
     assert found.class_id.nunique() == 2 and sum(pairs) < 30 * len(texts)
 
 
+def test_common_passage_brings_few_pairs(spark, monkeypatch):
+    """Documents that share a passage, but are not linked, are compared a few times each, not with each other."""
+    rng = random.Random(3)
+    passage = " ".join(f"common{i}" for i in range(60))
+    texts = [f"{passage} {family(rng, 50, 0, 0)[0]}" for _ in range(400)]
+    texts += family(rng, 110, 30, 2)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = []
+    compared = neardup._compared
+    monkeypatch.setattr(neardup, "_compared", lambda p, t: pairs.append(p.count()) or compared(p, t))
+    found = neardup.near_duplicates(df).toPandas()
+    assert found.class_id.nunique() == 401
+    assert sum(pairs[1:]) < len(texts) and sum(pairs) < 40 * len(texts)
+
+
+def test_edited_texts_of_all_lengths(spark):
+    """Borderline links of short and long texts are found: at least 0.98 of them at each length."""
+    rng = random.Random(9)
+    for words in (5, 6, 7, 8, 9, 10, 12, 14, 18, 25, 40, 60, 80, 120):
+        n = max(1, words - 4)
+        missed = total = 0
+        for _ in range(120):
+            base = [f"w{rng.randint(0, 10 ** 9)}" for _ in range(words)]
+            cut = int(0.2 * n + 1e-9)
+            other = base[:words - cut] + [f"x{rng.randint(0, 10 ** 9)}" for _ in range(cut)]  # `cut` runs differ
+            if rng.random() < 0.5:
+                base, other = base[::-1], other[::-1]
+            rows = []
+            for text in (base, other):
+                held = neardup.split_words(neardup.pa.array([" ".join(text)]))
+                runs_, first = neardup.grams(held.hash, held.first, neardup.GRAM)
+                rows.append(set(neardup.bucket_keys(np.diff(first), neardup.order_minhash(runs_, first))[0].tolist()))
+            total += 1
+            missed += not rows[0] & rows[1]
+        assert missed <= 0.02 * total, (words, missed)
+
+
 def test_order_is_part_of_the_picks():
     a = np.arange(40, dtype=np.uint64) * np.uint64(977)
-    same, other = (neardup.order_minhash(neardup.mix(x), np.array([0, 40])) for x in (a, a[::-1].copy()))
-    assert (same == neardup.order_minhash(neardup.mix(a), np.array([0, 40]))).all() and (same != other).mean() > 0.7
+    same, other = (neardup.order_minhash(neardup.mix(x), np.array([0, 40]))[4] for x in (a, a[::-1].copy()))
+    assert (same == neardup.order_minhash(neardup.mix(a), np.array([0, 40]))[4]).all() and (same != other).mean() > 0.7
 
 
 def test_components(spark):
@@ -117,3 +158,14 @@ def test_odd_rows(spark):
 def test_shared_ids(spark, texts, classes):
     df = spark.createDataFrame(texts, "doc_id long, text string")
     assert {r.class_id for r in neardup.near_duplicates(df).collect()} == classes
+
+
+def test_rows_of_one_id_are_kept_by_text(spark):
+    rows = [(5, "one two three four five six"), (5, "another text of some more words"),
+            (7, "Another text of some more words!"), (9, ""), (9, None), (9, ""), (8, "one two three four five six")]
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows],
+                               "doc_id long, text string, kept string, _kept int, row int")
+    found = neardup.keep_first(df)
+    assert found.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == sorted(
+        [rows[0], rows[1], (9, ""), (9, None)], key=str)
