@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.session import materialize, release
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, component) for each node of `links` (a, b): the smallest node of its component.
 
     In each round every node joins the neighbour (or itself) of smallest hashed
@@ -16,12 +16,13 @@ def components(links: DataFrame) -> DataFrame:
     change from round to round, so the rounds grow with the logarithm of the
     nodes, also for long chains. Nothing is collected; nodes with many links
     are pre-aggregated, and joins on them can be split. The result is a table of
-    its own, which `release` removes.
+    its own, which `release` removes. With a limit of `rounds`, nodes of one group
+    are connected, but a component may be in several groups still.
     """
     steps = []
     edges = materialize(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                         .distinct(), "links")
-    while not edges.isEmpty():
+    while (rounds is None or len(steps) < rounds) and not edges.isEmpty():
         turn = len(steps)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 

@@ -53,6 +53,7 @@ CLASS = 1.5  # lengths of a class differ by this factor at most
 PICKED = {2: 6, 3: 9, 4: 99}  # runs that a function picks: the last class of lengths it does so for
 MORE = 8
 _OFTEN = 16
+_ROUNDS = 2  # of joining linked documents between rounds of comparisons; whole components come last
 
 
 def labelled_runs(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -269,8 +270,11 @@ def _leaders(active: DataFrame, turn: int) -> DataFrame:
 
 
 def _placed(active: DataFrame, links: DataFrame) -> DataFrame:
-    """`active` with the class that links so far give each document, without buckets of one class."""
-    found = components(links)
+    """`active` with a group that links so far put each document in, without buckets of one group.
+
+    Documents of one group are connected, which is all that saves comparisons.
+    """
+    found = components(links, _ROUNDS)
     classed = materialize(active.drop("class").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
         "key", "doc", "n", "settled", F.coalesce("component", "doc").alias("class")), "classed")
     mixed = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")

@@ -81,8 +81,7 @@ with whole as (
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), pairs as (
   select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
-  from whole q join whole c on q.vec_id <> c.vec_id
-  where q.vec_id % 50 = 0
+  from (select distinct vec_id, v from whole where vec_id % 50 = 0) q join whole c on q.vec_id <> c.vec_id
 ), ranked as (
   select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score
   from pairs

@@ -1,7 +1,7 @@
 """Exact top-k search by tiled matrix products.
 
-Queries are cut into tiles and candidates into shards, both by a hash of their
-id and both of bounded size; each (tile, shard) cell is one matrix product in
+Queries are cut into tiles and candidates into shards, both by a hash of id and
+vector and both of bounded size; each (tile, shard) cell is one matrix product in
 numpy with a partial selection of k per query. The cells' lists are merged up a
 tree, `fan` shards at a time, until one list per query is left. Nothing is
 broadcast. The work is |queries| x |candidates|, as an exact search asks for;
@@ -11,10 +11,11 @@ Components are integers, and products are exact: they are computed in double
 precision, and refused if a score could reach 2^53.
 
 Defined results: rows with a null id, a null vector, or a null or non-finite
-component take no part; a query is not its own candidate; rows that repeat an
-id count once (the smallest vector by content); vectors of different lengths
-have no score with each other; ties go to the smaller id; a query with fewer
-candidates than k gets them all. An empty side gives no rows.
+component take no part; a query's candidates are all rows of other ids, and rows
+that are equal in id and vector are as many candidates; query rows of one id are
+one query of all their pairs, equal ones counted once; vectors of different
+lengths have no score with each other; ties go to the smaller id; a query with
+fewer candidates than k gets them all. An empty side gives no rows.
 """
 
 from __future__ import annotations
@@ -52,9 +53,8 @@ def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[
 
 
 def _matrices(rows: pd.DataFrame, vector: str):
-    """(width, ids, matrix) for each vector length, without repeated ids, ids ascending."""
-    rows = rows.assign(width=[len(v) for v in rows[vector]], bytes=[v.tobytes() for v in rows[vector]])
-    rows = rows.sort_values(["id", "bytes"]).drop_duplicates("id")
+    """(width, ids, matrix) for each vector length, ids ascending."""
+    rows = rows.assign(width=[len(v) for v in rows[vector]]).sort_values("id", kind="stable")
     for width, group in rows.groupby("width"):
         matrix = np.concatenate(group[vector].to_numpy()).astype(np.float64).reshape(len(group), width)
         yield width, group["id"].to_numpy(np.int64), matrix
@@ -91,17 +91,20 @@ def exact_topk(queries: DataFrame, candidates: DataFrame, k: int = K, tile_rows:
     """
     queries, candidates = (side.where("id is not null and v is not null").select(
         F.col("id").alias("id"), F.col("v").alias("v")) for side in (queries, candidates))
-    candidates = candidates.withColumnRenamed("v", "w")
+    queries = queries.distinct()
+    # of equal rows no more than k can be among the k best
+    copies = F.sequence(F.lit(1).cast("long"), F.least(F.col("count"), F.lit(k).cast("long")))
+    candidates = candidates.groupBy("id", "v").count().select("id", F.col("v").alias("w"), F.explode(copies).alias("copy"))
     tiles = max(1, -(-queries.count() // tile_rows))
     shards = max(1, -(-candidates.count() // shard_rows))
 
     def numbered(side: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
         each = F.sequence(F.lit(0), F.lit(others - 1))
-        return (side.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+        return (side.withColumn(own, F.pmod(F.xxhash64(*side.columns), F.lit(parts)).cast("int"))
                 .withColumn(other, F.explode(each)))
 
     left = numbered(queries, "tile", tiles, "shard", shards)
-    right = numbered(candidates, "shard", shards, "tile", tiles)
+    right = numbered(candidates, "shard", shards, "tile", tiles).drop("copy")
     lists = (left.groupBy("tile", "shard").cogroup(right.groupBy("tile", "shard"))
              .applyInPandas(_cell(k, BLOCK_ROWS), "query_id long, shard int, vec_id long, score long"))
     order = [F.col("score").desc(), F.col("vec_id")]

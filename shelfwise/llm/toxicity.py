@@ -45,6 +45,7 @@ DISCOUNT = 0.75
 TOP = (1, 2, 4)  # how many of the most toxic words are averaged
 SAMPLE_ROWS = 20_000
 PIECE = 1 << 20  # bytes of text scored at once
+KNOWN_WORDS = 1 << 22  # words whose differences a task keeps, 16 bytes each
 LABEL_ROWS = 1 << 21  # labels are broadcast up to here (16 bytes each), shuffled beyond
 _PAD, _END = "\x02", "\x03"
 _BASE = 0x9E3779B97F4A7C15
@@ -133,7 +134,32 @@ class Models(NamedTuple):
         return np.add.reduceat(each, begin)
 
 
-def evidence(texts: pa.Array, models: Models) -> np.ndarray:
+class Known:
+    """Differences of the words that a task has met, by their hashes; forgotten when they get too many."""
+
+    def __init__(self, models: Models):
+        self.models = models
+        self.keys, self.told = np.zeros(0, np.uint64), np.zeros(0)
+
+    def differences(self, words: Words, which: np.ndarray) -> np.ndarray:
+        """Of chosen words, all different, by ascending hash."""
+        hashes = words.hash[which]
+        spot = np.searchsorted(self.keys, hashes)
+        held = spot < len(self.keys)
+        held[held] = self.keys[spot[held]] == hashes[held]
+        out = np.empty(len(which))
+        out[held] = self.told[spot[held]]
+        new = np.flatnonzero(~held)
+        if len(new):
+            out[new] = self.models.differences(words, which[new])
+            if len(self.keys) + len(new) > KNOWN_WORDS:
+                self.keys, self.told, spot = self.keys[:0], self.told[:0], np.zeros_like(spot)
+            self.keys = np.insert(self.keys, spot[new], hashes[new])
+            self.told = np.insert(self.told, spot[new], out[new])
+        return out
+
+
+def evidence(texts: pa.Array, models: Models | Known) -> np.ndarray:
     """Normalised differences of each text: the whole, the top words; and its log length. Texts are lowered before."""
     words = split_words(texts)
     out = np.zeros((len(texts), len(TOP) + 2))
@@ -241,7 +267,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Toxicity(NamedTuple):
-    models: Models
+    models: Models | Known
     weights: np.ndarray
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -268,7 +294,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, unseen: Column, sample_rows
     sample = hash_sample(labels.where(unseen), sample_rows, ["doc_id"])
 
     def batches(found):
-        models = Models.of(shared.value)
+        models = Known(Models.of(shared.value))
         for batch in found:
             for part in slices(batch, "text", PIECE):
                 x = pa.array(list(evidence(part.column("text"), models)), pa.list_(pa.float64()))
@@ -292,7 +318,7 @@ def score_toxicity(docs: DataFrame, model: Toxicity | None) -> DataFrame:
     shared, weights = docs.sparkSession.sparkContext.broadcast(model.models.plain()), model.weights
 
     def batches(found):
-        model = Toxicity(Models.of(shared.value), weights)
+        model = Toxicity(Known(Models.of(shared.value)), weights)
         for batch in found:
             for part in slices(batch, "text", PIECE):
                 yield pa.RecordBatch.from_arrays(

@@ -110,3 +110,15 @@ def test_odd_rows(spark):
     assert toxicity.fit_toxicity(docs, labels.where("toxic = 0"), F.lit(False)) is None
     assert toxicity.score_toxicity(docs, None).where("toxic_score <> 0").isEmpty()
     assert toxicity.score_toxicity(no_documents(spark), model).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1 << 22, 12, 0])
+def test_kept_words_change_nothing(case, monkeypatch, limit):
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", limit)
+    _, models = case
+    rng, known = np.random.default_rng(1), toxicity.Known(models)
+    pool = ["cat", "bad", "vile", "the", *("".join(rng.choice(list("abcde"), 4)) for _ in range(60))]
+    for _ in range(12):
+        texts = pa.array([" ".join(rng.choice(pool, rng.integers(0, 9))) for _ in range(5)])
+        assert (toxicity.evidence(texts, known) == toxicity.evidence(texts, models)).all()
+    assert len(known.keys) == len(known.told) and (np.diff(known.keys.astype(object)) > 0).all()
