@@ -197,6 +197,20 @@ def _vectors(df: DataFrame, key: str, vector: str, out: str) -> DataFrame:
         F.col(key).cast("bigint").alias(out), F.col(vector).alias("v"))
 
 
+def _has_repeats(df: DataFrame, key: str, vector: str) -> bool:
+    """Whether rows with a vector share a key; only keys are shuffled, counted in the map tasks first."""
+    keys = _vectors(df, key, vector, "k").where(F.col("k").isNotNull())
+    return not keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def one_row_per_key(df: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
+    """The row of smallest vector for each key, key and vector only. Rows of one key meet only if there are any."""
+    rows = df.where(F.col(vector).isNotNull()).select(key, vector)
+    if not _has_repeats(df, key, vector):
+        return rows
+    return rows.groupBy(key).agg(F.min(vector).alias(vector))
+
+
 class Side(NamedTuple):
     """One side of the comparison: its rows, and their broadcast if they are few."""
 
@@ -229,6 +243,8 @@ def prepare_side(df: DataFrame, key: str, vector: str = "embedding", *, out: str
 def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_key, candidate_key,
             vector, exclude_self, digits, broadcast_rows, block_rows) -> DataFrame:
     prepare, score = _METRICS[metric]
+    if k is not None:
+        queries = one_row_per_key(queries, query_key, vector)
     if not isinstance(catalogue, Side):
         catalogue = prepare_side(catalogue, candidate_key, vector, broadcast_rows=broadcast_rows)
 
@@ -315,8 +331,9 @@ def topk(queries: DataFrame, catalogue: DataFrame | Side, k: int = 5, metric: st
          broadcast_rows: int = BROADCAST_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The k nearest catalogue rows of every query: (query_id, rank, candidate_id, score).
 
-    Keys are unique whole numbers. For `euclidean` the score is minus the
-    squared distance. A query that is itself in the catalogue finds itself
+    Catalogue keys are unique whole numbers. Of query rows that share a key, one
+    counts, the smallest vector in the order of its elements, on every route. For
+    `euclidean` the score is minus the squared distance. A query that is itself in the catalogue finds itself
     unless `exclude_self` is set. Inputs with a costly history should be
     written to a table first, as large ones are read more than once.
     """

@@ -208,6 +208,18 @@ def oracle_sql() -> dict[str, str]:
             cross join (select distinct p_name term from part) t
             cross join (values (1), (2)) p(page) where page <= max_pages
             union all select 'Vogue', null, 1, 'https://www.vogue.in/fashion'""",
+        "due_urls": """
+            select site, term, cast(page as bigint) page,
+              concat(prefix, replace(term, ' ', blank), suffix,
+                case when paged then concat('&page=', cast(page as varchar)) else '' end) url,
+              case when site = 'Myntra' then 1::bigint else 0::bigint end attempts
+            from (values ('Amazon', 'https://www.amazon.in/s?k=', '+', '&rh=n%3A1571271031', 2, true),
+              ('Flipkart', 'https://www.flipkart.com/search?q=', '%20', '', 2, true),
+              ('Myntra', 'https://www.myntra.com/', '-', '', 1, false)
+            ) s(site, prefix, blank, suffix, max_pages, paged)
+            cross join (select distinct p_name term from part) t
+            cross join (values (1), (2)) p(page)
+            where page <= max_pages and (page = 2 or site = 'Myntra' and length(term) <= 12)""",
         "cross_frontier": """select term, site, paged
             from (values ('Amazon', true), ('Flipkart', true), ('Myntra', false), ('H&M', false)) s(site, paged)
             cross join (select distinct p_name term from part) t""",
@@ -431,6 +443,16 @@ def oracle_sql() -> dict[str, str]:
               select *, row_number() over (partition by user_id, event_type
                 order by event_id % 4, event_id) rn from events) e
             where rn = 1""",
+        "stream_first_after_gap": """select event_id, user_id, event_type from (
+              select *, lag(ts) over (partition by user_id, event_type order by ts, event_id) seen from events) e
+            where seen is null or ts - seen > interval 6 hours""",
+        "stream_recommend_current": """
+            select query_id, rank, candidate_id, similarity, catalogue_version from (
+              select *, row_number() over (partition by query_id order by similarity desc, candidate_id) rank
+              from (select a.vec_id query_id, b.vec_id candidate_id, a.vec_id // 2 % 2 + 1 catalogue_version,
+                      round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) similarity
+                    from embeddings a join embeddings b on b.vec_id % 2 = a.vec_id // 2 % 2) s) r
+            where rank <= 5""",
         "write_ranked_csv": f"with {SCORED} select product_id, name, round(popularity, 6) popularity from scored",
         "write_summary_json": f"""with {CLEAN} select cast(sum(count(*)) over () as bigint) total_products,
               source, count(*) n, cast(5 as bigint) n_terms from product_clean group by source""",

@@ -25,12 +25,13 @@ from shelfwise.plans import catalogue, pictures
 from shelfwise.schema import IMAGE_METADATA, SEARCH_TERMS, SUMMARY, TRAINING_RATING
 from shelfwise.session import fresh_path, materialize, shuffle_partitions
 from shelfwise.sinks import files
-from shelfwise.sources import frontier
+from shelfwise.sources import frontier, harvest
 from shelfwise.sources.images import decode_images, product_of_crop, scan_images
 from shelfwise.sources.models import load_model
 from shelfwise.sources.pages import host_of, scan_pages
 from shelfwise.sources.products import add_default_column, read_products
-from shelfwise.streaming.dedup import stream_dedup
+from shelfwise.streaming.catalogue import CurrentCatalogue, publish, stream_recommend_current
+from shelfwise.streaming.dedup import stream_dedup, stream_first_after_gap
 from shelfwise.streaming.recommend import stream_recommend
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +107,20 @@ def _crawl_frontier(spark, sf):
     return plan.withColumn("page", big("page"))
 
 
+@query("due_urls")
+def _due_urls(spark, sf):
+    """First pages were fetched: held, but for one site that failed, at long terms too often."""
+    table, path, buckets = f"ledger_{uuid.uuid4().hex}", fresh_path(spark, "ledger"), shuffle_partitions(spark)
+    plan = materialize(frontier.crawl_frontier(b.search_terms(spark, sf)), "frontier")
+    status = F.when(F.col("site") == "Myntra", "failed").otherwise("ok")
+    first = plan.where("page = 1").withColumn("status", status)
+    harvest.record_fetches(first, table, path, buckets)
+    for _ in range(2):
+        harvest.record_fetches(first.where("status = 'failed' and length(term) > 12"), table, path, buckets)
+    due = harvest.due_urls(plan, harvest.open_ledger(spark, table, path, buckets))
+    return due.select("site", "term", big("page").alias("page"), "url", big("attempts").alias("attempts"))
+
+
 @query("cross_frontier")
 def _cross_frontier(spark, sf):
     return frontier.term_sites(b.search_terms(spark, sf)).select("term", "site", "paged")
@@ -759,6 +774,40 @@ def _stream_dedup_events(spark, sf):
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
+@query("stream_first_after_gap")
+def _stream_first_after_gap(spark, sf):
+    """Quarters of the events by time, each a run of its own that resumes from the checkpoint."""
+    events = b.table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).select(F.struct("low", "high")).scalar()
+    at = F.col("ts").cast("double")
+    share = (at - ends["low"].cast("double")) / (ends["high"].cast("double") - ends["low"].cast("double"))
+    parts = fresh_path(spark, "stream-quarters")
+    events.withColumn("quarter", F.least(F.floor(share * 4), F.lit(3)).cast("int")).write.partitionBy("quarter").parquet(parts)
+    source, out, state = (fresh_path(spark, n) for n in ("stream-events", "stream-gaps", "stream-state"))
+    held = spark.read.parquet(parts)
+    for quarter in range(4):
+        held.where(F.col("quarter") == quarter).drop("quarter").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        stream_first_after_gap(stream, out, state, ["user_id", "event_type"], "ts", "event_id", 6 * 3600).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type")
+
+
+@query("stream_recommend_current")
+def _stream_recommend_current(spark, sf):
+    """Half of the queries against a first catalogue, the others after it was replaced."""
+    vectors = _vectors(spark, sf).select("vec_id", "embedding")
+    store, source, out, state = (fresh_path(spark, n) for n in ("catalogue", "queries", "stream-hits", "stream-state"))
+    current = CurrentCatalogue(spark, store, "vec_id")
+    for turn in range(2):
+        publish(vectors.where(F.col("vec_id") % 2 == turn), store)
+        vectors.where(F.floor(F.col("vec_id") / 2) % 2 == turn).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(vectors.schema).parquet(source)
+        stream_recommend_current(stream, current, out, state, query_key="vec_id").awaitTermination()
+    return spark.read.parquet(out).select("query_id", big("rank").alias("rank"), "candidate_id", "similarity",
+                                          big("catalogue_version").alias("catalogue_version"))
+
+
 # --- sinks -----------------------------------------------------------------
 
 @query("write_ranked_csv")

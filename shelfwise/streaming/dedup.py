@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shelfwise.operators.clean import PRODUCT_KEYS, first_per_key
 from shelfwise.session import materialize, release
@@ -63,3 +67,58 @@ def _written(spark: SparkSession, out: str, like: DataFrame) -> DataFrame | None
 def stream_dedup_within(records: DataFrame, keys, event_time: str, horizon: str) -> DataFrame:
     """First record per key within a time horizon, with state bounded by it."""
     return records.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
+
+
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def first_after_gap(records: DataFrame, keys, event_time: str, order: str, gap_seconds: int,
+                    delay: str = "0 seconds") -> DataFrame:
+    """(keys, event_time, order) of records whose key was not seen for longer than the gap before them.
+
+    A key's state is the time it was last seen, kept until the watermark, the
+    newest event time less `delay`, has passed it by the gap. So the state is
+    bounded by the keys of one gap, and not by the keys of the stream. Inside a
+    batch records go by (event_time, order), whole numbers. A record behind the
+    watermark is late and dropped; one that is not late, but older than the
+    newest of its key, starts nothing. Null keys are keys; null times are dropped.
+    """
+    gap = pd.Timedelta(seconds=gap_seconds)
+    rows = records.where(F.col(event_time).isNotNull()).select(*keys, F.col(event_time).alias("t"), F.col(order).alias("o"))
+    kinds = dict(rows.dtypes)
+
+    def first(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        found = pd.concat(list(batches)).sort_values(["t", "o"], kind="stable")
+        seen = found["t"].cummax().shift()
+        if state.exists:
+            seen = seen.fillna(pd.Timestamp.min).clip(lower=pd.Timestamp(state.get[0], unit="us"))
+        newest = max(found["t"].max(), seen.max()) if seen.notna().any() else found["t"].max()
+        state.update((newest.value // 1000,))
+        state.setTimeoutTimestamp(max(int((newest + gap).value // 1_000_000) + 1, state.getCurrentWatermarkMs() + 1))
+        starts = found[seen.isna() | (found["t"] - seen > gap)]
+        yield starts[[*keys, "t", "o"]]
+
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, "t", "o"])
+    return (rows.withWatermark("t", delay).groupBy(*keys).applyInPandasWithState(
+        first, schema, "seen bigint", "append", GroupStateTimeout.EventTimeTimeout)
+        .withColumnsRenamed({"t": event_time, "o": order}))
+
+
+def stream_first_after_gap(records: DataFrame, out: str, checkpoint: str, keys, event_time: str, order: str,
+                           gap_seconds: int, delay: str = "0 seconds") -> StreamingQuery:
+    """`first_after_gap` into the folder `out`, with its state in RocksDB beside the checkpoint.
+
+    A restart goes on where the checkpoint ends, with the same state and watermark.
+    """
+    conf = records.sparkSession.conf
+    before = conf.get("spark.sql.streaming.stateStore.providerClass")
+    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    try:
+        return (first_after_gap(records, keys, event_time, order, gap_seconds, delay).writeStream
+                .format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start(out))
+    finally:
+        conf.set("spark.sql.streaming.stateStore.providerClass", before)

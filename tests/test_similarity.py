@@ -167,3 +167,13 @@ def test_kmeans_separates_clear_groups(spark):
     clustered = trends.cluster_products(df, trends.fit_clusters(df, 2)).collect()
     assert len({r["cluster"] for r in clustered if r["vec_id"] < 30}) == 1
     assert len({r["cluster"] for r in clustered}) == 2
+
+
+def test_repeated_query_keys_have_one_result_on_every_route(spark, data):
+    vectors = np.concatenate([data[:50], data[60:65], data[:2]])
+    queries = frame(spark, vectors, "query_id", [*range(50), *range(5), 0, 1]).repartition(4)
+    smallest = [min([list(data[i])] + ([list(data[60 + i])] if i < 5 else [])) for i in range(50)]
+    want = sorted(brute(np.array(smallest), data, 5))
+    for options in ROUTES.values():
+        hits = similarity.topk_similar(queries, frame(spark, data, "candidate_id").repartition(4), 5, **options)
+        assert sorted(tuple(r) for r in hits.collect()) == want

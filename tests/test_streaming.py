@@ -8,7 +8,8 @@ from shelfwise.operators.similarity import topk_similar
 from shelfwise.plans import registry
 from shelfwise.plans.bindings import table
 from shelfwise.session import fresh_path, work_dir
-from shelfwise.streaming.dedup import stream_dedup, stream_dedup_within
+from shelfwise.streaming.catalogue import CurrentCatalogue, publish, stream_recommend_current
+from shelfwise.streaming.dedup import stream_dedup, stream_dedup_within, stream_first_after_gap
 from shelfwise.streaming.recommend import stream_recommend
 
 
@@ -107,3 +108,74 @@ def test_dedup_query_reads_every_event(spark, tmp_path):
     found = registry._stream_dedup_events(spark, str(tmp_path)).collect()
     assert sorted((tuple(r) for r in found), key=str) == sorted(
         [(None, 1, "a"), (4, 2, "a"), (-1, 3, "b"), (5, 4, None)], key=str)
+
+
+def gaps(spark, path, out, state, **options):
+    stream = source(spark, path, "event_id long, user_id long, ts timestamp")
+    stream_first_after_gap(stream, out, state, ["user_id"], "ts", "event_id", 60, **options).awaitTermination()
+    return sorted((r["event_id"] for r in spark.read.schema("event_id long").parquet(out).collect()))
+
+
+def timed(spark, path, rows):
+    spark.createDataFrame(rows, "event_id long, user_id long, s long").selectExpr(
+        "event_id", "user_id", "timestamp_seconds(1000000 + s) as ts").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_first_after_gap_over_restarts(spark):
+    path, out, state = (fresh_path(spark, n) for n in ("events", "kept", "state"))
+    timed(spark, path, [(1, 1, 0), (2, 1, 60), (3, 1, 121), (4, 2, 5), (5, None, 7), (6, 1, 121), (0, 3, None)])
+    assert gaps(spark, path, out, state) == [1, 3, 4, 5]
+    timed(spark, path, [(7, 1, 180), (8, 2, 300), (9, None, 400)])  # 7 goes on from the state of the run before
+    assert gaps(spark, path, out, state) == [1, 3, 4, 5, 8, 9]
+    timed(spark, path, [(10, 4, 10), (11, 1, 401)])  # 10 is behind the watermark
+    assert gaps(spark, path, out, state) == [1, 3, 4, 5, 8, 9, 11]
+
+
+def test_records_that_are_out_of_order_but_not_late(spark):
+    path, out, state = (fresh_path(spark, n) for n in ("events", "kept", "state"))
+    timed(spark, path, [(1, 1, 500)])
+    assert gaps(spark, path, out, state, delay="10 minutes") == [1]
+    timed(spark, path, [(2, 1, 100), (3, 1, 550), (4, 2, 100)])
+    assert gaps(spark, path, out, state, delay="10 minutes") == [1, 4]
+    timed(spark, path, [(5, 1, 611)])
+    assert gaps(spark, path, out, state, delay="10 minutes") == [1, 4, 5]
+
+
+def test_state_is_bounded_by_the_gap(spark):
+    path, out, state = (fresh_path(spark, n) for n in ("events", "kept", "state"))
+    rows = []
+    for batch in range(4):
+        timed(spark, path, [(100 * batch + i, 100 * batch + i, 1000 * batch + i) for i in range(40)])
+        stream = source(spark, path, "event_id long, user_id long, ts timestamp")
+        query = stream_first_after_gap(stream, out, state, ["user_id"], "ts", "event_id", 60)
+        query.awaitTermination()
+        rows.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert max(rows) <= 80 and rows[-1] <= 80  # of 160 keys
+    assert spark.read.schema("event_id long").parquet(out).count() == 160
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_hits_follow_the_catalogue(spark, vectors):
+    store, path, out, state = (fresh_path(spark, n) for n in ("catalogue", "queries", "hits", "state"))
+    current = CurrentCatalogue(spark, store, "vec_id")
+    keys = {"query_key": "vec_id"}
+
+    def run(rows):
+        rows.write.mode("append").parquet(path)
+        stream_recommend_current(source(spark, path, vectors.schema), current, out, state, **keys).awaitTermination()
+        return {(r["query_id"], r["rank"], r["candidate_id"], r["catalogue_version"])
+                for r in spark.read.parquet(out).collect()}
+
+    with pytest.raises(Exception, match="no catalogue"):
+        run(vectors.where("vec_id = 3"))
+    assert publish(vectors.where("vec_id < 20"), store) == 1
+    run(vectors.where("vec_id = 4"))
+    hits = run(vectors.where("vec_id = 5"))
+    assert current.preparations == 1 and {h[3] for h in hits} == {1} and max(h[2] for h in hits) < 20
+    assert publish(vectors.where("vec_id >= 20"), store) == 2
+    new = run(vectors.where("vec_id = 6")) - hits
+    assert current.preparations == 2 and {h[3] for h in new} == {2} and min(h[2] for h in new) >= 20
+    vectors.write.parquet(f"{store}/version=9")
+    os.remove(f"{store.removeprefix('file:')}/version=9/_SUCCESS")  # not published whole
+    run(vectors.where("vec_id = 7"))
+    assert current.preparations == 2 and current.version == 2
