@@ -52,6 +52,7 @@ HASHES = 24
 CLASS = 1.5  # lengths of a class differ by this factor at most
 PICKED = {2: 6, 3: 9, 4: 99}  # runs that a function picks: the last class of lengths it does so for
 MORE = 8
+WANTED_ROWS = 1 << 20  # rows whose texts are fetched for comparison are named by broadcast up to here (16 bytes each)
 _OFTEN = 16
 _ROUNDS = 2  # of joining linked documents between rounds of comparisons; whole components come last
 
@@ -332,7 +333,8 @@ def find_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
         if texts is None:
             met = hits.select("doc").union(hits.select("leader")).distinct()
             wanted = materialize(reps.select("doc", "row").join(met, "doc"), "wanted")
-            texts = materialize(_keyed(docs).join(wanted, "row").select("doc", "text"), "texts")
+            few = wanted.count() <= WANTED_ROWS
+            texts = materialize(_keyed(docs).join(F.broadcast(wanted) if few else wanted, "row").select("doc", "text"), "texts")
             release(wanted)
             active = hits.select("key", "doc", "n", "settled")  # buckets of one document are done
             done = told = materialize(_compared(pairs, texts), "told")

@@ -31,6 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -217,6 +218,7 @@ def _hashed(grams: DataFrame, k: int, values: list[str]) -> list[np.ndarray]:
     rows = grams.select("gram", *values).mapInArrow(batches, f"key long, {kinds}").toArrow()
     keys = rows["key"].to_numpy().astype(np.uint64)
     order = np.argsort(keys)
+    pa.default_memory_pool().release_unused()
     return [keys[order], *(np.append(rows[v].to_numpy()[order], 0).astype(np.float32) for v in values)]
 
 
@@ -267,8 +269,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Toxicity(NamedTuple):
+    """`shared`: the models as a broadcast, if they were sent to workers before."""
+
     models: Models | Known
     weights: np.ndarray
+    shared: Broadcast | None = None
 
     def score(self, texts: pa.Array) -> np.ndarray:
         z = evidence(texts, self.models) @ self.weights[:-1] + self.weights[-1]
@@ -303,11 +308,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, unseen: Column, sample_rows
     rows = (texts.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", F.lower("text").alias("text"))
             .mapInArrow(batches, "doc_id long, toxic int, x array<double>")
             .orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample_rows).toArrow())
-    shared.unpersist()
     y = rows["toxic"].to_numpy()
     if len(np.unique(y)) < 2:  # too few to fit: any toxic evidence counts
-        return Toxicity(models, np.array([1.0] * (len(TOP) + 1) + [0.0, -6.0]))
-    return Toxicity(models, fit_logistic(np.array(rows["x"].to_pylist()), y))
+        return Toxicity(models, np.array([1.0] * (len(TOP) + 1) + [0.0, -6.0]), shared)
+    return Toxicity(models, fit_logistic(np.array(rows["x"].to_pylist()), y), shared)
 
 
 def score_toxicity(docs: DataFrame, model: Toxicity | None) -> DataFrame:
@@ -315,7 +319,8 @@ def score_toxicity(docs: DataFrame, model: Toxicity | None) -> DataFrame:
     rows = docs.select("doc_id", F.lower(F.col("text").cast("string")).alias("text"))
     if model is None:
         return rows.select("doc_id", F.lit(0.0).alias("toxic_score"))
-    shared, weights = docs.sparkSession.sparkContext.broadcast(model.models.plain()), model.weights
+    shared = model.shared or docs.sparkSession.sparkContext.broadcast(model.models.plain())
+    weights = model.weights
 
     def batches(found):
         model = Toxicity(Known(Models.of(shared.value)), weights)
