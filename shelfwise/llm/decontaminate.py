@@ -278,7 +278,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS) -> DataFrame:
     """Documents that hold no item, with their columns."""
     spark = docs.sparkSession
-    lowered = "lowered_text_to_search"
+    lowered = "lowered"
+    while lowered in docs.columns:
+        lowered = f"_{lowered}"
 
     def clean(docs, index):
         shared = spark.sparkContext.broadcast(tuple(index))

@@ -91,3 +91,11 @@ def test_odd_rows(spark):
     assert dc.find_contamination(no_documents(spark), bench).count() == 0
     assert dc.find_contamination(docs, bench.limit(0)).count() == 0
     assert dc.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_clashing_columns_are_kept(spark):
+    item = " ".join(f"word{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"before {item} after", "a", 2), (2, "clean text", "b", 3)],
+                                 "doc_id long, text string, lowered string, _lowered int")
+    found = dc.drop_contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert found.columns == docs.columns and [tuple(r) for r in found.collect()] == [(2, "clean text", "b", 3)]
