@@ -3,9 +3,10 @@
 Every document is read through windows as long as the benchmark's items, in
 words. A window and an item have 64-bit SimHash fingerprints of their words,
 which weigh `LONG` or 1 by length. An index over `BLOCKS` blocks of the items'
-fingerprints marks every block value within `RADIUS // BLOCKS` bits of an
-item's: two fingerprints within `RADIUS` agree that closely in one block at
-least, so the index returns all of them. Candidates are verified exactly: the
+fingerprints lists, for every block value, the items within `RADIUS // BLOCKS`
+bits of it: two fingerprints within `RADIUS` agree that closely in one block at
+least, so the lists hold all of them, and a window is compared with a twentieth
+of the items of its size. Candidates are verified exactly: the
 similarity is the weight of the runs of `GRAM` words that window and item
 share (with multiplicity), over the weight of the item's or the window's,
 whichever is larger; from `SIMILAR` on a document holds the item.
@@ -13,7 +14,12 @@ whichever is larger; from `SIMILAR` on a document holds the item.
 Windows of long items start every `size // 13` words, and items whose lengths
 differ by less share windows; verification tries every start in between. Items
 are taken in blocks of about `ITEMS`, so what is broadcast is bounded; more
-items mean more passes.
+items mean more passes. Fingerprints are broadcast; a task makes the lists from
+them, some 6 KB an item and 2 MB a window size.
+
+A window at the verifier's own threshold may lie beyond the radius: of 100-word
+items with 15 consecutive words replaced (similarity 0.8 and more) a test finds
+over 0.9, of those without their last 16 words over 0.95.
 
 Defined results: words are compared without case and punctuation; items and
 documents without words match nothing; an item of fewer words than `GRAM` is
@@ -40,10 +46,11 @@ SIMILAR = 0.8
 RADIUS = 15
 BLOCKS = 4
 LONG = 2
-ITEMS = 20_000
+ITEMS = 10_000
 PIECE = 1 << 18
 _BITS = 64 // BLOCKS
 _ROWS = 512
+_COMPARED = 1 << 20
 
 
 def weights_of(words: Words) -> np.ndarray:
@@ -84,31 +91,65 @@ def stride(size: int) -> int:
     return max(1, size // 13)
 
 
-def block_table(prints: np.ndarray) -> np.ndarray:
-    """For each block, which values are near enough to an item's."""
-    near = [0] + [sum(1 << b for b in bits) for n in range(1, RADIUS // BLOCKS + 1)
-                  for bits in combinations(range(_BITS), n)]
-    table = np.zeros((BLOCKS, 1 << _BITS), bool)
-    for i in range(BLOCKS):
-        own = np.unique(prints >> np.uint64(i * _BITS) & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-        for mask in near:
-            table[i, own ^ mask] = True
-    return table
+class Lists(NamedTuple):
+    """For each block, how many items lie near a value, where their list begins, and the lists."""
+
+    count: np.ndarray
+    begin: np.ndarray
+    items: list[np.ndarray]
+
+    @staticmethod
+    def of(prints: np.ndarray) -> Lists:
+        near = np.array([0] + [sum(1 << b for b in bits) for n in range(1, RADIUS // BLOCKS + 1)
+                               for bits in combinations(range(_BITS), n)], np.uint16)
+        kind = np.uint16 if len(prints) <= 1 << 16 else np.uint32
+        count, items = np.zeros((BLOCKS, 1 << _BITS), np.int32), []
+        for i, own in enumerate(prints.astype("<u8").view("<u2").reshape(-1, BLOCKS).T):
+            values = (own[:, None] ^ near).ravel()
+            count[i] = np.bincount(values, minlength=1 << _BITS)
+            items.append((np.argsort(values, kind="stable") // len(near)).astype(kind))
+        return Lists(count, np.cumsum(count, axis=1) - count, items)
+
+    def within(self, found: np.ndarray, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(window, item, distance) of all fingerprints in `found` and `prints` within the radius, each pair
+        once, by window; about `_COMPARED` pairs are compared at a time."""
+        blocks = found.view("<u2").reshape(-1, BLOCKS)
+        total = self.count[0][blocks[:, 0]]
+        for i in range(1, BLOCKS):
+            total += self.count[i][blocks[:, i]]
+        hit = np.flatnonzero(total)
+        upto = np.cumsum(total[hit], dtype=np.int64)
+        for part in np.split(hit, np.flatnonzero(np.diff(upto // _COMPARED)) + 1):
+            pairs = []
+            for i in range(BLOCKS):
+                value = blocks[part, i]
+                many = self.count[i][value]
+                owner = np.repeat(np.arange(len(part)), many)
+                at = np.arange(len(owner)) + np.repeat(self.begin[i][value] - (np.cumsum(many) - many), many)
+                item = self.items[i][at]
+                near = np.bitwise_count(found[part][owner] ^ prints[item]) <= RADIUS
+                pairs.append(owner[near] * len(prints) + item[near])
+            window, item = np.divmod(np.unique(np.concatenate(pairs)), len(prints))
+            yield part[window], item, np.bitwise_count(found[part[window]] ^ prints[item])
 
 
 class Index(NamedTuple):
-    """Items of one block: for each window size, its items, their fingerprints and block table; and each
-    item's runs, weights of runs, and number of words."""
+    """Items of one block: for each window size, its items and their fingerprints; and each item's runs,
+    weights of runs, and number of words. `listed` adds the lists of each size."""
 
-    ids: list
-    sizes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
+    ids: pa.Array
+    sizes: list[tuple[int, np.ndarray, np.ndarray]]
     runs: list[np.ndarray]
     run_weights: list[np.ndarray]
     words: np.ndarray
     member: np.ndarray
+    lists: list[Lists] | None = None
+
+    def listed(self) -> Index:
+        return self._replace(lists=[Lists.of(prints) for _, _, prints in self.sizes])
 
     @staticmethod
-    def of(ids: list, texts: list) -> Index:
+    def of(ids: pa.Array, texts: list) -> Index:
         words = split_words(pa.array([(t or "").lower() for t in texts], pa.large_string()))
         count = np.diff(words.first)
         sums = sign_sums(words, int(count.max(initial=0)))
@@ -120,8 +161,7 @@ class Index(NamedTuple):
         parts = []
         for size, own in sorted(sizes.items()):
             own = np.array(own)
-            prints = fingerprints(sums, words.first[own], words.first[own] + size)
-            parts.append((size, own, prints, block_table(prints)))
+            parts.append((size, own, fingerprints(sums, words.first[own], words.first[own] + size)))
         cut = [slice(a, b) for a, b in zip(first, first[1:])]
         member = [mix(runs[c] ^ mix(np.full(1, i, np.uint64))) for i, c in enumerate(cut)]
         return Index(ids, parts, [runs[c] for c in cut], [weight[c] for c in cut], count,
@@ -169,7 +209,7 @@ def candidates(words: Words, index: Index) -> Iterator[tuple[np.ndarray, np.ndar
     sums, row = sign_sums(words, int(index.words.max())), row_of(words.first)
     left = words.first[1:][row] - np.arange(len(row))  # words of the row from each word on
     room, room_signs = np.empty_like(sums), np.empty(sums.shape, bool)  # used again for each size
-    for size, own, prints, table in index.sizes:
+    for (size, own, prints), lists in zip(index.sizes, index.lists):
         start = grid(len(row), size)
         space, signs = room[:len(start)], room_signs[:len(start)]
         np.subtract(sums[size::stride(size)][:len(start)], sums[:max(len(row) - size + 1, 0):stride(size)], out=space)
@@ -177,17 +217,8 @@ def candidates(words: Words, index: Index) -> Iterator[tuple[np.ndarray, np.ndar
         inside = left[:max(len(row) - size + 1, 0):stride(size)] >= size
         more, end = outer_windows(words.first, size)
         start, found = np.concatenate([start[inside], more]), np.concatenate([found[inside], fingerprints(sums, more, end)])
-        blocks = found.view("<u2").reshape(-1, BLOCKS)
-        hit = np.zeros(len(found), bool)
-        for i in range(BLOCKS):
-            hit |= table[i][blocks[:, i]]
-        hit = np.flatnonzero(hit)
-        for at in range(0, len(hit), 1 + (1 << 20) // len(own)):
-            part = hit[at:at + 1 + (1 << 20) // len(own)]
-            distance = np.bitwise_count(found[part][:, None] ^ prints[None, :])
-            near = np.flatnonzero((distance <= RADIUS).ravel())
-            window, item = near // len(own), near % len(own)
-            yield start[part[window]], own[item], distance.ravel()[near]
+        for window, item, distance in lists.within(found, prints):
+            yield start[window], own[item], distance
 
 
 class Hit(NamedTuple):
@@ -200,7 +231,7 @@ class Hit(NamedTuple):
 
 
 def find_items(texts: pa.Array, index: Index) -> list[Hit]:
-    """The best window of each item that a text holds. Texts are lowered before."""
+    """The best window of each item that a text holds. Texts are lowered before, items listed."""
     words = split_words(texts)
     of_size: dict[int, tuple] = {}
     best: dict[tuple[int, int], Hit] = {}
@@ -241,27 +272,27 @@ def indexes(benchmark: DataFrame, items: int = ITEMS) -> Iterator[Index]:
     blocks = max(1, -(-rows.count() // items))
     for i in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).orderBy("item_id", "text").toArrow()
-        yield Index.of(part["item_id"].to_pylist(), part["text"].to_pylist())
+        yield Index.of(part["item_id"].combine_chunks(), part["text"].to_pylist())
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS) -> DataFrame:
     """(doc_id, item_id, start_word, end_word, similarity, distance): items that documents hold."""
     rows = docs.select("doc_id", F.lower(F.col("text").cast("string")).alias("text"))
-    kinds = dict(rows.dtypes) | dict(benchmark.dtypes)
-    schema = (f"doc_id {dict(rows.dtypes)['doc_id']}, item_id {kinds['item_id']}, start_word long, end_word long, "
+    kinds = dict(rows.dtypes) | {"item_id": dict(benchmark.dtypes)["item_id"]}
+    schema = (f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, start_word long, end_word long, "
               "similarity double, distance int")
 
     def search(index):
         shared = docs.sparkSession.sparkContext.broadcast(tuple(index))
 
         def batches(found):
-            index = Index(*shared.value)
+            index = Index(*shared.value).listed()
             for batch in found:
                 for part in slices(batch, "text", PIECE):
                     ids, hits = part.column("doc_id").to_pylist(), find_items(part.column("text"), index)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([ids[h.row] for h in hits], part.schema.field("doc_id").type),
-                         pa.array([index.ids[h.item] for h in hits], pa.int64()),
+                         index.ids.take(pa.array([h.item for h in hits], pa.int64())),
                          pa.array([h.start for h in hits], pa.int64()), pa.array([h.end for h in hits], pa.int64()),
                          pa.array([h.similarity for h in hits], pa.float64()),
                          pa.array([h.distance for h in hits], pa.int32())],
@@ -270,7 +301,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS
         return rows.mapInArrow(batches, schema)
 
     found = None
-    for index in indexes(benchmark.withColumn("item_id", F.col("item_id").cast("long")), items):
+    for index in indexes(benchmark, items):
         found = search(index) if found is None else found.unionByName(search(index))
     return found
 
@@ -286,7 +317,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS)
         shared = spark.sparkContext.broadcast(tuple(index))
 
         def batches(found):
-            index = Index(*shared.value)
+            index = Index(*shared.value).listed()
             for batch in found:
                 for part in slices(batch, lowered, PIECE):
                     keep = np.ones(part.num_rows, bool)
@@ -295,6 +326,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS)
 
         return docs.withColumn(lowered, F.lower(F.col("text").cast("string"))).mapInArrow(batches, docs.schema)
 
-    for index in indexes(benchmark.withColumn("item_id", F.col("item_id").cast("long")), items):
+    for index in indexes(benchmark, items):
         docs = clean(docs, index)
     return docs

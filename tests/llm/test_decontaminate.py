@@ -1,5 +1,4 @@
 import random
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +45,7 @@ def case():
 
 def test_equals_brute_force(case):
     items, docs = case
-    index = dc.Index.of(list(range(len(items))), [" ".join(i) for i in items])
+    index = dc.Index.of(pa.array(range(len(items))), [" ".join(i) for i in items]).listed()
     found = {(h.row, h.item): h.similarity for h in dc.find_items(pa.array([" ".join(d) for d in docs]), index)}
     expected = {}
     for d, words in enumerate(docs):
@@ -60,13 +59,57 @@ def test_equals_brute_force(case):
 
 def test_index_returns_all_within_the_radius():
     rng = np.random.default_rng(1)
-    prints = rng.integers(0, 2 ** 63, 5).astype(np.uint64)
-    table = dc.block_table(prints)
-    for _ in range(3000):
-        bits = rng.choice(64, rng.integers(0, dc.RADIUS + 1), replace=False)
-        value = int(prints[rng.integers(5)]) ^ sum(1 << int(b) for b in bits)
-        assert any(table[i][value >> (16 * i) & 0xFFFF] for i in range(dc.BLOCKS))
-    assert sum(1 for n in range(4) for _ in combinations(range(16), n)) * 5 >= table[0].sum()
+    prints = rng.integers(0, 2 ** 63, 300).astype(np.uint64)
+    found = prints[rng.integers(300, size=3000)]
+    for i in range(len(found)):
+        bits = rng.choice(64, rng.integers(0, 25), replace=False)
+        found[i] ^= np.uint64(sum(1 << int(b) for b in bits))
+    distance = np.bitwise_count(found[:, None] ^ prints)
+    expected = {(w, i): distance[w, i] for w, i in zip(*np.nonzero(distance <= dc.RADIUS))}
+    pairs = [p for w, i, d in dc.Lists.of(prints).within(found, prints) for p in zip(zip(w.tolist(), i.tolist()), d)]
+    assert len(pairs) > 1000 and len(pairs) == len(dict(pairs)) and dict(pairs) == expected
+    assert [w for (w, _), _ in pairs] == sorted(w for (w, _), _ in pairs)
+
+
+def test_index_selects_among_many_items():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(50_000)}" for _ in range(rng.randint(90, 110))) for _ in range(20_000)]
+    index = dc.Index.of(pa.array(range(len(texts))), texts).listed()
+    windows = np.random.default_rng(2).integers(0, 2 ** 63, 2000).astype(np.uint64)
+    blocks = windows.view("<u2").reshape(-1, dc.BLOCKS)
+    compared = sum(lists.count[i][blocks[:, i]].mean() for lists in index.lists for i in range(dc.BLOCKS))
+    assert compared < 0.05 * len(texts)
+    asked = [3, 777, 19_999]
+    hits = dc.find_items(pa.array([f"before {texts[i]} after" for i in asked]), index)
+    assert [(h.row, h.item, h.start, h.similarity) for h in hits] == [(r, i, 1, 1.0) for r, i in enumerate(asked)]
+
+
+def test_recall_near_the_threshold():
+    rng = random.Random(6)
+    draw = lambda n: [f"word{rng.randrange(3000)}" for _ in range(n)]
+    items = [draw(100) for _ in range(150)]
+    index = dc.Index.of(pa.array(range(150)), [" ".join(t) for t in items]).listed()
+    found = {}
+    for kind, least in (("replaced", 0.9), ("cut", 0.95)):
+        docs = []
+        for item in items:
+            at = rng.randint(0, 85)
+            copy = item[:at] + draw(15) + item[at + 15:] if kind == "replaced" else item[:84] + draw(16)
+            docs.append(draw(rng.randint(20, 80)) + copy + draw(40))
+        hits = {(h.row, h.item) for h in dc.find_items(pa.array([" ".join(d) for d in docs]), index)}
+        alike_enough = [i for i in range(150) if max(
+            alike(items[i], docs[i][a:a + 100]) for a in range(len(docs[i]) - 99)) >= dc.SIMILAR]
+        found[kind] = sum((i, i) in hits for i in alike_enough) / len(alike_enough)
+        assert len(alike_enough) > 60 and found[kind] >= least, found
+
+
+def test_item_ids_keep_their_type(spark):
+    bench = spark.createDataFrame([("item-a", " ".join(f"word{i}" for i in range(30)))], "item_id string, text string")
+    docs = spark.createDataFrame([(1, bench.first().text), (2, "clean")], "doc_id long, text string")
+    found = dc.find_contamination(docs, bench)
+    assert found.schema["item_id"].dataType.simpleString() == "string"
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, "item-a")]
+    assert [r.doc_id for r in dc.drop_contaminated(docs, bench).collect()] == [2]
 
 
 def test_query_forms(spark, case):
