@@ -50,7 +50,8 @@ ITEMS = 10_000
 PIECE = 1 << 18
 _BITS = 64 // BLOCKS
 _ROWS = 512
-_COMPARED = 1 << 20
+_COMPARED = 1 << 21
+_FEW = 32  # up to so many items are compared faster than their lists are read
 
 
 def weights_of(words: Words) -> np.ndarray:
@@ -92,8 +93,9 @@ def stride(size: int) -> int:
 
 
 class Lists(NamedTuple):
-    """For each block, how many items lie near a value, where their list begins, and the lists."""
+    """For each block, whether items lie near a value, how many, where their list begins, and the lists."""
 
+    listed: np.ndarray
     count: np.ndarray
     begin: np.ndarray
     items: list[np.ndarray]
@@ -108,29 +110,35 @@ class Lists(NamedTuple):
             values = (own[:, None] ^ near).ravel()
             count[i] = np.bincount(values, minlength=1 << _BITS)
             items.append((np.argsort(values, kind="stable") // len(near)).astype(kind))
-        return Lists(count, np.cumsum(count, axis=1) - count, items)
+        return Lists(count > 0, count, np.cumsum(count, axis=1) - count, items)
 
     def within(self, found: np.ndarray, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(window, item, distance) of all fingerprints in `found` and `prints` within the radius, each pair
-        once, by window; about `_COMPARED` pairs are compared at a time."""
-        blocks = found.view("<u2").reshape(-1, BLOCKS)
-        total = self.count[0][blocks[:, 0]]
-        for i in range(1, BLOCKS):
-            total += self.count[i][blocks[:, i]]
-        hit = np.flatnonzero(total)
-        upto = np.cumsum(total[hit], dtype=np.int64)
-        for part in np.split(hit, np.flatnonzero(np.diff(upto // _COMPARED)) + 1):
+        once, by window; windows are taken so many at a time that memory is bounded whatever the lists hold."""
+        step = 1 + _COMPARED // len(prints)
+        for first in range(0, len(found), step):
+            part = found[first:first + step]
+            if len(prints) <= _FEW:
+                hit = np.zeros(len(part), bool)
+                for i, value in enumerate(part.view("<u2").reshape(-1, BLOCKS).T):
+                    hit |= self.listed[i][value]
+                hit = np.flatnonzero(hit)
+                distance = np.bitwise_count(part[hit][:, None] ^ prints).ravel()
+                near = np.flatnonzero(distance <= RADIUS)
+                yield first + hit[near // len(prints)], near % len(prints), distance[near]
+                continue
             pairs = []
-            for i in range(BLOCKS):
-                value = blocks[part, i]
+            for i, value in enumerate(part.view("<u2").reshape(-1, BLOCKS).T):
+                window = np.flatnonzero(self.listed[i][value])
+                value = value[window]
                 many = self.count[i][value]
-                owner = np.repeat(np.arange(len(part)), many)
-                at = np.arange(len(owner)) + np.repeat(self.begin[i][value] - (np.cumsum(many) - many), many)
-                item = self.items[i][at]
-                near = np.bitwise_count(found[part][owner] ^ prints[item]) <= RADIUS
+                upto = np.cumsum(many)
+                owner = np.repeat(window, many)
+                item = self.items[i][np.arange(len(owner)) + np.repeat(self.begin[i][value] + many - upto, many)]
+                near = np.flatnonzero(np.bitwise_count(part[owner] ^ prints[item]) <= RADIUS)
                 pairs.append(owner[near] * len(prints) + item[near])
             window, item = np.divmod(np.unique(np.concatenate(pairs)), len(prints))
-            yield part[window], item, np.bitwise_count(found[part[window]] ^ prints[item])
+            yield first + window, item, np.bitwise_count(part[window] ^ prints[item])
 
 
 class Index(NamedTuple):
@@ -208,11 +216,14 @@ def candidates(words: Words, index: Index) -> Iterator[tuple[np.ndarray, np.ndar
         return
     sums, row = sign_sums(words, int(index.words.max())), row_of(words.first)
     left = words.first[1:][row] - np.arange(len(row))  # words of the row from each word on
-    room, room_signs = np.empty_like(sums), np.empty(sums.shape, bool)  # used again for each size
+    room_signs = np.empty(sums.shape, bool)  # used again for each size
+    narrow = sums.astype(np.int8)  # enough for the differences of short windows
+    rooms = {s.dtype: np.empty_like(s) for s in (narrow, sums)}
     for (size, own, prints), lists in zip(index.sizes, index.lists):
         start = grid(len(row), size)
-        space, signs = room[:len(start)], room_signs[:len(start)]
-        np.subtract(sums[size::stride(size)][:len(start)], sums[:max(len(row) - size + 1, 0):stride(size)], out=space)
+        kept = narrow if size * LONG < 1 << 7 else sums
+        space, signs = rooms[kept.dtype][:len(start)], room_signs[:len(start)]
+        np.subtract(kept[size::stride(size)][:len(start)], kept[:max(len(row) - size + 1, 0):stride(size)], out=space)
         found = np.packbits(np.greater(space, 0, out=signs).ravel(), bitorder="little").view("<u8")
         inside = left[:max(len(row) - size + 1, 0):stride(size)] >= size
         more, end = outer_windows(words.first, size)
