@@ -327,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
               row_number() over (order by popularity desc, product_id) - 1 rank from scored""",
         "topk_similar": _TOPK_HITS,
         "topk_similar_grid": _TOPK_HITS,
+        "topk_by_all_lists": _TOPK_HITS,
         "topk_similar_few_queries": f"""with {CENTERS}
             select query_id, rank, candidate_id, similarity from (
               select *, row_number() over (partition by query_id order by similarity desc, candidate_id) rank from (

@@ -18,7 +18,7 @@ from shelfwise.functions.scores import popularity
 from shelfwise.functions.text import clean_rating, coerce_numeric, optional_link, or_missing
 from shelfwise.functions.vectors import cosine
 from shelfwise.functions.vectors import flatten
-from shelfwise.operators import aggregate, clean, detect, encoders, extract, imaging, matching, models
+from shelfwise.operators import aggregate, clean, detect, encoders, extract, imaging, inverted_lists, matching, models
 from shelfwise.operators import ordinals, pixel_store, recommend, score, similarity, trends, vector_store
 from shelfwise.plans import bindings as b
 from shelfwise.plans import catalogue, pictures
@@ -453,6 +453,25 @@ def _topk_similar_few_queries(spark, sf):
     return hits.withColumn("rank", big("rank"))
 
 
+@query("topk_by_lists")
+def _topk_by_lists(spark, sf):
+    """The catalogue in inverted lists, of which each query sees as many as a trial asked for."""
+    vectors = _vectors(spark, sf).select("vec_id", "embedding")
+    hits = inverted_lists.topk_by_lists(vectors, inverted_lists.build_lists(vectors, "vec_id"), 5,
+                                        query_key="vec_id", exclude_self=True)
+    return hits.withColumn("rank", big("rank"))
+
+
+@query("topk_by_all_lists")
+def _topk_by_all_lists(spark, sf):
+    """Every list is looked into: the rows of the exact form, by way of tiles and blocks."""
+    vectors = _vectors(spark, sf).select("vec_id", "embedding")
+    lists = inverted_lists.build_lists(vectors, "vec_id", lists=8, tile_rows=50)
+    hits = inverted_lists.topk_by_lists(vectors, lists, 5, probes=lists.count, query_key="vec_id",
+                                        exclude_self=True, block_rows=100)
+    return hits.withColumn("rank", big("rank"))
+
+
 @query("sample_head")
 def _sample_head(spark, sf):
     return clean.sample_head(_clean(spark, sf), ["product_id"]).select("product_id", "name")

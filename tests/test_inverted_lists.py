@@ -1,0 +1,93 @@
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.operators import inverted_lists as il
+from shelfwise.operators import similarity
+from tests.test_similarity import brute, frame
+
+
+@pytest.fixture(scope="module")
+def vectors():
+    """Clustered vectors of which a third are copies of one."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    m = centres[rng.integers(40, size=3000)] + 0.5 * rng.normal(size=(3000, 16))
+    m[rng.permutation(3000)[:1000]] = m[0]
+    return m.round(4)
+
+
+def test_recall_with_a_third_of_copies(spark, vectors):
+    catalogue = frame(spark, vectors, "candidate_id").repartition(4)
+    lists = il.build_lists(catalogue, lists=40, tile_rows=200)
+    assert lists.probes < 25 and lists.rows.count() == 3000 and lists.tiles.agg(F.max("tiles")).first()[0] >= 5
+    queries = frame(spark, vectors[:150], "query_id")
+    found = il.topk_by_lists(queries, lists, 5, exclude_self=True, block_rows=40).toPandas()
+    exact = brute(vectors[:150], vectors, 5, exclude_self=True)
+    pairs = {(q, c) for q, _, c, _ in exact}
+    own = set(zip(found.query_id, found.candidate_id))
+    assert len(own & pairs) / len(pairs) >= 0.9
+    assert (found.groupby("query_id").size() == 5).all() and found.query_id.nunique() == 150
+    copies = {q for q in range(150) if (vectors[q] == vectors[0]).all()}
+    assert {p for p in own if p[0] in copies} == {p for p in pairs if p[0] in copies}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    scores = (unit[found.query_id] * unit[found.candidate_id]).sum(axis=1)
+    assert np.allclose(scores, found.similarity, atol=1e-6)
+
+
+def test_all_lists_are_the_exact_form(spark, vectors):
+    part = vectors[:300].copy()
+    part[5] = 0
+    lists = il.build_lists(frame(spark, part, "candidate_id"), lists=7, tile_rows=30)
+    hits = il.topk_by_lists(frame(spark, part[:40], "query_id"), lists, 5, probes=99, block_rows=9)
+    assert sorted(map(tuple, hits.collect())) == sorted(brute(part[:40], part, 5))
+
+
+def test_probes_follow_the_wanted_recall(spark):
+    m = np.random.default_rng(2).normal(size=(800, 24))
+    catalogue, queries = frame(spark, m, "candidate_id"), frame(spark, m[:200], "query_id")
+    pairs = {(q, c) for q, _, c, _ in brute(m[:200], m, 5, exclude_self=True)}
+    few, many = (il.build_lists(catalogue, recall=r) for r in (0.5, 0.95))
+    assert few.probes < many.probes <= many.count
+    hits = il.topk_by_lists(queries, many, 5, exclude_self=True).collect()
+    assert len({(r.query_id, r.candidate_id) for r in hits} & pairs) >= 0.92 * len(pairs)
+
+
+def test_short_lists_are_answered_exactly(spark):
+    rng = np.random.default_rng(1)
+    m = rng.normal(size=(30, 8))
+    lists = il.build_lists(frame(spark, m, "candidate_id"), lists=15)
+    hits = il.topk_by_lists(frame(spark, m[:10], "query_id"), lists, 12, probes=1)
+    assert sorted(map(tuple, hits.collect())) == sorted(brute(m[:10], m, 12))
+
+
+def test_odd_rows(spark):
+    schema = "candidate_id long, embedding array<double>, v int, list string"
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [0.0, 0.0]), (5, [1.0, 1.0])]
+    catalogue = spark.createDataFrame([(*r, 1, "x") for r in rows], schema)
+    queries = catalogue.withColumnRenamed("candidate_id", "query_id")
+    hits = il.topk_by_lists(queries.unionByName(queries), il.build_lists(catalogue), 2, exclude_self=True)
+    expected = similarity.topk_similar(queries, catalogue, 2, exclude_self=True)
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, expected.collect())) != []
+    empty = il.build_lists(catalogue.limit(0))
+    assert il.topk_by_lists(queries, empty, 2).count() == 0
+    assert il.topk_by_lists(queries.limit(0), il.build_lists(catalogue), 2).count() == 0
+    zeros = il.build_lists(catalogue.where("candidate_id = 4"))
+    assert il.topk_by_lists(queries, zeros, 2).count() == 3
+
+
+def test_plan_joins_no_pairs(spark, vectors, monkeypatch):
+    plans = []
+    monkeypatch.setattr(il, "materialize", lambda df, label: plans.append(
+        (label, df._jdf.queryExecution().executedPlan().toString())) or il_materialize(df, label))
+    lists = il.build_lists(frame(spark, vectors[:500], "candidate_id"), lists=5)
+    il.topk_by_lists(frame(spark, vectors[:50], "query_id"), lists, 5)
+    plan = dict(plans)["hits"]
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "SortMergeJoin" not in plan
+    cells = re.findall(r"Exchange hashpartitioning\(list#\d+, tile#\d+, block#\d+", plan)
+    assert len(cells) == 2 and len(re.findall(r"Exchange hashpartitioning", plan)) <= 5
+
+
+il_materialize = il.materialize
