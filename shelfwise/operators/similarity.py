@@ -38,6 +38,8 @@ BLOCK_ROWS, MIN_BLOCK_ROWS = 32_768, 4_096
 BLOCK_BYTES = 64 << 20
 # Queries and candidates of one similarity matrix; the first matrix is narrow.
 MATRIX_ROWS, MATRIX_COLUMNS, FIRST_COLUMNS = 1024, 4096, 512
+# Pairs that `similarity_scores` may emit.
+MAX_PAIRS = 10 ** 10
 
 _SCHEMA = "query_id bigint, candidate_id bigint, score double"
 _RANKED_SCHEMA = "query_id bigint, rank int, candidate_id bigint, score double"
@@ -354,12 +356,16 @@ def topk_similar(queries: DataFrame, catalogue: DataFrame | Side, k: int = 5, **
 def similarity_scores(queries: DataFrame, catalogue: DataFrame, *, query_key: str = "query_id",
                       candidate_key: str = "candidate_id", vector: str = "embedding",
                       digits: int = 6, broadcast_rows: int = BROADCAST_ROWS,
-                      block_rows: int = BLOCK_ROWS) -> DataFrame:
+                      block_rows: int = BLOCK_ROWS, max_pairs: int = MAX_PAIRS) -> DataFrame:
     """Similarity of each query to the whole catalogue, one row per pair.
 
     The result has |queries| x |catalogue| rows, so this is for a handful of
-    queries; `topk_similar` is the form for many.
+    queries; `topk_similar` is the form for many. More than `max_pairs` are
+    refused.
     """
+    pairs = math.prod(df.where(F.col(vector).isNotNull()).count() for df in (queries, catalogue))
+    if pairs > max_pairs:
+        raise ValueError(f"{pairs} pairs, more than {max_pairs}; topk_similar emits k rows a query")
     scored = _scores(queries, catalogue, None, "cosine", query_key, candidate_key, vector,
                      False, digits, broadcast_rows, block_rows)
     return scored.withColumnRenamed("score", "similarity")

@@ -51,6 +51,13 @@ def test_every_route_equals_brute_force(spark, data, route, exclude_self):
     assert got == sorted(brute(queries, catalogue, 5, exclude_self))
 
 
+def test_too_many_pairs_are_refused(spark, data):
+    few, all_rows = frame(spark, data[:20], "query_id"), frame(spark, data, "candidate_id")
+    assert similarity.similarity_scores(few, all_rows, max_pairs=3000).count() == 3000
+    with pytest.raises(ValueError, match="3000 pairs"):
+        similarity.similarity_scores(few, all_rows, max_pairs=2999)
+
+
 @pytest.mark.parametrize("route", ROUTES)
 def test_scores_cover_the_catalogue(spark, data, route):
     df = similarity.similarity_scores(frame(spark, data[:20], "query_id"),
