@@ -11,26 +11,22 @@ from shelfwise.session import materialize, release
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, component) for each node of `links` (a, b): the smallest node of its component.
 
-    In each round every node joins the neighbour (or itself) of smallest hashed
-    rank, and links between joined groups make the next, smaller graph. Ranks
-    change from round to round, so the rounds grow with the logarithm of the
+    In each round every node joins the neighbour (or itself) of smallest hash, and
+    links between joined groups make the next, smaller graph, whose nodes have
+    these hashes as names: a 64-bit hash of one long has no collisions, and the
+    order changes from round to round. So the rounds grow with the logarithm of the
     nodes, also for long chains. Nothing is collected; nodes with many links
-    are pre-aggregated, and joins on them can be split. The result is a table of
+    are pre-aggregated (single longs, in hash tables), and joins on them can be split. The result is a table of
     its own, which `release` removes. With a limit of `rounds`, nodes of one group
     are connected, but a component may be in several groups still.
     """
     steps = []
-    edges = materialize(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                        .distinct(), "links")
+    edges = materialize(links.where("a <> b").select(
+        F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b")).distinct(), "links")
     while (rounds is None or len(steps) < rounds) and not edges.isEmpty():
-        turn = len(steps)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-
-        def ranked(column: str):
-            return F.struct(F.xxhash64(F.lit(turn), column).alias("rank"), F.col(column).alias("node"))
-
-        parents = (both.groupBy(F.col("a").alias("node")).agg(F.min(ranked("b")).alias("other"))
-                   .select("node", F.least("other", ranked("node"))["node"].alias("parent")))
+        parents = (both.groupBy(F.col("a").alias("node")).agg(F.min(F.xxhash64("b")).alias("other"))
+                   .select("node", F.least("other", F.xxhash64("node")).alias("parent"), F.lit(len(steps)).alias("turn")))
         parents = materialize(parents, "parents")
         steps.append(parents)
         left = parents.select(F.col("node").alias("a"), F.col("parent").alias("a_to"))
@@ -44,14 +40,14 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         return links.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
     roots = steps.pop()
     while steps:
-        later = roots.select(F.col("node").alias("parent"), F.col("parent").alias("root"))
+        later = roots.select(F.col("node").alias("parent"), F.col("parent").alias("root"), F.col("turn").alias("last"))
         before, own = roots, steps.pop()
         roots = materialize(own.join(later, "parent", "left").select(
-            "node", F.coalesce("root", "parent").alias("parent")), "roots")
+            "node", F.coalesce("root", "parent").alias("parent"), F.coalesce("last", "turn").alias("turn")), "roots")
         release(before)
         release(own)
-    least = materialize(roots.groupBy("parent").agg(F.min("node").alias("component")), "least")
-    found = materialize(roots.join(least, "parent").select("node", "component"), "components")
+    least = materialize(roots.groupBy("parent", "turn").agg(F.min("node").alias("component")), "least")
+    found = materialize(roots.join(least, ["parent", "turn"]).select("node", "component"), "components")
     release(roots)
     release(least)
     return found

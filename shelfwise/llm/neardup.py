@@ -258,14 +258,13 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _first_leaders(active: DataFrame) -> DataFrame:
     """(key, leader, leader_class): one leader of each bucket with more than one document."""
-    rank = F.struct(F.xxhash64("doc"), F.col("doc").alias("doc"))
-    first = active.groupBy("key").agg(F.min(rank).alias("first"), F.count("*").alias("size")).where("size > 1")
-    return first.select("key", F.col("first.doc").alias("leader"), F.col("first.doc").alias("leader_class"))
+    first = active.groupBy("key").agg(F.min("doc").alias("leader"), F.count("*").alias("size")).where("size > 1")
+    return first.select("key", "leader", F.col("leader").alias("leader_class"))
 
 
 def _leaders(active: DataFrame, turn: int) -> DataFrame:
     """(key, leader, leader_class): `MORE` to the power of `turn` leaders of each bucket."""
-    place = F.row_number().over(Window.partitionBy("key").orderBy("settled", F.xxhash64("doc"), "doc"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("settled", "doc"))
     chosen = active.withColumn("place", place).where(F.col("place") <= MORE ** turn)
     return chosen.where("settled = 0").select("key", F.col("doc").alias("leader"), F.col("class").alias("leader_class"))
 
@@ -319,7 +318,10 @@ def by_rarest_runs(active: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def find_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b) links that connect the classes of representatives (doc, row, n, keys)."""
+    """(a, b) links that connect the classes of representatives (doc, row, n, keys).
+
+    Leaders are those of smallest `doc`, which should be in no order of the texts.
+    """
     active = reps.select(F.explode("keys").alias("key"), "doc", "n", F.lit(0).alias("settled"), F.col("doc").alias("class"))
     leaders = materialize(_first_leaders(active), "leaders")
     texts = done = None
@@ -380,7 +382,7 @@ def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = materialize(sketches(docs), "sketches")
     named = rows.where("doc_id is not null and n > 0")
     reps = named.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "row", "n", "keys")).alias("rep"))
-    reps = materialize(reps.select(F.monotonically_increasing_id().alias("doc"), "hi", "lo", "rep.*"), "reps")
+    reps = materialize(reps.select(F.xxhash64(F.monotonically_increasing_id()).alias("doc"), "hi", "lo", "rep.*"), "reps")
     links = find_links(reps.select("doc", "row", "n", "keys"), docs)
     found = components(links)
     of = reps.select("hi", "lo", "doc", "doc_id", "row").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
