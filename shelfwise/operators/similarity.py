@@ -9,7 +9,8 @@ works on what:
 * otherwise both sides are cut into blocks of bounded size by a hash of their
   unique key, and each (query block, catalogue block) cell is one cogrouped
   task group. Block sizes depend on the number of rows, never on their content,
-  so copies or clusters of any size cannot make a cell hot.
+  so copies or clusters of any size cannot make a cell hot. A block costs a copy
+  of the other side, so there are no more than all tasks or memory ask for.
 
 Every way ends in the same ranking: rounded similarity, then smallest key.
 """
@@ -23,19 +24,18 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.vectors import is_finite
-from shelfwise.session import shuffle_partitions
-
 # A side is broadcast only if it has at most this many rows and vector bytes.
 BROADCAST_ROWS = 16_384
 BROADCAST_BYTES = 64 << 20
-# Rows and vector bytes per block when both sides are large.
-BLOCK_ROWS, MIN_BLOCK_ROWS = 32_768, 4_096
+# Rows and vector bytes per block when both sides are large, and cells for each core.
+BLOCK_ROWS, MIN_BLOCK_ROWS = 65_536, 4_096
 BLOCK_BYTES = 64 << 20
+CELLS_PER_CORE = 3
 # Queries and candidates of one similarity matrix; the first matrix is narrow.
 MATRIX_ROWS, MATRIX_COLUMNS, FIRST_COLUMNS = 1024, 4096, 512
 # Pairs that `similarity_scores` may emit.
@@ -129,8 +129,11 @@ def _merge(parts, k):
     return query_ids[kept], rank[kept], candidate_ids[kept], scores[kept]
 
 
-def _matrices(queries: _Block, candidates: _Block, score, exclude_self, first):
-    """Score matrices of a block pair: (query ids, candidate ids, scores), by query rows."""
+def _matrices(queries: _Block, candidates: _Block, score, exclude_self, first, paired=None):
+    """Score matrices of a block pair: (query ids, candidate ids, scores), by query rows.
+
+    `paired` tells by the ranges of rows and columns which pairs count.
+    """
     cuts = [0, *range(min(first, len(candidates)), len(candidates), MATRIX_COLUMNS), len(candidates)]
     for top in range(0, len(queries), MATRIX_ROWS):
         ids = queries.ids[top:top + MATRIX_ROWS]
@@ -143,6 +146,8 @@ def _matrices(queries: _Block, candidates: _Block, score, exclude_self, first):
                 at = np.minimum(np.searchsorted(names, ids), len(names) - 1)
                 same = names[at] == ids
                 scores[np.flatnonzero(same), at[same]] = -np.inf
+            if paired is not None:
+                np.copyto(scores, -np.inf, where=~paired(slice(top, top + MATRIX_ROWS), slice(left, right)))
             yield left == 0, ids, names, scores
 
 
@@ -153,7 +158,7 @@ def _all_pairs(queries: _Block, candidates: _Block, score, digits):
                np.round(scores, digits).ravel() + 0.0)
 
 
-def _best(queries: _Block, candidates: _Block, score, k, digits, exclude_self):
+def _best(queries: _Block, candidates: _Block, score, k, digits, exclude_self, paired=None):
     """(query ids, candidate ids, scores) of the k best of every query.
 
     Candidates come in the order of their keys, so after the first matrix only
@@ -161,7 +166,7 @@ def _best(queries: _Block, candidates: _Block, score, k, digits, exclude_self):
     """
     found, best, ids = [], None, None
     for opens, ids, names, scores in _matrices(queries, candidates, score, exclude_self,
-                                               max(FIRST_COLUMNS, 2 * k)):
+                                               max(FIRST_COLUMNS, 2 * k), paired):
         if opens:
             if best is not None:
                 found.append(best)
@@ -171,7 +176,7 @@ def _best(queries: _Block, candidates: _Block, score, k, digits, exclude_self):
             keep = values > -np.inf
             best = (np.repeat(ids, columns.shape[1])[keep], names[columns].ravel()[keep], values[keep])
         else:
-            rows, columns = np.nonzero(scores > limit[:, None])
+            rows, columns = np.divmod(np.flatnonzero(scores > limit[:, None]), scores.shape[1])
             if len(rows):
                 values = np.round(scores[rows, columns], digits) + 0.0
                 query_ids, _, candidate_ids, values = _merge(
@@ -242,6 +247,16 @@ def prepare_side(df: DataFrame, key: str, vector: str = "embedding", *, out: str
     return Side(rows, shared, max(widths, default=0))
 
 
+def block_count(spark: SparkSession, n: int, width: int, block_rows: int) -> int:
+    """How many blocks `n` rows make: of `block_rows`, unless all tasks have cells with fewer; of bounded bytes always.
+
+    Each block is a copy of the other side, so small ones would make copies by the square of the rows.
+    """
+    largest = min(BLOCK_ROWS, max(1, BLOCK_BYTES // (8 * max(1, width))))
+    enough = math.ceil(math.sqrt(CELLS_PER_CORE * spark.sparkContext.defaultParallelism))
+    return max(1, math.ceil(n / largest), min(enough, math.ceil(n / min(block_rows, MIN_BLOCK_ROWS))))
+
+
 def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_key, candidate_key,
             vector, exclude_self, digits, broadcast_rows, block_rows) -> DataFrame:
     prepare, score = _METRICS[metric]
@@ -294,15 +309,8 @@ def _scores(queries: DataFrame, catalogue: DataFrame | Side, k, metric, query_ke
         return catalogue.rows.mapInArrow(stream_catalogue, _SCHEMA)
 
     # Both sides are large: a grid of blocks, each row copied along its strip.
-    block_rows = min(block_rows, max(1, BLOCK_BYTES // (8 * max(1, asked.width))))
-    side = math.ceil(math.sqrt(shuffle_partitions(queries.sparkSession)))
-
-    def blocks(rows: DataFrame) -> int:
-        """Enough blocks for their size, and for all tasks unless they get tiny."""
-        n = rows.count()
-        return max(1, math.ceil(n / block_rows), min(side, n // MIN_BLOCK_ROWS))
-
-    query_blocks, catalogue_blocks = blocks(asked.rows), blocks(catalogue.rows)
+    query_blocks, catalogue_blocks = (
+        block_count(queries.sparkSession, rows.count(), asked.width, block_rows) for rows in (asked.rows, catalogue.rows))
 
     def block_of(key, n):
         return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
@@ -337,7 +345,9 @@ def topk(queries: DataFrame, catalogue: DataFrame | Side, k: int = 5, metric: st
     counts, the smallest vector in the order of its elements, on every route. For
     `euclidean` the score is minus the squared distance. A query that is itself in the catalogue finds itself
     unless `exclude_self` is set. Inputs with a costly history should be
-    written to a table first, as large ones are read more than once.
+    written to a table first, as large ones are read more than once. If both
+    sides are large, their blocks hold `block_rows` (`BLOCK_ROWS` and
+    `BLOCK_BYTES` at most), and more where that is enough for all tasks.
     """
     scored = _scores(queries, catalogue, k, metric, query_key, candidate_key, vector,
                      exclude_self, digits, broadcast_rows, block_rows)

@@ -74,6 +74,15 @@ def test_grid_blocks_are_bounded_and_plan_has_no_cross_join(spark, data):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_small_blocks_make_no_more_copies_than_tasks_ask_for(spark, data):
+    counts = [similarity.block_count(spark, n, 64, 100) for n in (150, 10_000, 100_000, 600_000)]
+    assert counts[0] == 2 and counts[1] == counts[2] <= 8 and counts[3] == 10
+    assert similarity.block_count(spark, 600_000, 2048, 65_536) == 147  # of bounded bytes
+    hits = similarity.topk_similar(frame(spark, data, "query_id"), frame(spark, data, "candidate_id"), 5,
+                                   broadcast_rows=10, block_rows=1)
+    assert sorted(tuple(r) for r in hits.collect()) == sorted(brute(data, data, 5))
+
+
 def test_fewer_candidates_than_k(spark, data):
     hits = similarity.topk_similar(frame(spark, data[:3], "query_id"),
                                    frame(spark, data[:2], "candidate_id"), 5)
