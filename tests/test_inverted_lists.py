@@ -107,6 +107,23 @@ def test_queries_meet_the_rows_of_their_own_lists_only(spark, vectors, monkeypat
     assert sorted(map(tuple, hits.collect())) == sorted(want)
 
 
+def test_products_with_centres_are_made_in_bounded_parts(spark, monkeypatch):
+    """A task holds the products of a part of a batch, and copies of a vector leave in bounded batches."""
+    monkeypatch.setattr(il, "PRODUCT_BYTES", 8 * 16 * 5)
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(300, 16))
+    batch = il.pa.RecordBatch.from_pydict({"query_id": list(range(300)), "v": m.tolist()})
+    parts = list(il._near([batch], m[:80], 70))
+    assert max(near.size for _, near in parts) <= 70 and sum(part.num_rows for part, _ in parts) == 300
+    lists = il.build_lists(frame(spark, m, "candidate_id"), lists=16)
+    shelf = np.arange(lists.count) // 4 * 4
+    copies = il._probing(frame(spark, m, "query_id").withColumnRenamed("embedding", "v"), lists.centres, 15, shelf)
+    found = copies.collect()
+    assert len(found) == len({(r.query_id, r.list) for r in found}) <= 300 * len(set(shelf.tolist()))
+    assert sum(len(r.lists) for r in found) == 300 * min(15, lists.count)
+    assert all(shelf[x] == r.list for r in found for x in r.lists)
+
+
 def test_plan_joins_no_pairs(spark, vectors, monkeypatch):
     plans = []
     monkeypatch.setattr(il, "materialize", lambda df, label: plans.append(
