@@ -18,12 +18,14 @@ else, may have met; so those documents are dealt anew by their rarest runs. A
 linked pair has 0.8 of the longer one's runs in common, so in any common order of
 runs it shares one among the first fifth of each; ordered by how many documents
 hold a run, a common passage comes last and brings nobody together, and a run that
-one document holds makes no bucket. Buckets that are mixed still are compared with
-more and more leaders. A document linked to a leader goes on, too, unless the
-triangle inequality settles that it is not linked to any of the others, and
-nobody is compared within a class that links have made already. So no link
-between documents of different classes that share a bucket is lost, and a bucket
-of near copies is done in a round or two. Classes are the connected components.
+one document holds makes no bucket. A document linked to a leader goes on, too,
+unless the triangle inequality settles that it is not linked to any of the others.
+In the new buckets, the first few documents of each class that links have made
+already meet the first few of other classes, then more of them, then, in buckets
+of several classes still, all. Nobody is compared within a class, and a pair is made
+in one of the buckets it shares. So no link between documents of different classes
+that share a bucket is lost, and the largest class of a bucket, near copies say, is
+compared with the few others, not with itself. Classes are the connected components.
 
 Defined results: words are compared without case and punctuation; a text
 without words (null, empty) is in a class of its own; a text of fewer words
@@ -51,10 +53,10 @@ SIMILAR = 0.8
 HASHES = 24
 CLASS = 1.5  # lengths of a class differ by this factor at most
 PICKED = {2: 6, 3: 9, 4: 99}  # runs that a function picks: the last class of lengths it does so for
-MORE = 8
+FEW = (8, 64)  # documents of each class and leaders of each bucket that are compared before all are
+KEYS = 128  # a document of at most so many buckets brings their names along, so that a pair is made in one of them
 WANTED_ROWS = 1 << 20  # rows whose texts are fetched for comparison are named by broadcast up to here (16 bytes each)
 _OFTEN = 16
-_ROUNDS = 2  # of joining linked documents between rounds of comparisons; whole components come last
 
 
 def labelled_runs(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -257,26 +259,16 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _first_leaders(active: DataFrame) -> DataFrame:
-    """(key, leader, leader_class): one leader of each bucket with more than one document."""
+    """(key, leader): one leader of each bucket with more than one document."""
     first = active.groupBy("key").agg(F.min("doc").alias("leader"), F.count("*").alias("size")).where("size > 1")
-    return first.select("key", "leader", F.col("leader").alias("leader_class"))
-
-
-def _leaders(active: DataFrame, turn: int) -> DataFrame:
-    """(key, leader, leader_class): `MORE` to the power of `turn` leaders of each bucket."""
-    place = F.row_number().over(Window.partitionBy("key").orderBy("settled", "doc"))
-    chosen = active.withColumn("place", place).where(F.col("place") <= MORE ** turn)
-    return chosen.where("settled = 0").select("key", F.col("doc").alias("leader"), F.col("class").alias("leader_class"))
+    return first.select("key", "leader")
 
 
 def _placed(active: DataFrame, links: DataFrame) -> DataFrame:
-    """`active` with a group that links so far put each document in, without buckets of one group.
-
-    Documents of one group are connected, which is all that saves comparisons.
-    """
-    found = components(links, _ROUNDS)
-    classed = materialize(active.drop("class").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", "n", "settled", F.coalesce("component", "doc").alias("class")), "classed")
+    """`active` with classes that the new links (a, b) between classes join, without buckets of one class."""
+    found = components(links)
+    classed = materialize(active.join(found.withColumnRenamed("node", "class"), "class", "left").select(
+        "key", "doc", "n", "settled", F.coalesce("component", "class").alias("class")), "classed")
     mixed = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
     placed = materialize(classed.join(mixed.select("key"), "key", "left_semi"), "active")
     release(found)
@@ -284,6 +276,29 @@ def _placed(active: DataFrame, links: DataFrame) -> DataFrame:
     return placed
 
 
+def _pairs(active: DataFrame, most: int | None) -> DataFrame:
+    """(leader, doc) of different classes that share a bucket and are not both settled, each once.
+
+    The leader is of the smaller class there. With a limit `most`, a bucket's first leaders and first documents of a class.
+    """
+    own = Window.partitionBy("key", "class")
+    keys = active.groupBy("doc").agg(F.when(F.count("*") <= KEYS, F.collect_set("key")).alias("keys"))
+    ranked = active.withColumns({"size": F.count("*").over(own), "rank": F.row_number().over(own.orderBy("doc"))})
+    ranked = materialize(ranked.withColumn("place", F.row_number().over(
+        Window.partitionBy("key").orderBy("size", "class", "doc"))).join(keys, "doc"), "ranked")
+    left, right = (ranked.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("doc", "class", "settled", "rank", "place", "keys")])
+                   for side in ("a", "b"))
+    if most:
+        left, right = left.where(F.col("a_place") <= most), right.where(F.col("b_rank") <= most)
+    least = F.array_min(F.array_intersect("a_keys", "b_keys"))
+    met = left.join(right, "key").where(
+        (F.col("a_place") < F.col("b_place")) & (F.col("a_class") != F.col("b_class"))
+        & ((F.col("a_settled") == 0) | (F.col("b_settled") == 0)) & F.coalesce(F.col("key") == least, F.lit(True)))
+    pairs = materialize(met.select(F.col("a_doc").alias("leader"), F.col("b_doc").alias("doc")).distinct(), "pairs")
+    release(ranked)
+    return pairs
+
+
 def by_rarest_runs(active: DataFrame, texts: DataFrame) -> DataFrame:
     """The documents of `active` in buckets of their rarest runs, as many as linked ones need to share one.
 
@@ -322,57 +337,50 @@ def find_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
 
     Leaders are those of smallest `doc`, which should be in no order of the texts.
     """
-    active = reps.select(F.explode("keys").alias("key"), "doc", "n", F.lit(0).alias("settled"), F.col("doc").alias("class"))
+    active = reps.select(F.explode("keys").alias("key"), "doc", "n", F.lit(0).alias("settled"))
     leaders = materialize(_first_leaders(active), "leaders")
-    texts = done = None
-    turn = -1
-    while True:
-        hits = active.join(leaders, "key").where("doc <> leader and class <> leader_class")
-        hits = materialize(hits.select("key", "leader", "doc", "n", "settled"), "hits")
-        if hits.isEmpty():
-            break
-        pairs = hits.select("leader", "doc").distinct()
-        if texts is None:
-            met = hits.select("doc").union(hits.select("leader")).distinct()
-            wanted = materialize(reps.select("doc", "row").join(met, "doc"), "wanted")
-            few = wanted.count() <= WANTED_ROWS
-            texts = materialize(_keyed(docs).join(F.broadcast(wanted) if few else wanted, "row").select("doc", "text"), "texts")
-            release(wanted)
-            active = hits.select("key", "doc", "n", "settled")  # buckets of one document are done
-            done = told = materialize(_compared(pairs, texts), "told")
-        else:
-            before, told = done, materialize(_compared(pairs.join(done, ["leader", "doc"], "left_anti"), texts), "told")
-            done = materialize(before.unionByName(told), "done")
+    hits = materialize(active.join(leaders, "key").where("doc <> leader").select("key", "leader", "doc", "n", "settled"), "hits")
+    if hits.isEmpty():
+        return reps.select(F.col("doc").alias("a"), F.col("doc").alias("b")).limit(0)
+    met = hits.select("doc").union(hits.select("leader")).distinct()
+    wanted = materialize(reps.select("doc", "row").join(met, "doc"), "wanted")
+    few = wanted.count() <= WANTED_ROWS
+    texts = materialize(_keyed(docs).join(F.broadcast(wanted) if few else wanted, "row").select("doc", "text"), "texts")
+    release(wanted)
+    done = materialize(_compared(hits.select("leader", "doc").distinct(), texts), "told")
+    status = materialize(hits.join(done, ["leader", "doc"]), "status")
+    fails = status.where("not linked")
+    if not fails.isEmpty():
+        near = fails.groupBy("key").agg(F.min("distance").alias("near"))
+        # x unlinked, y linked to the leader: distance(x, y) >= distance(leader, x) - distance(leader, y)
+        reach = F.col("n") / SIMILAR - F.col("n")
+        others = (status.where("linked").join(near, "key").where(F.col("near") - F.col("distance") <= reach)
+                  .withColumn("settled", F.lit(1)))
+        names = ("key", "doc", "n", "settled")
+        active = by_rarest_runs(fails.select(*names).unionByName(others.select(*names)), texts)
+        told, links = None, done.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
+        for most in (*FEW, None):
+            before, active = active, _placed(active, links)
             release(before)
+            if told is not None:
+                release(told)
+            told = None
+            if active.isEmpty():
+                break
+            pairs = _pairs(active, most)
+            told = materialize(_compared(pairs.join(done, ["leader", "doc"], "left_anti"), texts), "told")
+            classes = active.groupBy("doc").agg(F.first("class").alias("class"))
+            links = (told.where("linked").select("leader", "doc")
+                     .join(classes.select(F.col("doc").alias("leader"), F.col("class").alias("a")), "leader")
+                     .join(classes.select("doc", F.col("class").alias("b")), "doc").select("a", "b"))
+            before, done = done, materialize(done.unionByName(told), "done")
+            for copy in (before, pairs):
+                release(copy)
+        if told is not None:
             release(told)
-        status = materialize(hits.join(done, ["leader", "doc"]), "status")
-        led = leaders.select("key", F.col("leader").alias("doc"))  # compared with all of their bucket
-        seen = status.groupBy("key", "doc").agg(F.max("linked").alias("linked"))
-        left = (active.select("key", "doc", "n", "settled").join(led, ["key", "doc"], "left_anti")
-                .join(seen, ["key", "doc"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))))
-        left = materialize(left, "left")
-        fails = left.where("not linked and settled = 0")
-        if fails.isEmpty():
-            break
-        near = status.join(fails.select("key", "doc"), ["key", "doc"]).groupBy("key", "leader").agg(
-            F.min("distance").alias("near"))
-        # x unlinked, y linked to a leader: distance(x, y) >= distance(leader, x) - distance(leader, y)
-        reach = F.col("n") / SIMILAR - F.col("n")
-        far = (status.where("linked").join(near, ["key", "leader"])
-               .where(F.col("near") - F.col("distance") > reach).select("key", "doc").distinct())
-        others = (left.where("linked or settled = 1").join(fails.select("key").distinct(), "key", "left_semi")
-                  .join(far, ["key", "doc"], "left_anti").withColumn("settled", F.lit(1)))
-        going, held = fails.unionByName(others).drop("linked"), active
-        if turn < 0:  # once: buckets of picks become buckets of the rarest runs
-            going = by_rarest_runs(going, texts)
-        active = _placed(going, done.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-        for copy in (hits, leaders, status, left, held, going):
-            release(copy)
-        turn += 1
-        leaders = materialize(_leaders(active, turn), "leaders")
-    if done is None:
-        return reps.select(F.col("doc").alias("a"), F.col("doc").alias("b")).limit(0)
-    release(texts)
+        release(active)
+    for copy in (hits, leaders, status, texts):
+        release(copy)
     return done.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
 
 

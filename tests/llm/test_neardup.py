@@ -103,6 +103,28 @@ def test_common_passage_brings_few_pairs(spark, monkeypatch):
     assert sum(pairs[1:]) < len(texts) and sum(pairs) < 40 * len(texts)
 
 
+def test_classes_made_already_save_comparisons(spark, monkeypatch):
+    """Near copies of which many are not linked to a leader: pairs of mixed buckets, each made once."""
+    texts = family(random.Random(4), 120, 300, 7)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = []
+    compared = neardup._compared
+    monkeypatch.setattr(neardup, "_compared", lambda p, t: pairs.append(p.count()) or compared(p, t))
+    found = neardup.near_duplicates(df).toPandas()
+    assert found.class_id.nunique() == 74 and sum(pairs[1:]) < 15 * len(texts)
+
+
+@pytest.mark.parametrize("keys", [neardup.KEYS, 1])
+def test_pairs_of_several_buckets_are_made_once(spark, monkeypatch, keys):
+    monkeypatch.setattr(neardup, "KEYS", keys)
+    rows = [(key, doc, 9, int(doc == 5 or doc == 6), 1 if doc < 5 else doc) for key in (1, 2, 3) for doc in range(1, 8)]
+    active = spark.createDataFrame(rows, "key long, doc long, n long, settled int, class long")
+    found = [tuple(sorted(r)) for r in neardup._pairs(active, None).collect()]
+    assert sorted(found) == [(a, b) for a in range(1, 8) for b in range(max(5, a + 1), 8) if (a, b) != (5, 6)]
+    few = {tuple(sorted(r)) for r in neardup._pairs(active, 1).collect()}
+    assert few < set(found) and len(few) == 2  # 5 leads: the first of classes 1 and 7
+
+
 def test_edited_texts_of_all_lengths(spark):
     """Borderline links of short and long texts are found: at least 0.98 of them at each length."""
     rng = random.Random(9)
