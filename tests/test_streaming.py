@@ -9,7 +9,7 @@ from shelfwise.plans import registry
 from shelfwise.plans.bindings import table
 from shelfwise.session import fresh_path, work_dir
 from shelfwise.streaming.catalogue import CurrentCatalogue, publish, stream_recommend_current
-from shelfwise.streaming.dedup import stream_dedup, stream_dedup_within, stream_first_after_gap
+from shelfwise.streaming.dedup import KEY_BUCKETS, stream_dedup, stream_dedup_within, stream_first_after_gap, unpack
 from shelfwise.streaming.recommend import stream_recommend
 
 
@@ -155,6 +155,45 @@ def test_state_is_bounded_by_the_gap(spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
 
 
+def test_keys_share_calls_and_states(spark):
+    path, out, state = (fresh_path(spark, n) for n in ("events", "kept", "state"))
+
+    def held(rows):
+        timed(spark, path, rows)
+        stream = source(spark, path, "event_id long, user_id long, ts timestamp")
+        query = stream_first_after_gap(stream, out, state, ["user_id"], "ts", "event_id", 60)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= KEY_BUCKETS
+        states = spark.read.format("statestore").load(state).selectExpr("value.groupState.seen").collect()
+        return {k: us // 1000000 - 1000000 for r in states for k, us in unpack(r["seen"])[["k0", "us"]].to_numpy().tolist()}
+
+    assert held([(i, i, i % 40) for i in range(3000)]) == {i: i % 40 for i in range(3000)}
+    # the odd keys come again after 50 s, and of the even ones those of the last 60 s are held
+    assert held([(3000 + i, i, 50 + i % 40) for i in range(1, 3000, 2)]) == {
+        i: i % 40 + 50 * (i % 2) for i in range(3000) if i % 2 or i % 40 >= 29}
+    assert held([(6000 + i, i, 150 + i % 40) for i in range(3000)]) == {i: 150 + i % 40 for i in range(3000)}
+    assert held([(9000, 7, 1000)]) == {7: 1000}
+    found = [r["event_id"] for r in spark.read.schema("event_id long").parquet(out).collect()]
+    assert sorted(found) == [*range(3000), *range(6000, 9000), 9000]
+
+
+def test_first_after_gap_keeps_ids_of_any_size_and_null(spark):
+    path, out, state = (fresh_path(spark, n) for n in ("events", "kept", "state"))
+    big = 2 ** 62
+    rows = [(big + 1, big + 1, "a", 0), (big + 3, big + 1, "a", 30), (None, big + 2, None, 0), (big + 5, None, "a", 1),
+            (big + 7, None, None, 2), (None, 0, "a", 3), (4, 0, "a", 3)]
+    for late in (0, 80):
+        spark.createDataFrame([(i, u, e, s + late) for i, u, e, s in rows], "event_id long, user_id long, e string, s long").selectExpr(
+            "event_id", "user_id", "e", "timestamp_seconds(1000000 + s) as ts").write.mode("append").parquet(path)
+        stream = source(spark, path, "event_id long, user_id long, e string, ts timestamp")
+        stream_first_after_gap(stream, out, state, ["user_id", "e"], "ts", "event_id", 60).awaitTermination()
+    found = spark.read.parquet(out).selectExpr("event_id", "user_id", "e", "unix_seconds(ts) - 1000000").collect()
+    want = [(i, u, e, s + late) for late in (0, 80) for i, u, e, s in rows if (i, late) != (big + 3, 0) and (i, s) != (None, 3)]
+    want.remove((big + 1, big + 1, "a", 80))  # 50 s after the one at 30
+    want.remove((big + 3, big + 1, "a", 110))
+    assert sorted((tuple(r) for r in found), key=str) == sorted(want, key=str)
+
+
 def test_hits_follow_the_catalogue(spark, vectors):
     store, path, out, state = (fresh_path(spark, n) for n in ("catalogue", "queries", "hits", "state"))
     current = CurrentCatalogue(spark, store, "vec_id")
